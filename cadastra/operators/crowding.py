@@ -1,0 +1,40 @@
+"""Bounded groups: a key with too many rows is stored as several numbered parts.
+
+Gathering a group into one array only works while the group is small. The helpers here find the keys
+that are too large (a count with partial aggregation) and give each of their rows a part number taken
+from the row's content, so that the same rows always end up in the same parts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cadastra.session import shared_dir
+
+MAX_ROWS = 5_000
+BROADCAST_ROWS = 100_000
+
+
+def settled(table: DataFrame) -> DataFrame | None:
+    """Materialise a table of exceptional keys in the shared folder; None when it is empty."""
+    shared_dir(table.sparkSession)
+    stored = table.checkpoint()
+    return None if stored.isEmpty() else stored
+
+
+def is_small(table: DataFrame) -> bool:
+    return table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def size_checked(table: DataFrame) -> DataFrame:
+    """Broadcast hint for a materialised table only if its row count allows it."""
+    return F.broadcast(table) if is_small(table) else table
+
+
+def parts_for(rows: Column, max_rows: int) -> Column:
+    return F.ceil(rows / max_rows).cast("int")
+
+
+def part_number(parts: Column, *content: Column | str) -> Column:
+    return F.when(parts > 1, F.pmod(F.xxhash64(*content), parts)).otherwise(F.lit(0)).cast("int")
