@@ -5,31 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadastra.session import shared_dir
+
 BINS = 4096
+# Distinct values that one task may put in order.
+ORDERED_VALUES = 1_000_000
 
 
-def exact_median(df: DataFrame, column: str, levels: int = 2, bins: int = BINS) -> DataFrame:
+def exact_median(df: DataFrame, column: str, bins: int = BINS, ordered_values: int = ORDERED_VALUES) -> DataFrame:
     """One row, one column ``median``: the interpolated median of the non-null values.
 
-    Values are first reduced to (value, rows) pairs, with a partial aggregation before the shuffle. Each
-    level splits the value range into ``bins`` equal steps, counts rows per step and goes on with
-    the one or two steps that hold the middle rows. Only step totals are ever ordered in one task until
-    the last level, where the range has shrunk by ``bins ** levels``.
+    Values are first reduced to (value, rows) pairs, with a partial aggregation before the shuffle, and
+    the pairs are checkpointed when this function is called, so the input is read once. While there are
+    too many of them to order in one task, the value range is split into ``bins`` equal steps and only
+    the one or two steps that hold the middle rows are kept.
     """
-    pairs = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
-    limits = pairs.agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("rows").alias("total")
-    )
-    band = pairs.select(
-        "value",
-        "rows",
-        limits.select("low").scalar().alias("low"),
-        limits.select("high").scalar().alias("high"),
-        limits.select("total").scalar().alias("total"),
-        F.lit(0).cast("bigint").alias("below"),
-    )
-    for _ in range(levels):
-        band = _middle_band(band, bins)
+    shared_dir(df.sparkSession)
+    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
+    pairs = counted.checkpoint()
+    band = pairs.withColumns({"total": pairs.agg(F.sum("rows")).scalar(), "below": F.lit(0).cast("bigint")})
+    if pairs.count() > ordered_values:
+        low, high = pairs.agg(F.min("value")).scalar(), pairs.agg(F.max("value")).scalar()
+        band = _middle_band(band.withColumns({"low": low, "high": high}), bins)
+        while band.count() > ordered_values:
+            band = _middle_band(band, bins)
     running = Window.orderBy("value")
     upto = band.withColumn("upto", F.col("below") + F.sum("rows").over(running))
     lower_rank, upper_rank = F.expr("(total - 1) div 2"), F.expr("total div 2")

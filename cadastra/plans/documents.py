@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cadastra.functions.cleansing import clean_name, integer_list
 from cadastra.operators.crowding import MAX_ROWS, is_small, part_number, parts_for, settled, size_checked
 from cadastra.schemas import FACT
+from cadastra.session import shared_dir
 
 KEY = "cnpj_basico"
 # Field order of the nested records.
@@ -149,8 +150,7 @@ def merge_documents(old: DataFrame, new: DataFrame, max_rows: int = MAX_ROWS) ->
         .groupBy("_id")
         .agg(F.min("aged")["header"].alias("header"))
     )
-    sizes = units.groupBy("_id").agg(F.sum("copies").alias("rows")).where(F.col("rows") > max_rows)
-    crowded = settled(sizes.select("_id", parts_for(F.col("rows"), max_rows).alias("_parts")))
+    crowded = _crowded_unions(both, units, max_rows)
 
     def placed(items: DataFrame, *content: str) -> DataFrame:
         if crowded is None:
@@ -186,6 +186,20 @@ def merge_documents(old: DataFrame, new: DataFrame, max_rows: int = MAX_ROWS) ->
     return documents.where((F.col("part") == 0) | (F.size("estabelecimentos") > 0) | (F.size("socios") > 0))
 
 
+def _crowded_unions(both: DataFrame, units: DataFrame, max_rows: int) -> DataFrame | None:
+    """(company, parts) of companies whose united establishments exceed ``max_rows``.
+
+    Array sizes give an upper bound without spreading the arrays; only its candidates are counted exactly.
+    """
+    bounds = both.groupBy("_id").agg(F.sum(F.size("estabelecimentos")).alias("rows"))
+    candidates = settled(bounds.where(F.col("rows") > max_rows).select("_id"))
+    if candidates is None:
+        return None
+    counted = units.join(size_checked(candidates), "_id", "left_semi").groupBy("_id").agg(F.sum("copies").alias("rows"))
+    sized = counted.where(F.col("rows") > max_rows)
+    return settled(sized.select("_id", parts_for(F.col("rows"), max_rows).alias("_parts")))
+
+
 # Storage: partitioned by a hash of the company, so that a merge rewrites only the buckets it touches.
 
 BUCKETS = 64
@@ -216,6 +230,8 @@ def document_by_id(spark: SparkSession, path: str, company: int, buckets: int =
 def merge_into(path: str, new: DataFrame, buckets: int = BUCKETS, max_rows: int = MAX_ROWS) -> list[int]:
     """Merge into the stored documents; returns the buckets that were rewritten (at most ``buckets``)."""
     spark = new.sparkSession
+    shared_dir(spark)
+    new = new.select(*DOCUMENT).checkpoint()  # read three times below
     touched = sorted(row[0] for row in new.select(bucket_of(buckets)).distinct().collect())
     if not touched:
         return touched

@@ -14,9 +14,15 @@ from cadastra.schemas import COMPANY_COLUMNS, FACT, PARTNER_COLUMNS
 KEY = "cnpj_basico"
 
 
-def opted_in_keys(tax_regime: DataFrame) -> DataFrame:
-    """Distinct companies that chose the micro-entrepreneur regime."""
-    return tax_regime.where(F.col("opcao_pelo_mei") == "S").select(KEY).distinct()
+def opted_in_keys(tax_regime: DataFrame, repeated: bool = True) -> DataFrame:
+    """Companies that chose the micro-entrepreneur regime, each once unless ``repeated`` is off.
+
+    A semi-join does not need unique keys. Without the aggregation Spark can derive a runtime Bloom
+    filter from the regime flags and drop other companies' establishments before their shuffle; with it,
+    a key that is repeated very often collapses before the shuffle.
+    """
+    keys = tax_regime.where(F.col("opcao_pelo_mei") == "S").select(KEY)
+    return keys.distinct() if repeated else keys
 
 
 def opted_in_companies(companies: DataFrame, keys: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -35,20 +41,21 @@ def build_fact(
     partners: DataFrame | None,
     hot: dict | None = None,
     hot_partners: dict | None = None,
+    hot_flags: dict | None = None,
     names: bool = False,
 ) -> DataFrame:
     """Establishments of opted-in companies with company data and, where known, partner data.
 
     Keys, companies and partners share one partitioning by company, so they meet without further
     exchanges; the establishments, by far the largest table, are shuffled once. Joining partners to
-    companies first gives the same rows as joining them last. ``hot`` and
-    ``hot_partners`` (see ``hot_keys``) list companies whose establishments or partners must be spread
-    over several tasks.
+    companies first gives the same rows as joining them last. ``hot``,
+    ``hot_partners`` and ``hot_flags`` (see ``hot_keys``) list companies whose establishments, partners
+    or regime rows are too many for one task.
 
     A company with k partners yields each establishment k times. ``names`` adds ``razao_social`` as a
     40th column, for the company documents.
     """
-    keys = opted_in_keys(tax_regime)
+    keys = opted_in_keys(tax_regime, repeated=bool(hot_flags))
     extra = ["razao_social"] if names else []
     owners = opted_in_companies(companies, keys, extra)
     if partners is None:

@@ -37,6 +37,7 @@ def fact_from_silver(tables: dict[str, DataFrame], names: bool = False) -> DataF
         partners,
         hot=hot_keys(establishments, KEY),
         hot_partners=None if partners is None else hot_keys(partners, KEY),
+        hot_flags=hot_keys(tables["simples"], KEY),
         names=names,
     )
 

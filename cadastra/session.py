@@ -13,7 +13,14 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Dimension joins are left to Spark: a side is broadcast only when its size is known to be below this.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Large enough for a national registry's opted-in keys: establishments of other companies are
+    # dropped by a runtime Bloom filter before they are shuffled. Its size is bounded by maxNumBits.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4g",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "20000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "160000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "320000000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -474,8 +474,9 @@ def doc_store_merge(r: Registry) -> DataFrame:
     path = f"{scratch(r.spark)}/documentos"
     early, late = _halves(r)
     docs.write_documents(docs.build_documents(early), path, buckets=8)
+    update = docs.build_documents(late)
     for _ in range(2):  # merging the same rows again changes nothing
-        docs.merge_into(path, docs.build_documents(late), buckets=8)
+        docs.merge_into(path, update, buckets=8)
     return flattened(docs.read_documents(r.spark, path))
 
 

@@ -168,17 +168,16 @@ class Registry:
     # Hot keys are looked for once per folder; the pass over the test tables reads keys only.
 
     @cached_property
-    def _hot(self) -> tuple[dict, dict]:
+    def _hot(self) -> tuple[dict, dict, dict]:
         keys = self.table("lineitem").select("l_orderkey").join(
             self.table("orders").select("o_orderkey", F.col("o_custkey").alias(KEY)),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
-        return hot_keys(keys, KEY), hot_keys(self.partners, KEY)
+        return hot_keys(keys, KEY), hot_keys(self.partners, KEY), hot_keys(self.tax_regime, KEY)
 
     def _build(self, names: bool) -> DataFrame:
-        hot, hot_partners = self._hot
         return build_fact(
-            self.tax_regime, self.companies, self.establishments, self.partners, hot, hot_partners, names
+            self.tax_regime, self.companies, self.establishments, self.partners, *self._hot, names=names
         )
 
     @cached_property
