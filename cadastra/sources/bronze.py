@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -18,7 +20,7 @@ def as_text(schema: StructType) -> StructType:
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Input files in name order; hidden ones are left out."""
-    return sorted(spark.read.text(path).inputFiles())
+    return sorted(unquote(name) for name in spark.read.text(path).inputFiles())
 
 
 def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
@@ -27,8 +29,8 @@ def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
     The lines are scanned in splits; only file names, never lines, come back.
     """
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
-    broken = spark.read.text(path).where(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("file"))
-    return [row["file"] for row in broken.distinct().collect()]
+    broken = spark.read.text(path).where(quotes % 2 == 1).select(F.input_file_name().alias("file"))
+    return sorted(unquote(row["file"]) for row in broken.distinct().collect())
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType, line_breaks: bool | None = None) -> DataFrame:
