@@ -18,8 +18,10 @@ def exact_median(df: DataFrame, column: str, bins: int = BINS, ordered_values: i
     Values are first reduced to (value, rows) pairs, with a partial aggregation before the shuffle, and
     the pairs are checkpointed when this function is called, so the input is read once. While there are
     too many of them to order in one task, the value range is split into ``bins`` equal steps and only
-    the one or two steps that hold the middle rows are kept.
+    the one or two steps that hold the middle rows are kept. Every round cuts each kept step that has
+    more than one value, so the two middle values themselves are the smallest remainder.
     """
+    ordered_values = max(ordered_values, 2)
     shared_dir(df.sparkSession)
     counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
     pairs = counted.checkpoint()
