@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SUPPORT = 0.001
 ROWS_PER_TASK = 4_000_000
+# Smallest share of the rows the frequent-items pass can tell apart.
+MIN_SUPPORT = 1e-4
 
 
-def hot_keys(df: DataFrame, key: str, support: float = HOT_SUPPORT, rows_per_task: int = ROWS_PER_TASK) -> dict:
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> dict:
     """Keys too heavy for one task, each with the number of slices it should be cut into.
 
-    The frequent-items pass keeps at most ``1 / support`` candidates and the exact count runs over
-    these only, so neither pass shuffles more than that many rows per task, and the result is small by
-    construction. A key it leaves out holds less than ``support`` of the rows. It only steers the
-    layout of a join: results are the same for any answer.
+    A small table has none. Otherwise a frequent-items pass keeps at most ``1 / MIN_SUPPORT`` candidates and
+    the exact count runs over these only, so nothing but candidates is ever shuffled or returned. A
+    key it leaves out holds at most ``rows_per_task`` rows or ``MIN_SUPPORT`` of all rows. The answer only
+    steers the layout of a join: results are the same for any answer.
     """
     keys = df.select(F.col(key).alias("key")).where(F.col("key").isNotNull())
+    total = keys.count()
+    if total <= rows_per_task:
+        return {}
+    support = max(rows_per_task / total, MIN_SUPPORT)
     candidates = keys.freqItems(["key"], support).select(F.explode("key_freqItems").alias("key")).distinct()
     counts = (
         keys.join(F.broadcast(candidates), "key", "left_semi")

@@ -1,8 +1,9 @@
 """Nested company documents.
 
 One row per company, holding its header, partners and establishments. A company with more than
-``max_rows`` distinct fact rows is kept as several rows that differ in ``part``; every query in
-``plans.search`` and ``plans.sheet`` accepts both.
+``max_rows`` distinct fact rows is kept as several rows that differ in ``part``: each has the header,
+its own share of the establishments and the partners these rows name. ``unidades`` counts the establishments of
+the whole company. Every query in ``plans.search`` and ``plans.sheet`` accepts such parts.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ HEADER = [
     "opcao_pelo_simples",
     "opcao_pelo_mei",
 ]
-DOCUMENT = ["_id", "part", *HEADER, "socios", "estabelecimentos"]
+DOCUMENT = ["_id", "part", *HEADER, "socios", "unidades", "estabelecimentos"]
 
 Row = Callable[[str], Column]
 
@@ -76,7 +77,7 @@ def establishment_of(row: Row) -> Column:
 
 
 def _crowded(rows: DataFrame, content: list[str], header: Column, max_rows: int) -> DataFrame | None:
-    """(company, parts, header) of companies with more than ``max_rows`` distinct rows, if there are any.
+    """(company, parts, total, header) of companies with more than ``max_rows`` distinct rows, if there are any.
 
     The plain row count is an upper bound, so distinct rows are counted for its candidates only.
     """
@@ -91,7 +92,8 @@ def _crowded(rows: DataFrame, content: list[str], header: Column, max_rows: int)
         .agg(F.count_distinct(F.xxhash64(*content)).alias("rows"), F.min("_header").alias("_header"))
         .where(F.col("rows") > max_rows)
     )
-    return settled(measured.select(KEY, parts_for(F.col("rows"), max_rows).alias("_parts"), "_header"))
+    parts = parts_for(F.col("rows"), max_rows).alias("_parts")
+    return settled(measured.select(KEY, parts, F.col("rows").alias("_total"), "_header"))
 
 
 def build_documents(fact: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -107,7 +109,9 @@ def build_documents(fact: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     record = F.collect_set(F.struct(*content)).alias("_rows")
     own_header = F.array_min(F.transform("_rows", lambda r: header_of(r.getField, named)))
     if crowded is None:
-        grouped = rows.groupBy(KEY).agg(record).select("*", F.lit(0).alias("part"), own_header.alias("_header"))
+        grouped = rows.groupBy(KEY).agg(record).select(
+            "*", F.lit(0).alias("part"), F.size("_rows").cast("bigint").alias("unidades"), own_header.alias("_header")
+        )
     else:
         if is_small(crowded):
             placed = rows.join(F.broadcast(crowded), KEY, "left")
@@ -118,8 +122,9 @@ def build_documents(fact: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
             placed = placed.repartition(KEY, "part")
         grouped = (
             placed.groupBy(KEY, "part")
-            .agg(record, F.first("_header", ignorenulls=True).alias("_shared"))
+            .agg(record, F.first("_header").alias("_shared"), F.first("_total").alias("_total"))
             .withColumn("_header", F.coalesce("_shared", own_header))
+            .withColumn("unidades", F.coalesce("_total", F.size("_rows").cast("bigint")))
         )
     partners = F.transform("_rows", lambda r: partner_of(r.getField))
     return grouped.select(
@@ -127,6 +132,7 @@ def build_documents(fact: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         "part",
         *[F.col("_header")[name].alias(name) for name in HEADER],
         F.sort_array(F.array_distinct(F.filter(partners, lambda p: p.isNotNull()))).alias("socios"),
+        "unidades",
         F.sort_array(F.transform("_rows", lambda r: establishment_of(r.getField))).alias("estabelecimentos"),
     )
 
@@ -154,7 +160,7 @@ def merge_documents(old: DataFrame, new: DataFrame, max_rows: int = MAX_ROWS) ->
 
     def placed(items: DataFrame, *content: str) -> DataFrame:
         if crowded is None:
-            return items.withColumn("part", F.lit(0))
+            return items.withColumns({"part": F.lit(0), "_total": F.lit(None).cast("bigint")})
         sized = items.join(size_checked(crowded), "_id", "left")
         if content:
             return sized.withColumn("part", part_number(F.col("_parts"), *content)).drop("_parts")
@@ -170,8 +176,11 @@ def merge_documents(old: DataFrame, new: DataFrame, max_rows: int = MAX_ROWS) ->
         .unionByName(placed(partners, "partner"), allowMissingColumns=True)
         .unionByName(placed(headers), allowMissingColumns=True)
     )
+    if crowded is not None:
+        items = items.repartition("_id", "part")
     merged = items.groupBy("_id", "part").agg(
         F.min("header").alias("header"),
+        F.max("_total").alias("_total"),
         F.sort_array(F.collect_list("partner")).alias("socios"),
         F.collect_list(F.when(F.col("unit").isNotNull(), F.struct("unit", "copies"))).alias("_units"),
     )
@@ -181,13 +190,14 @@ def merge_documents(old: DataFrame, new: DataFrame, max_rows: int = MAX_ROWS) ->
         "part",
         *[F.col("header")[name].alias(name) for name in HEADER],
         "socios",
+        F.coalesce("_total", F.size(repeated).cast("bigint")).alias("unidades"),
         F.sort_array(repeated).alias("estabelecimentos"),
     )
     return documents.where((F.col("part") == 0) | (F.size("estabelecimentos") > 0) | (F.size("socios") > 0))
 
 
 def _crowded_unions(both: DataFrame, units: DataFrame, max_rows: int) -> DataFrame | None:
-    """(company, parts) of companies whose united establishments exceed ``max_rows``.
+    """(company, parts, total) of companies whose united establishments exceed ``max_rows``.
 
     Array sizes give an upper bound without spreading the arrays; only its candidates are counted exactly.
     """
@@ -197,7 +207,8 @@ def _crowded_unions(both: DataFrame, units: DataFrame, max_rows: int) -> DataFra
         return None
     counted = units.join(size_checked(candidates), "_id", "left_semi").groupBy("_id").agg(F.sum("copies").alias("rows"))
     sized = counted.where(F.col("rows") > max_rows)
-    return settled(sized.select("_id", parts_for(F.col("rows"), max_rows).alias("_parts")))
+    parts = parts_for(F.col("rows"), max_rows).alias("_parts")
+    return settled(sized.select("_id", parts, F.col("rows").alias("_total")))
 
 
 # Storage: partitioned by a hash of the company, so that a merge rewrites only the buckets it touches.

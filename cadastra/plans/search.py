@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadastra.functions.cleansing import strip
 from cadastra.operators.ranking import by_total
 from cadastra.operators.skew import salted_join
-from cadastra.plans.documents import DOCUMENT
+from cadastra.plans.documents import DOCUMENT, HEADER
 
 FOUND, ABSENT, INVALID = "encontrado", "ausente", "invalido"
 
@@ -24,20 +24,34 @@ def by_company(documents: DataFrame, company: int) -> DataFrame:
     return documents.where(F.col("_id") == company)
 
 
+def headers(documents: DataFrame) -> DataFrame:
+    """One row per company without its lists, also for companies stored in parts."""
+    columns = [*HEADER, "unidades"]
+    return documents.groupBy("_id").agg(*[F.first(c).alias(c) for c in columns])
+
+
+def _asked_ids(requests: DataFrame, id_text: str) -> DataFrame:
+    return requests.withColumn("_id", strip(F.col(id_text)).try_cast("bigint"))
+
+
 def look_up(requests: DataFrame, id_text: str, documents: DataFrame, hot: dict | None = None) -> DataFrame:
-    """Bulk lookup: every request row with a status and, if found, its document.
+    """Bulk lookup: every request row with a status and, if found, the company header.
 
-    Requests that are no number are kept and marked. ``hot`` lists ids asked for very often.
+    Requests that are no number are kept and marked. ``hot`` lists ids asked for very often. The lists
+    stay out of this join, where they would be repeated per request; see ``requested_documents``.
     """
-    asked = requests.withColumn("_id", strip(F.col(id_text)).try_cast("bigint"))
-    known = documents.withColumn("_known", F.lit(True))
-    found = salted_join(asked, known, "_id", "left", hot)
-    status = (
-        F.when(F.col("_id").isNull(), INVALID).when(F.col("_known"), FOUND).otherwise(ABSENT)
-    )
+    known = headers(documents).withColumn("_known", F.lit(True))
+    found = salted_join(_asked_ids(requests, id_text), known, "_id", "left", hot)
+    status = F.when(F.col("_id").isNull(), INVALID).when(F.col("_known"), FOUND).otherwise(ABSENT)
     return found.withColumn("status", status).drop("_known")
 
 
+def requested_documents(requests: DataFrame, id_text: str, documents: DataFrame) -> DataFrame:
+    """The whole documents that were asked for, each once however often it was."""
+    asked = _asked_ids(requests, id_text).select("_id").distinct()
+    return documents.join(asked, "_id", "left_semi")
+
+
 def by_state_and_activity(
     documents: DataFrame,
     state: str,

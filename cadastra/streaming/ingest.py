@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from cadastra.sources.bronze import DIALECT, as_text
+from cadastra.sources.bronze import DIALECT, as_text, files_with_line_breaks
 from cadastra.sources.silver import cast_schema
 
 
@@ -20,10 +20,16 @@ def ingest(
     target: str,
     checkpoint: str,
     schema: StructType,
-    line_breaks: bool = False,
+    line_breaks: bool | None = None,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Start converting all files that are new since the last run; the query ends by itself."""
+    """Start converting all files that are new since the last run; the query ends by itself.
+
+    Files with line breaks inside quoted fields must be read whole. ``line_breaks=None`` scans the source folder for
+    them first; pass ``True`` or ``False`` where this is known.
+    """
+    if line_breaks is None:
+        line_breaks = bool(files_with_line_breaks(spark, source))
     raw = (
         spark.readStream.schema(as_text(schema))
         .options(**DIALECT)

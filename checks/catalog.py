@@ -485,30 +485,38 @@ def doc_by_key(r: Registry) -> DataFrame:
     return flattened(search.by_company(r.documents, 11))
 
 
-@query
-def doc_lookup(r: Registry) -> DataFrame:
+def _requests(r: Registry) -> DataFrame:
     text = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(
         F.concat(F.lit("  "), F.col("user_id").cast("string"), F.lit(" "))
     )
-    requests = r.table("events").select("event_id", text.alias("pedido"))
+    return r.table("events").select("event_id", text.alias("pedido"))
+
+
+@query
+def doc_lookup(r: Registry) -> DataFrame:
     hot = hot_keys(r.table("events"), "user_id")
-    found = search.look_up(requests, "pedido", r.documents, hot)
-    return found.select("event_id", "pedido", "_id", "status", "razao_social")
+    found = search.look_up(_requests(r), "pedido", r.documents, hot)
+    return found.select("event_id", "pedido", "_id", "status", "razao_social", "unidades")
+
+
+@query
+def doc_requested(r: Registry) -> DataFrame:
+    return flattened(search.requested_documents(_requests(r), "pedido", r.documents))
 
 
 @query
 def doc_by_uf_cnae(r: Registry) -> DataFrame:
-    return search.by_state_and_activity(r.documents, STATE.lower(), ACTIVITY).select("_id")
+    return search.by_state_and_activity(r.documents, STATE.lower(), ACTIVITY).select("_id").distinct()
 
 
 @query
 def doc_by_uf(r: Registry) -> DataFrame:
-    return search.by_state_and_activity(r.documents, STATE).select("_id")
+    return search.by_state_and_activity(r.documents, STATE).select("_id").distinct()
 
 
 @query
 def doc_by_uf_cnae_same_unit(r: Registry) -> DataFrame:
-    return search.by_state_and_activity(r.documents, STATE, ACTIVITY, same_unit=True).select("_id")
+    return search.by_state_and_activity(r.documents, STATE, ACTIVITY, same_unit=True).select("_id").distinct()
 
 
 @query

@@ -507,11 +507,13 @@ QUERIES = {
     "doc_by_key": _documents("h._id = 11"),
     "doc_lookup": f"""
         SELECT event_id, pedido, q._id, CASE WHEN q._id IS NULL THEN 'invalido' WHEN h._id IS NULL THEN 'ausente'
-               ELSE 'encontrado' END AS status, h.razao_social
+               ELSE 'encontrado' END AS status, h.razao_social, h.unidades
         FROM (SELECT event_id, pedido, try_cast(trim(pedido) AS BIGINT) AS _id
               FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN event_type
                                           ELSE '  ' || user_id || ' ' END AS pedido FROM events)) q
-        LEFT JOIN cabecalhos h ON h._id = q._id""",
+        LEFT JOIN (SELECT h._id, h.razao_social, count(*) AS unidades
+                   FROM cabecalhos h JOIN unidades u ON u._id = h._id GROUP BY 1, 2) h ON h._id = q._id""",
+    "doc_requested": _documents("h._id IN (SELECT user_id FROM events WHERE event_type <> 'error')"),
     "doc_by_uf_cnae": """
         SELECT _id FROM unidades GROUP BY _id
         HAVING bool_or(uf = 'NATION_9') AND bool_or(cnae_fiscal_principal = 25000) ORDER BY _id LIMIT 50""",

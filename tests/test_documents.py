@@ -100,7 +100,8 @@ def test_a_crowded_company_is_kept_in_parts(whole, parted):
     assert exploded(parted) == exploded(whole)
     sizes = [(d["_id"], d["part"], len(d["estabelecimentos"])) for d in parted.collect()]
     assert sum(i == 1 for i, _, _ in sizes) > 2 and all(n < 25 for _, _, n in sizes)
-    headers = parted.select("_id", *D.HEADER).distinct()
+    headers = parted.select("_id", "unidades", *D.HEADER).distinct()
+    assert {d["_id"]: d["unidades"] for d in headers.collect()} == units_per_company(whole)
     assert headers.count() == whole.count()
 
 
@@ -143,6 +144,7 @@ def test_merge(spark, rows, max_rows):
     assert {c: dict(v) for c, v in got.items()} == want
     again = D.merge_documents(merged, new, max_rows)
     assert exploded(again) == exploded(merged)
+    assert {d["_id"]: d["unidades"] for d in merged.collect()} == {c: sum(v.values()) for c, v in want.items()}
     partners = search.by_company(merged, 1).select(F.explode("socios"))
     assert partners.count() == partners.distinct().count() == 1
 
@@ -212,14 +214,17 @@ def test_activity_index_table(spark, tmp_path, whole):
 
 
 @pytest.mark.parametrize("sliced", [False, True])
-def test_bulk_lookup(spark, whole, sliced):
+def test_bulk_lookup(spark, whole, parted, sliced):
     texts = [" 1 ", "1", "999", "abc", "", None] + ["1"] * 20
     asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, pedido string").repartition(4)
-    hot = hot_keys(asked.selectExpr("try_cast(trim(pedido) as bigint) k"), "k", 0.1, 5) if sliced else None
+    hot = hot_keys(asked.selectExpr("try_cast(trim(pedido) as bigint) k"), "k", 5) if sliced else None
     found = search.look_up(asked, "pedido", whole, hot)
     status = {r.n: r.status for r in found.collect()}
     assert [status[i] for i in range(6)] == ["encontrado", "encontrado", "ausente", "invalido", "invalido", "invalido"]
     assert found.count() == len(texts)
+    assert {r.n: (r.capital_social, r.unidades) for r in found.collect()}[1] == (1.5, units_per_company(whole)[1])
+    assert rows_of(search.look_up(asked, "pedido", parted, hot)) == rows_of(found)
+    assert exploded(search.requested_documents(asked, "pedido", parted)) == exploded(search.by_company(whole, 1))
 
 
 def test_sheet(spark):

@@ -28,8 +28,9 @@ def skewed(spark):
 
 def test_hot_keys_are_exact_for_frequent_keys(spark, skewed):
     left, _ = skewed
-    assert hot_keys(left, "k", support=0.1, rows_per_task=10) == {7: 7}
-    assert hot_keys(left, "k", support=0.1, rows_per_task=1000) == {}
+    assert hot_keys(left, "k", rows_per_task=10) == {7: 7}
+    assert hot_keys(left, "k", rows_per_task=1000) == {}
+    assert hot_keys(left, "k", rows_per_task=70) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
