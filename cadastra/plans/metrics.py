@@ -109,7 +109,8 @@ def _flow(fact: DataFrame, opening: dict[str, Column], closing: dict[str, Column
     """Openings and closings per period.
 
     One scan counts each (opening period, closing period) pair; both series and their full join then
-    run on these few pairs.
+    run on these few pairs. Rows without a closing form a group with null keys, which only leaves after the
+    join: a filter before it would make the two branches differ and the fact be read twice.
     """
     names = list(opening)
     closed = _is_closing(closings)
@@ -122,9 +123,8 @@ def _flow(fact: DataFrame, opening: dict[str, Column], closing: dict[str, Column
         .agg(F.count("*").alias("rows"))
     )
     opened = pairs.groupBy(*[F.col(f"opened.{n}").alias(n) for n in names]).agg(F.sum("rows").alias("aberturas"))
-    closed_rows = pairs.where(F.col("closed").isNotNull())
-    ended = closed_rows.groupBy(*[F.col(f"closed.{n}").alias(n) for n in names]).agg(F.sum("rows").alias("fechamentos"))
-    return opened.join(ended, names, "full").na.fill(0, ["aberturas", "fechamentos"])
+    ended = pairs.groupBy(*[F.col(f"closed.{n}").alias(n) for n in names]).agg(F.sum("rows").alias("fechamentos"))
+    return opened.join(ended, names, "full").where(F.col(names[0]).isNotNull()).na.fill(0, ["aberturas", "fechamentos"])
 
 
 def yearly_flow(fact: DataFrame, window: Period = WINDOW, closings: Period = WINDOW) -> DataFrame:
@@ -213,17 +213,22 @@ def top_activities_detail(
     return by_total(describe(leaders, ACTIVITY, activities, NO_DESCRIPTION), ACTIVITY)
 
 
-def _of_top_activities(rows: DataFrame, n: int) -> DataFrame:
-    """Rows of the ``n`` most common activities; the key set holds ``n`` rows, so it is broadcast."""
-    counts = rows.groupBy(ACTIVITY).agg(_total())
-    leaders = top_n(counts, n, ACTIVITY).select(ACTIVITY)
-    return rows.join(F.broadcast(leaders), ACTIVITY, "left_semi")
+def _of_top_activities(counts: DataFrame, n: int) -> DataFrame:
+    """Rows of ``counts`` that belong to the ``n`` most common activities.
+
+    Totals come from the counts themselves. For the fact to be read once, nothing may be pushed into one of the
+    two uses of the counts: an inner join with the distinct leaders stays above the aggregation, where a
+    semi-join would not, and the null-safe comparison implies no filter. The leaders, at most ``n`` rows
+    and never null, are broadcast.
+    """
+    totals = counts.groupBy(ACTIVITY).agg(F.sum("total").alias("total"))
+    leaders = top_n(totals, n, ACTIVITY).select(F.col(ACTIVITY).alias("_leader")).where(F.col("_leader").isNotNull())
+    return counts.join(F.broadcast(leaders), F.col(ACTIVITY).eqNullSafe(F.col("_leader"))).drop("_leader")
 
 
 def activity_by_status(fact: DataFrame, activities: DataFrame, n: int = 10, window: Period = WINDOW) -> DataFrame:
-    rows = _of_top_activities(opened_in(fact, window), n)
-    counts = rows.groupBy(ACTIVITY, STATUS).agg(_total())
-    described = describe(counts, ACTIVITY, activities, NO_DESCRIPTION)
+    counts = opened_in(fact, window).groupBy(ACTIVITY, STATUS).agg(_total())
+    described = describe(_of_top_activities(counts, n), ACTIVITY, activities, NO_DESCRIPTION)
     return described.withColumn("situacao_desc", _status_text()).orderBy(ACTIVITY, STATUS)
 
 
@@ -238,9 +243,8 @@ def activity_divisions(
 
 def activity_evolution(fact: DataFrame, activities: DataFrame, n: int = 5, window: Period = WINDOW) -> DataFrame:
     """Openings per year of the ``n`` most common activities, with a legend of at most 30 characters."""
-    rows = _of_top_activities(_with_opening_year(fact, window), n)
-    counts = rows.groupBy("ano_abertura", ACTIVITY).agg(_total())
-    described = describe(counts, ACTIVITY, activities, NO_DESCRIPTION)
+    counts = _with_opening_year(fact, window).groupBy("ano_abertura", ACTIVITY).agg(_total())
+    described = describe(_of_top_activities(counts, n), ACTIVITY, activities, NO_DESCRIPTION)
     return described.withColumn("cnae_desc", ellipsize(F.col("descricao"), 30)).orderBy("ano_abertura", ACTIVITY)
 
 
