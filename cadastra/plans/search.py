@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +84,7 @@ def by_state_and_activity(
         tests = [any_unit(in_state), any_unit(in_activity)]
     names = [f"_t{i}" for i in range(len(tests))]
     flagged = documents.select("_id", *[t.alias(n) for t, n in zip(tests, names)])
+    flagged = flagged.where(reduce(Column.__or__, [F.col(n) for n in names]))
     # A company may be stored in parts, so each test counts if any part passes it.
     passed = flagged.groupBy("_id").agg(*[F.bool_or(n).alias(n) for n in names])
     for name in names:
@@ -105,14 +108,11 @@ def count_by_state(documents: DataFrame) -> DataFrame:
 
 
 def branches_by_state(documents: DataFrame, company: int | None = None) -> DataFrame:
-    """Establishments per company and state; of one company if given."""
+    """Establishments per company and state; of one company, the most common state first, if given."""
     chosen = documents if company is None else by_company(documents, company)
-    return (
-        units(chosen)
-        .groupBy("_id", F.col("unidade.endereco.uf").alias("uf"))
-        .agg(F.count("*").alias("filiais"))
-        .orderBy("_id", F.desc("filiais"), "uf")
-    )
+    keys = ["_id", F.col("unidade.endereco.uf").alias("uf")]
+    counts = units(chosen).groupBy(*keys).agg(F.count("*").alias("filiais"))
+    return counts if company is None else by_total(counts, "uf", "filiais")
 
 
 def name_search(documents: DataFrame, text: str) -> DataFrame:
@@ -130,7 +130,7 @@ def name_search(documents: DataFrame, text: str) -> DataFrame:
     )
 
 
-def collection_stats(documents: DataFrame, name: str = "empresas_mei", database: str = "cnpj_rf") -> DataFrame:
+def collection_stats(documents: DataFrame, name: str = "documentos", database: str = "cadastro") -> DataFrame:
     return documents.agg(F.count_distinct("_id").alias("total_documentos")).select(
         "total_documentos", F.lit(name).alias("nome"), F.lit(database).alias("banco")
     )

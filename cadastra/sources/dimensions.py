@@ -12,7 +12,7 @@ def build(spark: SparkSession, bronze_root: str, gold_root: str, overwrite: bool
     """One Parquet table per domain folder; existing ones are kept."""
     for folder, table in DOMAIN_TABLES.items():
         raw = bronze.read_raw(spark, f"{bronze_root}/{folder}", DOMAIN)
-        silver.write(silver.cast_schema(raw, DOMAIN).coalesce(1), f"{gold_root}/{table}", overwrite)
+        silver.write(silver.cast_schema(raw, DOMAIN), f"{gold_root}/{table}", overwrite)
 
 
 def load(spark: SparkSession, gold_root: str, table: str) -> DataFrame:

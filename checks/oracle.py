@@ -523,7 +523,7 @@ QUERIES = {
         SELECT DISTINCT _id FROM unidades WHERE uf = 'NATION_9' AND cnae_fiscal_principal = 25000
         ORDER BY _id LIMIT 50""",
     "doc_count_by_uf": "SELECT uf, count(*) AS total FROM unidades GROUP BY uf",
-    "doc_stats": """SELECT count(DISTINCT _id) AS total_documentos, 'empresas_mei' AS nome, 'cnpj_rf' AS banco
+    "doc_stats": """SELECT count(DISTINCT _id) AS total_documentos, 'documentos' AS nome, 'cadastro' AS banco
                     FROM cabecalhos""",
     "doc_by_secondary_cnae": "SELECT DISTINCT _id FROM unidades WHERE list_contains(secundarias, 25000)",
     "doc_by_index": """
