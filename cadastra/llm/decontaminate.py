@@ -95,6 +95,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame
         known = windows.where(F.col("width") == length).select("hash", "window", "items")
         if sizes.get(length, 0) <= MAX_BROADCAST:
             known = F.broadcast(known)
+        else:
+            # a table of windows looks to Spark as small as the documents it is made from
+            known = known.hint("merge")
         hashed = with_window_hashes(texts, "words", length, "hashes")
         # the pass over full windows also carries the word count, as entry 0
         first = F.array(F.size("words").cast("long")) if length == width else F.array().cast("array<bigint>")

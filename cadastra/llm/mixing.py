@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import count_words, scratch_folder, stored, text_of
+from cadastra.llm.common import SPACES, count_words, scratch_folder, stored, text_of
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -325,11 +325,16 @@ def materialised(docs: DataFrame, **options) -> DataFrame:
     hidden = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
     key = sized(docs, *[F.col(f"`{c}`").alias(h) for c, h in hidden.items()])
     rows = mix(key, plan).select(*hidden.values(), "size", F.explode("draws").alias("draw"))
-    leading = F.concat(F.lit(r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]*){"), F.col("draw.words"), F.lit("}"))
     text = F.col(hidden["text"])
-    shown = F.when(F.col("draw.words") < F.col("size"), F.regexp_extract(text, leading, 0)).otherwise(text)
+    # pieces are words with the blanks after them; blanks before the first word are a piece of their own
+    pieces = F.split(text, r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])", -1)
+    lead = F.when(F.btrim(pieces[0], F.lit(SPACES)) == "", 1).otherwise(0)
+    leading = F.array_join(F.slice(pieces, F.lit(1), (F.col("draw.words") + lead).cast("int")), "")
+    shown = F.when(F.col("draw.words") < F.col("size"), leading).otherwise(text)
     made = {"text": shown, "n_chars": F.length(shown).cast("long")}
-    rows = rows.repartition("draw.shard").sortWithinPartitions("draw.shard", "draw.place")
+    # a shard's draws are dealt over many tasks by their place, then put in order there
+    part = F.substring("draw.place", 1, 2)
+    rows = rows.repartition("draw.shard", part).sortWithinPartitions("draw.shard", "draw.place")
     return rows.select(
         *[made[c].alias(c) if c in made else F.col(h).alias(c) for c, h in hidden.items()]
     )

@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_LABELLED = 3_000
-NEIGHBOURS = 15
-DIMENSIONS = 64
+NEIGHBOURS = 5
+DIMENSIONS = 32
 GRAM_BITS = 12
 GRAMS = 1 << GRAM_BITS
 BINS = 12
-SHAPE_WEIGHT = 1.0
+SHAPE_WEIGHT = 2.0
 THRESHOLD = 0.3
 BLOCK = 256
 FOLDS = 5
