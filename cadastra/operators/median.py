@@ -5,68 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.session import shared_dir
 
-BINS = 4096
-# Distinct values that one task may put in order.
-ORDERED_VALUES = 1_000_000
-
-
-def exact_median(df: DataFrame, column: str, bins: int = BINS, ordered_values: int = ORDERED_VALUES) -> DataFrame:
+def exact_median(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
     """One row, one column ``median``: the interpolated median of the non-null values.
 
-    Values are first reduced to (value, rows) pairs, with a partial aggregation before the shuffle, and
-    the pairs are checkpointed when this function is called, so the input is read once. While there are
-    too many of them to order in one task, the value range is split into ``bins`` equal steps and only
-    the one or two steps that hold the middle rows are kept. Every round cuts each kept step that has
-    more than one value, so the two middle values themselves are the smallest remainder.
+    Values become (value, rows) pairs, with a partial aggregation before the shuffle. The pairs are dealt into
+    ``ranges`` of neighbouring values (as many as shuffle partitions by default), whose row counts tell in which one or two
+    ranges the middle rows lie; only these are put in order. The plan is lazy and has the same
+    stages for any input. The second look at the pairs goes by the bounds found, not by partition, so it holds even if
+    ranges are cut anew. NaN counts as the largest value, after infinity.
     """
-    ordered_values = max(ordered_values, 2)
-    shared_dir(df.sparkSession)
-    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
-    pairs = counted.checkpoint()
-    band = pairs.withColumns({"total": pairs.agg(F.sum("rows")).scalar(), "below": F.lit(0).cast("bigint")})
-    if pairs.count() > ordered_values:
-        low, high = pairs.agg(F.min("value")).scalar(), pairs.agg(F.max("value")).scalar()
-        band = _middle_band(band.withColumns({"low": low, "high": high}), bins)
-        while band.count() > ordered_values:
-            band = _middle_band(band, bins)
-    running = Window.orderBy("value")
-    upto = band.withColumn("upto", F.col("below") + F.sum("rows").over(running))
-    lower_rank, upper_rank = F.expr("(total - 1) div 2"), F.expr("total div 2")
-    return upto.agg(
-        (
-            (
-                F.min(F.when(F.col("upto") > lower_rank, F.col("value")))
-                + F.min(F.when(F.col("upto") > upper_rank, F.col("value")))
-            )
-            / 2
-        ).alias("median")
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = (
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("value"))
+        .agg(F.count("*").alias("rows"))
+        .repartitionByRange(ranges, "value")
     )
-
-
-def _middle_band(band: DataFrame, bins: int) -> DataFrame:
-    """Values of the steps that hold the middle ranks; at most two steps qualify."""
-    stepped = band.withColumn("step", F.coalesce(F.width_bucket("value", "low", "high", F.lit(bins)), F.lit(0)))
-    totals = stepped.groupBy("low", "step").agg(
-        F.sum("rows").alias("step_rows"),
-        F.min("value").alias("new_low"),
-        F.max("value").alias("new_high"),
-        F.first("below").alias("below"),
-        F.first("total").alias("total"),
+    parts = pairs.groupBy(F.spark_partition_id().alias("range")).agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("rows").alias("rows")
     )
-    # At most two parents of ``bins + 2`` steps each reach this ordered window.
-    before = Window.orderBy("new_low").rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.withColumn("before", F.col("below") + F.coalesce(F.sum("step_rows").over(before), F.lit(0)))
-    middle = placed.where(
-        (F.col("before") <= F.expr("total div 2"))
-        & (F.col("before") + F.col("step_rows") > F.expr("(total - 1) div 2"))
-    ).select("low", "step", "new_low", "new_high", F.min("before").over(Window.partitionBy("total")).alias("new_below"))
-    return stepped.join(F.broadcast(middle), ["low", "step"]).select(
-        "value",
-        "rows",
-        F.col("new_low").alias("low"),
-        F.col("new_high").alias("high"),
-        "total",
-        F.col("new_below").alias("below"),
+    # one row per range from here on
+    upto = F.sum("rows").over(Window.orderBy("low").rowsBetween(Window.unboundedPreceding, 0))
+    placed = parts.withColumns({"upto": upto, "total": F.sum("rows").over(Window.partitionBy())})
+    lower, upper = F.expr("(total - 1) div 2"), F.expr("total div 2")
+    middle = placed.where((F.col("upto") > lower) & (F.col("upto") - F.col("rows") <= upper)).agg(
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.min(F.col("upto") - F.col("rows")).alias("below"),
+        F.max("total").alias("total"),
     )
+    bounds = middle.select(F.struct("low", "high", "below", "total")).scalar()
+    band = pairs.withColumn("bounds", bounds).where("value BETWEEN bounds.low AND bounds.high").select("*", "bounds.*")
+    running = F.col("below") + F.sum("rows").over(Window.orderBy("value"))
+    reached = band.withColumn("reached", running)
+    first = F.min(F.when(F.col("reached") > lower, F.col("value")))
+    second = F.min(F.when(F.col("reached") > upper, F.col("value")))
+    # halved before they are added, so that large values do not overflow, unless they are equal
+    return reached.agg(F.when(first == second, first).otherwise(first / 2 + second / 2).alias("median"))

@@ -4,6 +4,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from cadastra.functions.dates import Period
 from cadastra.operators import lookup, reshape
@@ -40,6 +41,21 @@ def test_salted_join_equals_plain_join(skewed, how, hot):
     assert rows_of(salted_join(left, right, "k", how, hot)) == rows_of(left.join(right, "k", how))
 
 
+def test_slices_split_a_key_that_lies_in_one_partition(spark):
+    left = spark.range(400).selectExpr("7 k", "id v").repartition(4, "k")
+    right = spark.createDataFrame([(7, 1)], "k int, w int")
+    joined = salted_join(left, right, "k", "inner", {7: 4})
+    assert joined.count() == 400
+    sliced = salted_join(left, right, "k", "left", {7: 4}).groupBy(F.spark_partition_id()).count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sliced.count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+
+
 def test_right_side_slices(skewed):
     left, right = skewed
     plain = rows_of(left.join(right, "k"))
@@ -63,21 +79,41 @@ def test_exact_median(spark, seed):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
     expected = statistics.median(values)
     assert exact_median(df, "v").first()[0] == pytest.approx(expected)
-    # Narrowing in many small steps gives the same answer.
-    assert exact_median(df, "v", bins=40, ordered_values=20).first()[0] == pytest.approx(expected)
+    for ranges in (1, 7, 50):
+        assert exact_median(df, "v", ranges).first()[0] == pytest.approx(expected)
 
 
 @pytest.mark.parametrize("values, expected", [([], None), ([4.0], 4.0), ([1.0, 2.0], 1.5), ([3.0] * 4, 3.0)])
 def test_exact_median_of_few_values(spark, values, expected):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert exact_median(df, "v").first()[0] == expected
-    assert exact_median(df, "v", bins=2, ordered_values=1).first()[0] == expected
+    assert exact_median(df, "v", ranges=3).first()[0] == expected
 
 
 def test_exact_median_with_far_outliers(spark):
     values = [float(i) for i in range(100)] + [1e15, -1e15, 1e-300]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    assert exact_median(df, "v", bins=50, ordered_values=10).first()[0] == statistics.median(values)
+    assert exact_median(df, "v", ranges=10).first()[0] == statistics.median(values)
+
+
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_exact_median_with_infinity_and_large_values(spark, ranges):
+    def median(values):
+        return exact_median(spark.createDataFrame([(v,) for v in values], "v double"), "v", ranges).first()[0]
+
+    inf = float("inf")
+    assert median([1.0, 2.0, 3.0, inf, inf]) == 3.0
+    assert median([1.0, inf, inf, inf]) == inf
+    assert median([1e300, 1.5e300, 1.0]) == 1e300
+    assert median([1.7e308, 1.7e308]) == 1.7e308
+    assert median([-inf, 5.0, 7.0, inf]) == 6.0
+    assert median([2.0] * 9 + [8.0] * 9) == 5.0
+
+
+def test_exact_median_is_lazy_and_has_the_same_stages_for_any_input(spark):
+    few, many = (spark.range(n).selectExpr("cast(id % 997 as double) v") for n in (10, 20_000))
+    exchanges = {plan_of(exact_median(df, "v", 6)).count("Exchange rangepartitioning") for df in (few, many)}
+    assert len(exchanges) == 1
 
 
 def test_ranking_breaks_ties_by_key(spark):
