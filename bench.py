@@ -43,7 +43,7 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - start, 3)
 
     spark.range(1000).selectExpr("sum(id)").collect()
-    timed("hot_keys", lambda: registry._hot and None)
+    timed("hot_keys", lambda: registry.hot and None)
     timed("build_gold", lambda: gold.write_snapshot(registry.fact, f"{base}/fato", "20250101") and None)
     fact = gold.read(spark, f"{base}/fato")
     timed("build_documents", lambda: documents.write_documents(documents.build_documents(fact), f"{base}/docs"))

@@ -6,31 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 4_000_000
-# Smallest share of the rows the frequent-items pass can tell apart.
-MIN_SUPPORT = 1e-4
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> dict:
     """Keys too heavy for one task, each with the number of slices it should be cut into.
 
-    A small table has none. Otherwise a frequent-items pass keeps at most ``1 / MIN_SUPPORT`` candidates and
-    the exact count runs over these only, so nothing but candidates is ever shuffled or returned. A
-    key it leaves out holds at most ``rows_per_task`` rows or ``MIN_SUPPORT`` of all rows. The answer only
-    steers the layout of a join: results are the same for any answer.
+    One exact counting pass over the key column, with partial aggregation before the shuffle. At most one key per
+    ``rows_per_task`` rows is returned. The answer only steers the layout of a join: results are the same for
+    any answer.
     """
-    keys = df.select(F.col(key).alias("key")).where(F.col("key").isNotNull())
-    total = keys.count()
-    if total <= rows_per_task:
-        return {}
-    support = max(rows_per_task / total, MIN_SUPPORT)
-    candidates = keys.freqItems(["key"], support).select(F.explode("key_freqItems").alias("key")).distinct()
-    counts = (
-        keys.join(F.broadcast(candidates), "key", "left_semi")
-        .groupBy("key")
-        .agg(F.count("*").alias("rows"))
-        .where(F.col("rows") > rows_per_task)
-    )
-    return {row["key"]: -(-row["rows"] // rows_per_task) for row in counts.collect()}
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows"))
+    return {row["key"]: -(-row["rows"] // rows_per_task) for row in counts.where(F.col("rows") > rows_per_task).collect()}
 
 
 def salted_join(
@@ -46,7 +32,8 @@ def salted_join(
     The rows of a key in ``hot`` are sliced on the left and its right rows repeated once per slice, which
     suits every join that keeps or drops left rows one by one (inner, left, left_semi, left_anti).
     ``hot_right`` slices the right side the same way and is only valid for inner joins.
-    Slices follow the input partition, which a re-run task reproduces.
+    Slices follow the content of a row and its input partition, both of which a re-run task reproduces, so keys are
+    split even where the input is laid out by key.
     """
     if not hot and not hot_right:
         return left.join(right, key, how)
@@ -55,26 +42,31 @@ def salted_join(
     hot, hot_right = hot or {}, hot_right or {}
     cuts = [(k, hot.get(k, 1), hot_right.get(k, 1)) for k in {**hot, **hot_right}]
     kind = left.schema[key].dataType.simpleString()
-    table = F.broadcast(left.sparkSession.createDataFrame(cuts, f"{key} {kind}, _cuts int, _right_cuts int"))
+    # at most one key per four million rows of the tables
+    table = left.sparkSession.createDataFrame(cuts, f"{key} {kind}, _cuts int, _right_cuts int")
 
-    def own(count: str):
-        return F.coalesce(F.pmod(F.spark_partition_id(), F.col(count)), F.lit(0))
+    def own(df: DataFrame, count: str):
+        content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        slot = F.pmod(F.pmod(content, F.col(count)) + F.spark_partition_id(), F.col(count))
+        return F.coalesce(slot.cast("int"), F.lit(0))
 
     def every(count: str):
         return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1))
 
-    sliced_left = left.join(table, key, "left").withColumn("_i", own("_cuts")).withColumn("_j", every("_right_cuts"))
-    sliced_right = right.join(table, key, "left").withColumn("_j", own("_right_cuts")).withColumn("_i", every("_cuts"))
+    sliced_left = left.join(table, key, "left").withColumn("_i", own(left, "_cuts")).withColumn("_j", every("_right_cuts"))
+    sliced_right = (
+        right.join(table, key, "left").withColumn("_j", own(right, "_right_cuts")).withColumn("_i", every("_cuts"))
+    )
     joined = sliced_left.drop("_cuts", "_right_cuts").join(
         sliced_right.drop("_cuts", "_right_cuts"), [key, "_i", "_j"], how
     )
     return joined.drop("_i", "_j")
 
 
-def sliced_left_join(left: DataFrame, right: DataFrame, key: str, hot_right: dict | None) -> DataFrame:
-    """Left join whose right side has hot keys: an inner join from the right plus the unmatched left rows."""
+def sliced_left_join(left: DataFrame, right: DataFrame, key: str, hot_right: dict | None, hot: dict | None = None) -> DataFrame:
+    """Left join whose right side may have hot keys: an inner join from the right plus the unmatched left rows."""
     if not hot_right:
-        return left.join(right, key, "left")
-    matched = salted_join(right, left, key, "inner", hot_right)
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
+        return salted_join(left, right, key, "left", hot)
+    matched = salted_join(right, left, key, "inner", hot_right, hot)
+    unmatched = salted_join(left, right.select(key).distinct(), key, "left_anti", hot)
     return matched.unionByName(unmatched, allowMissingColumns=True)

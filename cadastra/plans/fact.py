@@ -25,13 +25,35 @@ def opted_in_keys(tax_regime: DataFrame, repeated: bool = True) -> DataFrame:
     return keys.distinct() if repeated else keys
 
 
-def opted_in_companies(companies: DataFrame, keys: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+def opted_in_companies(
+    companies: DataFrame, keys: DataFrame, extra: Sequence[str] = (), hot: dict | None = None
+) -> DataFrame:
     kept = companies.select(KEY, *COMPANY_COLUMNS, *extra).withColumn("capital_social", money(F.col("capital_social")))
-    return kept.join(keys, KEY, "left_semi")
+    return salted_join(kept, keys, KEY, "left_semi", hot)
+
+
+def opted_in_partners(partners: DataFrame, keys: DataFrame, hot: dict | None = None) -> DataFrame:
+    return salted_join(partners.select(KEY, *PARTNER_COLUMNS), keys, KEY, "left_semi", hot)
 
 
-def opted_in_partners(partners: DataFrame, keys: DataFrame) -> DataFrame:
-    return partners.select(KEY, *PARTNER_COLUMNS).join(keys, KEY, "left_semi")
+def opted_in_establishments(establishments: DataFrame, keys: DataFrame, hot: dict | None = None) -> DataFrame:
+    return salted_join(establishments, keys, KEY, "left_semi", hot)
+
+
+def with_partners(
+    companies: DataFrame, partners: DataFrame | None, hot_partners: dict | None = None, hot_companies: dict | None = None
+) -> DataFrame:
+    """Companies with the data of each of their partners, or with nulls; ``None`` stands for no partner table."""
+    if partners is None:
+        return companies.select("*", *[F.lit(None).cast(FACT[n].dataType).alias(n) for n in PARTNER_COLUMNS])
+    return sliced_left_join(companies, partners.select(KEY, *PARTNER_COLUMNS), KEY, hot_partners, hot_companies)
+
+
+def of_companies(
+    establishments: DataFrame, owners: DataFrame, hot: dict | None = None, hot_owners: dict | None = None
+) -> DataFrame:
+    """Establishments with the data of their companies; those of other companies go."""
+    return salted_join(establishments, owners, KEY, "inner", hot, hot_owners)
 
 
 def build_fact(
@@ -42,6 +64,7 @@ def build_fact(
     hot: dict | None = None,
     hot_partners: dict | None = None,
     hot_flags: dict | None = None,
+    hot_companies: dict | None = None,
     names: bool = False,
 ) -> DataFrame:
     """Establishments of opted-in companies with company data and, where known, partner data.
@@ -49,18 +72,16 @@ def build_fact(
     Keys, companies and partners share one partitioning by company, so they meet without further
     exchanges; the establishments, by far the largest table, are shuffled once. Joining partners to
     companies first gives the same rows as joining them last. ``hot``,
-    ``hot_partners`` and ``hot_flags`` (see ``hot_keys``) list companies whose establishments, partners
-    or regime rows are too many for one task.
+    ``hot_partners``, ``hot_flags`` and ``hot_companies`` (see ``hot_keys``) list companies whose establishments,
+    partners, regime rows or company rows are too many for one task.
 
     A company with k partners yields each establishment k times. ``names`` adds ``razao_social`` as a
     40th column, for the company documents.
     """
     keys = opted_in_keys(tax_regime, repeated=bool(hot_flags))
     extra = ["razao_social"] if names else []
-    owners = opted_in_companies(companies, keys, extra)
-    if partners is None:
-        owners = owners.select("*", *[F.lit(None).cast(FACT[n].dataType).alias(n) for n in PARTNER_COLUMNS])
-    else:
-        # The keys have already reduced the companies, and this join follows them.
-        owners = sliced_left_join(owners, partners.select(KEY, *PARTNER_COLUMNS), KEY, hot_partners)
-    return salted_join(establishments, owners, KEY, "inner", hot, hot_partners).select(*FACT.names, *extra)
+    # The keys have already reduced the companies when the partners join them.
+    owners = with_partners(opted_in_companies(companies, keys, extra, hot_companies), partners, hot_partners, hot_companies)
+    counts = [hot_partners or {}, hot_companies or {}]
+    hot_owners = {k: max(c.get(k, 1) for c in counts) for c in counts for k in c}
+    return of_companies(establishments, owners, hot, hot_owners).select(*FACT.names, *extra)

@@ -38,6 +38,7 @@ def fact_from_silver(tables: dict[str, DataFrame], names: bool = False) -> DataF
         hot=hot_keys(establishments, KEY),
         hot_partners=None if partners is None else hot_keys(partners, KEY),
         hot_flags=hot_keys(tables["simples"], KEY),
+        hot_companies=hot_keys(tables["empresas"], KEY),
         names=names,
     )
 

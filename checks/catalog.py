@@ -71,13 +71,13 @@ def semi_partners(r: Registry) -> DataFrame:
 
 @query
 def semi_establishments(r: Registry) -> DataFrame:
-    return r.establishments.join(facts.opted_in_keys(r.tax_regime), facts.KEY, "left_semi")
+    return facts.opted_in_establishments(r.establishments, facts.opted_in_keys(r.tax_regime), r.hot["establishments"])
 
 
 @query
 def inner_establishments_companies(r: Registry) -> DataFrame:
     companies = facts.opted_in_companies(r.companies, facts.opted_in_keys(r.tax_regime))
-    return r.establishments.join(companies, facts.KEY).select(
+    return facts.of_companies(r.establishments, companies, r.hot["establishments"], r.hot["companies"]).select(
         facts.KEY, "cnpj_ordem", "cnpj_dv", "natureza_juridica", "porte_empresa", "capital_social"
     )
 
@@ -85,7 +85,7 @@ def inner_establishments_companies(r: Registry) -> DataFrame:
 @query
 def left_partners(r: Registry) -> DataFrame:
     companies = facts.opted_in_companies(r.companies, facts.opted_in_keys(r.tax_regime))
-    return companies.join(r.partners, facts.KEY, "left").select(
+    return facts.with_partners(companies, r.partners, r.hot["partners"], r.hot["companies"]).select(
         facts.KEY, "porte_empresa", "identificador_socio", "nome_socio_razao_social"
     )
 

@@ -168,16 +168,26 @@ class Registry:
     # Hot keys are looked for once per folder; the pass over the test tables reads keys only.
 
     @cached_property
-    def _hot(self) -> tuple[dict, dict, dict]:
+    def hot(self) -> dict[str, dict]:
         keys = self.table("lineitem").select("l_orderkey").join(
             self.table("orders").select("o_orderkey", F.col("o_custkey").alias(KEY)),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
-        return hot_keys(keys, KEY), hot_keys(self.partners, KEY), hot_keys(self.tax_regime, KEY)
+        counted = {"establishments": keys, "partners": self.partners, "flags": self.tax_regime, "companies": self.companies}
+        return {name: hot_keys(df, KEY) for name, df in counted.items()}
 
     def _build(self, names: bool) -> DataFrame:
+        hot = self.hot
         return build_fact(
-            self.tax_regime, self.companies, self.establishments, self.partners, *self._hot, names=names
+            self.tax_regime,
+            self.companies,
+            self.establishments,
+            self.partners,
+            hot["establishments"],
+            hot["partners"],
+            hot["flags"],
+            hot["companies"],
+            names=names,
         )
 
     @cached_property

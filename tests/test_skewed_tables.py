@@ -55,7 +55,7 @@ doc_count_by_uf doc_branches_by_uf doc_activity_index doc_stats company_sheet na
 @pytest.mark.parametrize("name", NAMES)
 def test_query_agrees_with_sql(spark, folder, small_thresholds, name):
     registry = tables.registry(spark, folder)
-    assert 11 in registry._hot[0]
+    assert 11 in registry.hot["establishments"]
     assert compare.difference(spark, compare.connect(folder), folder, name) is None
 
 
