@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cadastra.operators.filters import apply_filters  # noqa: E402
 from cadastra.plans import documents, metrics, search, sheet  # noqa: E402
+from cadastra.plans.fact import opted_in_companies, opted_in_keys  # noqa: E402
 from cadastra.session import build_session, shared_dir  # noqa: E402
 from cadastra.sources import gold  # noqa: E402
 from checks.catalog import ACTIVITY, CLOSINGS, STATE, WINDOW  # noqa: E402
@@ -46,7 +47,9 @@ def main() -> None:
     timed("hot_keys", lambda: registry.hot and None)
     timed("build_gold", lambda: gold.write_snapshot(registry.fact, f"{base}/fato", "20250101") and None)
     fact = gold.read(spark, f"{base}/fato")
-    timed("build_documents", lambda: documents.write_documents(documents.build_documents(fact), f"{base}/docs"))
+    keys = opted_in_keys(registry.tax_regime)
+    companies = opted_in_companies(registry.companies, keys, ["razao_social"])
+    timed("build_documents", lambda: documents.write_documents(documents.build_documents(fact, companies), f"{base}/docs", 64))
 
     docs = documents.read_documents(spark, f"{base}/docs")
     activities, towns = registry.activities, registry.towns
@@ -63,8 +66,8 @@ def main() -> None:
         "cnae_by_situacao": lambda: metrics.activity_by_status(fact, activities, 10, WINDOW),
         "top_cnae_evolution": lambda: metrics.activity_evolution(fact, activities, 5, WINDOW),
         "filters": lambda: apply_filters(fact, states=[STATE], statuses=[2]).groupBy("uf").count(),
-        "doc_by_key": lambda: documents.document_by_id(spark, f"{base}/docs", 11),
-        "doc_by_uf_cnae": lambda: search.by_state_and_activity(docs, STATE, ACTIVITY),
+        "doc_by_key": lambda: documents.nested(documents.documents_by_id(spark, f"{base}/docs", 11)),
+        "doc_by_uf_cnae": lambda: documents.nested(search.by_state_and_activity(docs, STATE, ACTIVITY)),
         "doc_count_by_uf": lambda: search.count_by_state(docs),
         "company_sheet": lambda: sheet.company_sheets(docs, activities, towns, registry.natures),
     }.items():

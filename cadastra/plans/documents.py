@@ -1,22 +1,26 @@
-"""Nested company documents.
+"""Company documents.
 
-One row per company, holding its header, partners and establishments. A company with more than
-``max_rows`` distinct fact rows is kept as several rows that differ in ``part``: each has the header,
-its own share of the establishments and the partners these rows name. ``unidades`` counts the establishments of
-the whole company. Every query in ``plans.search`` and ``plans.sheet`` accepts such parts.
+A set of documents is kept in three tables, all keyed by company: ``headers`` (one row each, with the number of
+its establishments), ``partners`` (one row per distinct partner) and ``units`` (one row per distinct
+establishment record, with the number of ``copies``). No row grows with its company, so one layout serves
+companies of every size. ``nested`` turns chosen companies into records with lists.
+
+As in the source, an establishment counts once per distinct fact row, hence once for each partner of its
+company; ``copies`` holds that number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions.cleansing import clean_name, integer_list
-from cadastra.operators.crowding import MAX_ROWS, is_small, part_number, parts_for, settled, size_checked
 from cadastra.schemas import FACT
 from cadastra.session import shared_dir
+from cadastra.sources.committed import is_committed, read_note, write_note
 
 KEY = "cnpj_basico"
 # Field order of the nested records.
@@ -30,11 +34,24 @@ HEADER = [
     "opcao_pelo_simples",
     "opcao_pelo_mei",
 ]
-DOCUMENT = ["_id", "part", *HEADER, "socios", "unidades", "estabelecimentos"]
+DOCUMENT = ["_id", *HEADER, "socios", "unidades", "estabelecimentos"]
 
 Row = Callable[[str], Column]
 
 
+class Documents(NamedTuple):
+    headers: DataFrame
+    partners: DataFrame
+    units: DataFrame
+
+    def each(self, change: Callable[[DataFrame], DataFrame]) -> Documents:
+        return Documents(*map(change, self))
+
+    def of(self, companies: DataFrame, on: str | list[str] = "_id") -> Documents:
+        """The whole documents of the companies listed (``_id``, each once)."""
+        return self.each(lambda table: table.join(companies, on, "left_semi"))
+
+
 def header_of(row: Row, named: bool) -> Column:
     """Company header; both regime flags are constant because the fact holds opted-in companies only."""
     return F.struct(
@@ -76,181 +93,135 @@ def establishment_of(row: Row) -> Column:
     )
 
 
-def _crowded(rows: DataFrame, content: list[str], header: Column, max_rows: int) -> DataFrame | None:
-    """(company, parts, total, header) of companies with more than ``max_rows`` distinct rows, if there are any.
+def build_documents(fact: DataFrame, companies: DataFrame | None = None) -> Documents:
+    """Documents of the fact's companies.
 
-    The plain row count is an upper bound, so distinct rows are counted for its candidates only.
-    """
-    counted = rows.groupBy(KEY).agg(F.count("*").alias("rows"))
-    candidates = settled(counted.where(F.col("rows") > max_rows).select(KEY))
-    if candidates is None:
-        return None
-    measured = (
-        rows.join(size_checked(candidates), KEY, "left_semi")
-        .withColumn("_header", header)
-        .groupBy(KEY)
-        .agg(F.count_distinct(F.xxhash64(*content)).alias("rows"), F.min("_header").alias("_header"))
-        .where(F.col("rows") > max_rows)
-    )
-    parts = parts_for(F.col("rows"), max_rows).alias("_parts")
-    return settled(measured.select(KEY, parts, F.col("rows").alias("_total"), "_header"))
-
-
-def build_documents(fact: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Group the distinct fact rows into documents.
-
-    Exact copies collapse before the shuffle (the set is built by a partial aggregation), every other
-    row contributes one establishment. The company name is used when the fact carries it.
+    Exact copies of fact rows collapse, with a partial aggregation before the shuffle. The company name is used when the
+    fact carries it, or taken with the rest of the header from ``companies`` (opted-in rows with name), which spares
+    the fact that column. Of several header rows the smallest counts.
     """
     named = "razao_social" in fact.columns
     content = [n for n in FACT.names if n != KEY] + (["razao_social"] if named else [])
-    rows = fact.select(KEY, *content)
-    crowded = _crowded(rows, content, header_of(F.col, named), max_rows)
-    record = F.collect_set(F.struct(*content)).alias("_rows")
-    own_header = F.array_min(F.transform("_rows", lambda r: header_of(r.getField, named)))
-    if crowded is None:
-        grouped = rows.groupBy(KEY).agg(record).select(
-            "*", F.lit(0).alias("part"), F.size("_rows").cast("bigint").alias("unidades"), own_header.alias("_header")
-        )
+    key = F.col(KEY).alias("_id")
+    unit = establishment_of(F.col)
+    units = fact.select(KEY, *content).distinct().groupBy(key, unit.alias("unidade")).agg(F.count("*").alias("copies"))
+    partners = fact.select(key, partner_of(F.col).alias("socio")).where("socio IS NOT NULL").distinct()
+    if companies is None:
+        source = fact
     else:
-        if is_small(crowded):
-            placed = rows.join(F.broadcast(crowded), KEY, "left")
-        else:
-            placed = rows.dropDuplicates().join(crowded, KEY, "left")
-        placed = placed.withColumn("part", part_number(F.col("_parts"), *content))
-        if not is_small(crowded):
-            placed = placed.repartition(KEY, "part")
-        grouped = (
-            placed.groupBy(KEY, "part")
-            .agg(record, F.first("_header").alias("_shared"), F.first("_total").alias("_total"))
-            .withColumn("_header", F.coalesce("_shared", own_header))
-            .withColumn("unidades", F.coalesce("_total", F.size("_rows").cast("bigint")))
-        )
-    partners = F.transform("_rows", lambda r: partner_of(r.getField))
-    return grouped.select(
-        F.col(KEY).alias("_id"),
-        "part",
-        *[F.col("_header")[name].alias(name) for name in HEADER],
-        F.sort_array(F.array_distinct(F.filter(partners, lambda p: p.isNotNull()))).alias("socios"),
-        "unidades",
-        F.sort_array(F.transform("_rows", lambda r: establishment_of(r.getField))).alias("estabelecimentos"),
+        named, source = True, companies.join(fact.select(KEY), KEY, "left_semi")
+    headers = source.groupBy(key).agg(F.min(header_of(F.col, named)).alias("header"))
+    return Documents(counted(headers, units), partners, units)
+
+
+def counted(headers: DataFrame, units: DataFrame) -> DataFrame:
+    """Flat headers, from (_id, header), with the number of each company's establishments."""
+    sizes = units.groupBy("_id").agg(F.sum("copies").alias("unidades"))
+    return headers.join(sizes, "_id", "left").select(
+        "_id", *[F.col("header")[name].alias(name) for name in HEADER], F.coalesce("unidades", F.lit(0)).alias("unidades")
     )
 
 
-def merge_documents(old: DataFrame, new: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Union of two document tables by company.
+def nested(documents: Documents) -> DataFrame:
+    """One record per company with sorted lists of partners and establishments.
 
-    An existing header stays; partners are united; an establishment is kept as often as the table that
-    has it most often, so merging the same documents again changes nothing.
+    A record is as large as its company: choose companies first, as the lookups do. All other questions are answered
+    from the three tables.
     """
-    both = old.select(*DOCUMENT, F.lit(0).alias("_age")).unionAll(new.select(*DOCUMENT, F.lit(1).alias("_age")))
-    units = (
-        both.select("_id", "_age", F.explode("estabelecimentos").alias("unit"))
-        .groupBy("_id", "unit")
-        .agg(F.count_if(F.col("_age") == 0).alias("a"), F.count_if(F.col("_age") == 1).alias("b"))
-        .select("_id", "unit", F.greatest("a", "b").cast("int").alias("copies"))
-    )
-    partners = both.select("_id", F.explode("socios").alias("partner")).distinct()
-    headers = (
-        both.select("_id", F.struct("_age", F.struct(*HEADER).alias("header")).alias("aged"))
-        .groupBy("_id")
-        .agg(F.min("aged")["header"].alias("header"))
-    )
-    crowded = _crowded_unions(both, units, max_rows)
-
-    def placed(items: DataFrame, *content: str) -> DataFrame:
-        if crowded is None:
-            return items.withColumns({"part": F.lit(0), "_total": F.lit(None).cast("bigint")})
-        sized = items.join(size_checked(crowded), "_id", "left")
-        if content:
-            return sized.withColumn("part", part_number(F.col("_parts"), *content)).drop("_parts")
-        every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-        return sized.withColumn("part", F.explode(every)).drop("_parts")
-
-    occurrence = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    single = units if crowded is None else units.withColumn("copy", occurrence).withColumn("copies", F.lit(1))
-    spread = ("unit",) if crowded is None else ("unit", "copy")
-    items = (
-        placed(single, *spread)
-        .drop("copy")
-        .unionByName(placed(partners, "partner"), allowMissingColumns=True)
-        .unionByName(placed(headers), allowMissingColumns=True)
-    )
-    if crowded is not None:
-        items = items.repartition("_id", "part")
-    merged = items.groupBy("_id", "part").agg(
-        F.min("header").alias("header"),
-        F.max("_total").alias("_total"),
-        F.sort_array(F.collect_list("partner")).alias("socios"),
-        F.collect_list(F.when(F.col("unit").isNotNull(), F.struct("unit", "copies"))).alias("_units"),
-    )
-    repeated = F.flatten(F.transform("_units", lambda u: F.array_repeat(u["unit"], u["copies"])))
-    documents = merged.select(
-        "_id",
-        "part",
-        *[F.col("header")[name].alias(name) for name in HEADER],
-        "socios",
-        F.coalesce("_total", F.size(repeated).cast("bigint")).alias("unidades"),
-        F.sort_array(repeated).alias("estabelecimentos"),
-    )
-    return documents.where((F.col("part") == 0) | (F.size("estabelecimentos") > 0) | (F.size("socios") > 0))
+    partners = documents.partners.groupBy("_id").agg(F.sort_array(F.collect_list("socio")).alias("socios"))
+    repeated = F.flatten(F.transform("listed", lambda u: F.array_repeat(u["unidade"], u["copies"].cast("int"))))
+    units = documents.units.groupBy("_id").agg(F.collect_list(F.struct("unidade", "copies")).alias("listed"))
+    units = units.select("_id", F.sort_array(repeated).alias("estabelecimentos"))
+    joined = documents.headers.join(partners, "_id", "left").join(units, "_id", "left")
+    lists = {"socios": partners, "estabelecimentos": units}
+    empty = {n: F.coalesce(n, F.array().cast(t.schema[n].dataType)).alias(n) for n, t in lists.items()}
+    return joined.select(*[empty.get(n, F.col(n)) for n in DOCUMENT])
 
 
-def _crowded_unions(both: DataFrame, units: DataFrame, max_rows: int) -> DataFrame | None:
-    """(company, parts, total) of companies whose united establishments exceed ``max_rows``.
+def merge_documents(old: Documents, new: Documents) -> Documents:
+    """Union of two sets by company.
 
-    Array sizes give an upper bound without spreading the arrays; only its candidates are counted exactly.
+    An existing header stays; partners are united; an establishment is kept as often as the set that
+    has it most often, so merging the same documents again changes nothing. Work is dealt by company and record.
     """
-    bounds = both.groupBy("_id").agg(F.sum(F.size("estabelecimentos")).alias("rows"))
-    candidates = settled(bounds.where(F.col("rows") > max_rows).select("_id"))
-    if candidates is None:
-        return None
-    counted = units.join(size_checked(candidates), "_id", "left_semi").groupBy("_id").agg(F.sum("copies").alias("rows"))
-    sized = counted.where(F.col("rows") > max_rows)
-    parts = parts_for(F.col("rows"), max_rows).alias("_parts")
-    return settled(sized.select("_id", parts, F.col("rows").alias("_total")))
+
+    def both(table: str, *columns) -> DataFrame:
+        first, second = (getattr(d, table).select("_id", *columns) for d in (old, new))
+        return first.withColumn("age", F.lit(0)).unionAll(second.withColumn("age", F.lit(1)))
+
+    units = (
+        both("units", "unidade", "copies").groupBy("_id", "unidade", "age").agg(F.sum("copies").alias("copies"))
+        .groupBy("_id", "unidade").agg(F.max("copies").alias("copies"))
+    )
+    partners = both("partners", "socio").select("_id", "socio").distinct()
+    oldest = F.min(F.struct("age", "header"))["header"].alias("header")
+    headers = both("headers", F.struct(*HEADER).alias("header")).groupBy("_id").agg(oldest)
+    return Documents(counted(headers, units), partners, units)
 
 
-# Storage: partitioned by a hash of the company, so that a merge rewrites only the buckets it touches.
+# Storage: each table partitioned by a hash of the company, so that a merge rewrites only the buckets it touches, and
+# sorted by company inside its files, so that a lookup skips most row groups. The number of buckets is part of the store.
 
-BUCKETS = 64
+BUCKETS = 1024
+NOTE = "store"
 
 
 def bucket_of(buckets: int) -> Column:
     return F.pmod(F.xxhash64("_id"), F.lit(buckets)).cast("int")
 
 
-def write_documents(documents: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Full reload. Rebalancing splits a bucket that is larger than others over several files."""
-    _bucketed(documents, buckets).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "bucket"
-    ).parquet(path)
+def write_documents(documents: Documents, path: str, buckets: int = BUCKETS) -> None:
+    """Full reload."""
+    spark = documents.headers.sparkSession
+    _write(documents, path, buckets, "static")
+    write_note(spark, f"{path}/{NOTE}", {"buckets": buckets})
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int:
+    return int(read_note(spark, f"{path}/{NOTE}")["buckets"])
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*DOCUMENT)
+def read_documents(spark: SparkSession, path: str) -> Documents:
+    """The stored documents; the tables have a column ``bucket``, by which they can be pruned."""
+    if not is_committed(spark, f"{path}/{NOTE}"):
+        raise FileNotFoundError(f"{path} holds no complete set of documents")
+    return Documents(*[spark.read.parquet(f"{path}/{name}") for name in Documents._fields])
 
 
-def document_by_id(spark: SparkSession, path: str, company: int, buckets: int = BUCKETS) -> DataFrame:
+def documents_by_id(spark: SparkSession, path: str, company: int) -> Documents:
     """Point lookup that opens one bucket only."""
-    bucket = spark.range(1).select(F.lit(company).cast("bigint").alias("_id")).select(bucket_of(buckets))
-    stored = spark.read.parquet(path)
-    return stored.where((F.col("bucket") == bucket.scalar()) & (F.col("_id") == company)).select(*DOCUMENT)
+    bucket = spark.range(1).select(F.lit(company).cast("bigint").alias("_id"))
+    number = bucket.select(bucket_of(stored_buckets(spark, path))).first()[0]
+    return read_documents(spark, path).each(
+        lambda table: table.where((F.col("bucket") == number) & (F.col("_id") == company))
+    )
 
 
-def merge_into(path: str, new: DataFrame, buckets: int = BUCKETS, max_rows: int = MAX_ROWS) -> list[int]:
-    """Merge into the stored documents; returns the buckets that were rewritten (at most ``buckets``)."""
-    spark = new.sparkSession
+def merge_into(path: str, new: Documents) -> list[int]:
+    """Merge into the stored documents; returns the buckets that were rewritten (as many as the store has, at most)."""
+    spark = new.headers.sparkSession
     shared_dir(spark)
-    new = new.select(*DOCUMENT).checkpoint()  # read three times below
-    touched = sorted(row[0] for row in new.select(bucket_of(buckets)).distinct().collect())
-    if not touched:
-        return touched
-    stored = spark.read.parquet(path).where(F.col("bucket").isin(touched)).select(*DOCUMENT)
-    merged = _bucketed(merge_documents(stored, new, max_rows), buckets)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    buckets = stored_buckets(spark, path)
+    new = new.each(lambda table: table.drop("bucket").checkpoint())
+    touched = sorted(row[0] for row in new.headers.select(bucket_of(buckets)).distinct().collect())
+    if touched:
+        chosen = F.col("bucket").isin(touched)
+        held = read_documents(spark, path).each(lambda table: table.where(chosen).drop("bucket"))
+        merged = merge_documents(held, new).each(lambda table: table.checkpoint())
+        _write(merged, path, buckets, "dynamic")
     return touched
 
 
-def _bucketed(documents: DataFrame, buckets: int) -> DataFrame:
-    return documents.withColumn("bucket", bucket_of(buckets)).hint("rebalance", "bucket")
+def _write(documents: Documents, path: str, buckets: int, mode: str) -> None:
+    for name, table in zip(Documents._fields, documents):
+        # rebalancing splits a bucket that is larger than others over several files
+        dealt = table.withColumn("bucket", bucket_of(buckets)).hint("rebalance", "bucket")
+        (
+            dealt.sortWithinPartitions("bucket", "_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", mode)
+            .option("parquet.bloom.filter.enabled#_id", "true")
+            .partitionBy("bucket")
+            .parquet(f"{path}/{name}")
+        )
+

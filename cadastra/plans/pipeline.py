@@ -2,30 +2,51 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from cadastra.operators.skew import hot_keys
 from cadastra.plans.documents import build_documents, write_documents
-from cadastra.plans.fact import KEY, build_fact
+from cadastra.plans.fact import KEY, build_fact, opted_in_companies, opted_in_keys
 from cadastra.schemas import SILVER_TABLES
 from cadastra.sources import bronze, dimensions, gold, silver
+from cadastra.sources.committed import is_committed
 
 
 def build_dimensions(spark: SparkSession, bronze_root: str, gold_root: str, overwrite: bool = False) -> None:
     dimensions.build(spark, bronze_root, gold_root, overwrite)
 
 
+#: The one table a load can do without.
+OPTIONAL = "socios"
+
+
 def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, overwrite: bool = False) -> None:
-    """Batch conversion of all four tables; ``streaming.ingest`` is the incremental form."""
+    """Batch conversion of all four tables; ``streaming.ingest`` is the incremental form.
+
+    Partner files may be missing; the load then goes on without a partner table.
+    """
     for folder, (table, schema) in SILVER_TABLES.items():
-        raw = bronze.read_raw(spark, f"{bronze_root}/{folder}", schema)
+        try:
+            raw = bronze.read_raw(spark, f"{bronze_root}/{folder}", schema)
+        except AnalysisException as error:
+            if table == OPTIONAL and error.getCondition() == "PATH_NOT_FOUND":
+                continue
+            raise
         silver.write(silver.cast_schema(raw, schema), f"{silver_root}/{table}", overwrite)
 
 
 def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
-    return {
-        table: silver.read(spark, f"{silver_root}/{table}", schema) for table, schema in SILVER_TABLES.values()
-    }
+    """The silver tables by name, without the partners if there are none. A table that a job left unfinished
+    is an error, not an empty table."""
+    tables = {}
+    for table, schema in SILVER_TABLES.values():
+        path = f"{silver_root}/{table}"
+        if is_committed(spark, path):
+            tables[table] = silver.read(spark, path, schema)
+        elif table != OPTIONAL:
+            raise FileNotFoundError(f"{path} holds no complete table")
+    return tables
 
 
 def fact_from_silver(tables: dict[str, DataFrame], names: bool = False) -> DataFrame:
@@ -50,6 +71,10 @@ def build_gold(
     return gold.write_snapshot(fact_from_silver(read_silver(spark, silver_root)), gold_path, snapshot, overwrite)
 
 
-def load_documents(spark: SparkSession, silver_root: str, path: str) -> None:
-    """Full reload of the document table, with company names."""
-    write_documents(build_documents(fact_from_silver(read_silver(spark, silver_root), names=True)), path)
+def load_documents(spark: SparkSession, silver_root: str, gold_path: str, path: str) -> None:
+    """Full reload of the documents from the latest snapshot; headers, with the names, come from the companies."""
+    tables = read_silver(spark, silver_root)
+    flags = hot_keys(tables["simples"], KEY)
+    keys = opted_in_keys(tables["simples"], repeated=bool(flags))
+    companies = opted_in_companies(tables["empresas"], keys, ["razao_social"], hot_keys(tables["empresas"], KEY))
+    write_documents(build_documents(gold.read(spark, gold_path).drop("snapshot"), companies), path)

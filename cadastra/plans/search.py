@@ -1,137 +1,118 @@
-"""Questions asked of the company documents."""
+"""Questions asked of the company documents. Searches return whole documents, as a set of the three tables."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.cleansing import strip
 from cadastra.operators.ranking import by_total
 from cadastra.operators.skew import salted_join
-from cadastra.plans.documents import DOCUMENT, HEADER
+from cadastra.plans.documents import Documents
 
 FOUND, ABSENT, INVALID = "encontrado", "ausente", "invalido"
+#: Ids that may be broadcast; a larger answer is joined as Spark sees fit.
+BROADCAST_IDS = 100_000
 
 
-def units(documents: DataFrame) -> DataFrame:
-    """One row per establishment, with its company and its position in the document."""
-    return documents.select(
-        "_id", "part", "razao_social", F.posexplode("estabelecimentos").alias("posicao", "unidade")
-    )
-
-
-def by_company(documents: DataFrame, company: int) -> DataFrame:
-    return documents.where(F.col("_id") == company)
-
-
-def headers(documents: DataFrame) -> DataFrame:
-    """One row per company without its lists, also for companies stored in parts."""
-    columns = [*HEADER, "unidades"]
-    return documents.groupBy("_id").agg(*[F.first(c).alias(c) for c in columns])
+def by_company(documents: Documents, company: int) -> Documents:
+    return documents.each(lambda table: table.where(F.col("_id") == company))
 
 
 def _asked_ids(requests: DataFrame, id_text: str) -> DataFrame:
     return requests.withColumn("_id", strip(F.col(id_text)).try_cast("bigint"))
 
 
-def look_up(requests: DataFrame, id_text: str, documents: DataFrame, hot: dict | None = None) -> DataFrame:
+def look_up(requests: DataFrame, id_text: str, documents: Documents, hot: dict | None = None) -> DataFrame:
     """Bulk lookup: every request row with a status and, if found, the company header.
 
     Requests that are no number are kept and marked. ``hot`` lists ids asked for very often. The lists
     stay out of this join, where they would be repeated per request; see ``requested_documents``.
     """
-    known = headers(documents).withColumn("_known", F.lit(True))
+    known = documents.headers.drop("bucket").withColumn("_known", F.lit(True))
     found = salted_join(_asked_ids(requests, id_text), known, "_id", "left", hot)
     status = F.when(F.col("_id").isNull(), INVALID).when(F.col("_known"), FOUND).otherwise(ABSENT)
     return found.withColumn("status", status).drop("_known")
 
 
-def requested_documents(requests: DataFrame, id_text: str, documents: DataFrame) -> DataFrame:
+def requested_documents(requests: DataFrame, id_text: str, documents: Documents) -> Documents:
     """The whole documents that were asked for, each once however often it was."""
-    asked = _asked_ids(requests, id_text).select("_id").distinct()
-    return documents.join(asked, "_id", "left_semi")
+    return documents.of(_asked_ids(requests, id_text).select("_id").distinct())
 
 
 def by_state_and_activity(
-    documents: DataFrame,
+    documents: Documents,
     state: str,
     activity: int | None = None,
     limit: int | None = 50,
     same_unit: bool = False,
-) -> DataFrame:
+) -> Documents:
     """Companies with an establishment in the state and one of the activity.
 
     The two may be different establishments unless ``same_unit`` is set. The answer is the first
     ``limit`` companies by id.
     """
+    in_state = F.col("unidade.endereco.uf") == F.upper(F.lit(state))
+    in_activity = F.col("unidade.cnae_fiscal_principal") == F.lit(activity)
 
-    def in_state(unit: Column) -> Column:
-        return unit["endereco"]["uf"] == F.upper(F.lit(state))
-
-    def in_activity(unit: Column) -> Column:
-        return unit["cnae_fiscal_principal"] == activity
-
-    def any_unit(test) -> Column:
-        return F.coalesce(F.exists("estabelecimentos", test), F.lit(False))
+    def having(test: Column) -> DataFrame:
+        return documents.units.where(test).select("_id").distinct()
 
     if activity is None:
-        tests = [any_unit(in_state)]
+        wanted = having(in_state)
     elif same_unit:
-        tests = [any_unit(lambda u: in_state(u) & in_activity(u))]
+        wanted = having(in_state & in_activity)
     else:
-        tests = [any_unit(in_state), any_unit(in_activity)]
-    names = [f"_t{i}" for i in range(len(tests))]
-    flagged = documents.select("_id", *[t.alias(n) for t, n in zip(tests, names)])
-    flagged = flagged.where(reduce(Column.__or__, [F.col(n) for n in names]))
-    # A company may be stored in parts, so each test counts if any part passes it.
-    passed = flagged.groupBy("_id").agg(*[F.bool_or(n).alias(n) for n in names])
-    for name in names:
-        passed = passed.where(name)
-    chosen = passed.select("_id")
+        # two filters that reach the files, rather than flags over all establishments
+        wanted = having(in_state).join(having(in_activity), "_id", "left_semi")
     if limit is not None:
-        chosen = F.broadcast(chosen.orderBy("_id").limit(limit))
-    return documents.join(chosen, "_id", "left_semi")
+        wanted = wanted.orderBy("_id").limit(limit)
+        if limit <= BROADCAST_IDS:
+            wanted = F.broadcast(wanted)
+    return documents.of(wanted)
 
 
-def by_secondary_activity(documents: DataFrame, activity: int) -> DataFrame:
-    return documents.where(
-        F.exists("estabelecimentos", lambda u: F.array_contains(u["cnae_fiscal_secundarias"], F.lit(activity)))
-    )
+def by_secondary_activity(documents: Documents, activity: int) -> Documents:
+    held = F.array_contains("unidade.cnae_fiscal_secundarias", F.lit(activity))
+    return documents.of(documents.units.where(held).select("_id").distinct())
+
+
+def _number(alias: str) -> Column:
+    return F.sum("copies").alias(alias)
 
 
-def count_by_state(documents: DataFrame) -> DataFrame:
+def count_by_state(documents: Documents) -> DataFrame:
     """Establishments per state, over all documents."""
-    counts = units(documents).groupBy(F.col("unidade.endereco.uf").alias("uf")).agg(F.count("*").alias("total"))
+    counts = documents.units.groupBy(F.col("unidade.endereco.uf").alias("uf")).agg(_number("total"))
     return by_total(counts, "uf")
 
 
-def branches_by_state(documents: DataFrame, company: int | None = None) -> DataFrame:
+def branches_by_state(documents: Documents, company: int | None = None) -> DataFrame:
     """Establishments per company and state; of one company, the most common state first, if given."""
     chosen = documents if company is None else by_company(documents, company)
     keys = ["_id", F.col("unidade.endereco.uf").alias("uf")]
-    counts = units(chosen).groupBy(*keys).agg(F.count("*").alias("filiais"))
+    counts = chosen.units.groupBy(*keys).agg(_number("filiais"))
     return counts if company is None else by_total(counts, "uf", "filiais")
 
 
-def name_search(documents: DataFrame, text: str) -> DataFrame:
+def name_search(documents: Documents, text: str) -> DataFrame:
     """Establishments whose company or trade name contains the text, in any case."""
     wanted = F.upper(F.lit(text))
-    rows = units(documents).select(
+    rows = documents.units.join(documents.headers.select("_id", "razao_social"), "_id").where(
+        F.contains(F.upper("razao_social"), wanted) | F.contains(F.upper("unidade.nome_fantasia"), wanted)
+    )
+    return rows.select(
         "_id",
         "razao_social",
         F.col("unidade.cnpj_ordem").alias("cnpj_ordem"),
         F.col("unidade.cnpj_dv").alias("cnpj_dv"),
         F.col("unidade.nome_fantasia").alias("nome_fantasia"),
-    )
-    return rows.where(
-        F.contains(F.upper("razao_social"), wanted) | F.contains(F.upper("nome_fantasia"), wanted)
-    )
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+    ).drop("copy")
 
 
-def collection_stats(documents: DataFrame, name: str = "documentos", database: str = "cadastro") -> DataFrame:
-    return documents.agg(F.count_distinct("_id").alias("total_documentos")).select(
+def collection_stats(documents: Documents, name: str = "documentos", database: str = "cadastro") -> DataFrame:
+    return documents.headers.agg(F.count("*").alias("total_documentos")).select(
         "total_documentos", F.lit(name).alias("nome"), F.lit(database).alias("banco")
     )
 
@@ -139,27 +120,30 @@ def collection_stats(documents: DataFrame, name: str = "documentos", database: s
 # Side table for activity searches, laid out by state and activity.
 
 
-def activity_index(documents: DataFrame) -> DataFrame:
-    """(uf, cnae, principal, _id), once per company, state and activity."""
+def activity_index(documents: Documents) -> DataFrame:
+    """(uf, cnae, principal, _id), once per company, state and activity; with ``bucket`` for stored documents."""
     unit = F.col("unidade")
     main = F.struct(unit["cnae_fiscal_principal"].alias("cnae"), F.lit(True).alias("principal"))
     others = F.transform(
         unit["cnae_fiscal_secundarias"], lambda c: F.struct(c.alias("cnae"), F.lit(False).alias("principal"))
     )
-    rows = units(documents).select(
-        unit["endereco"]["uf"].alias("uf"), "_id", F.inline(F.concat(F.array(main), others))
+    place = [c for c in ("bucket",) if c in documents.units.columns]
+    rows = documents.units.select(
+        unit["endereco"]["uf"].alias("uf"), "_id", *place, F.inline(F.concat(F.array(main), others))
     )
-    return rows.select("uf", "cnae", "principal", "_id").distinct()
+    return rows.select("uf", "cnae", "principal", "_id", *place).distinct()
 
 
-def write_activity_index(documents: DataFrame, path: str) -> None:
+def write_activity_index(documents: Documents, path: str) -> None:
     """Range layout by state, activity and company: a common activity is cut at company ids."""
     ordered = activity_index(documents).repartitionByRange("uf", "cnae", "_id").sortWithinPartitions("cnae", "_id")
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("uf").parquet(path)
 
 
-def by_index(documents: DataFrame, index: DataFrame, activity: int, state: str | None = None) -> DataFrame:
+def by_index(documents: Documents, index: DataFrame, activity: int, state: str | None = None) -> Documents:
+    """The whole documents the index names; stored ones are joined on bucket and id, so other buckets stay unread."""
     hits = index.where(F.col("cnae") == activity)
     if state is not None:
         hits = hits.where(F.col("uf") == state.upper())
-    return documents.join(hits.select("_id"), "_id", "left_semi").select(*DOCUMENT)
+    keys = [c for c in ("bucket", "_id") if c in hits.columns and c in documents.units.columns]
+    return documents.of(hits.select(*keys).distinct(), keys)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +14,9 @@ LATEST, ALL = "latest", "all"
 
 
 def snapshots(spark: SparkSession, path: str) -> list[str]:
-    """Snapshot names in order, taken from the file listing; no data is read."""
-    marks = (name.rpartition("/snapshot=")[2] for name in spark.read.parquet(path).inputFiles())
-    return sorted({unquote(mark.split("/", 1)[0]) for mark in marks})
+    """Snapshot names in order. Only the partition column is asked for, so no data is read."""
+    marks = spark.read.schema(SNAPSHOTS).parquet(path).select("snapshot").distinct()
+    return sorted(row["snapshot"] for row in marks.collect())
 
 
 def write_snapshot(
@@ -47,8 +45,10 @@ def write_snapshot(
 def _exists(spark: SparkSession, path: str, snapshot: str) -> bool:
     try:
         return snapshot in snapshots(spark, path)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def read(spark: SparkSession, path: str, snapshot: str = LATEST) -> DataFrame:

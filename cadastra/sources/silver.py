@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cadastra.functions.cleansing import typed
+from cadastra.sources.committed import write_once
 
 
 def cast_schema(raw: DataFrame, schema: StructType) -> DataFrame:
@@ -14,10 +15,9 @@ def cast_schema(raw: DataFrame, schema: StructType) -> DataFrame:
     return raw.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write(df: DataFrame, path: str, overwrite: bool = False, max_records_per_file: int = 0) -> None:
-    """Parquet; an existing table is left alone unless ``overwrite`` is set."""
-    writer = df.write.mode("overwrite" if overwrite else "ignore")
-    writer.option("maxRecordsPerFile", max_records_per_file).parquet(path)
+def write(df: DataFrame, path: str, overwrite: bool = False, max_records_per_file: int = 0) -> bool:
+    """Parquet; a committed table is left alone (and False returned) unless ``overwrite`` is set."""
+    return write_once(df, path, overwrite, maxRecordsPerFile=max_records_per_file)
 
 
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

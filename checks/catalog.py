@@ -441,9 +441,9 @@ def _partner_text(p: Column) -> Column:
     return _joined(*[p[name] for name in names])
 
 
-def flattened(documents: DataFrame) -> DataFrame:
+def flattened(documents: docs.Documents) -> DataFrame:
     """Documents with their nested records as sorted text."""
-    return documents.select(
+    return docs.nested(documents).select(
         "_id",
         *docs.HEADER,
         F.size("socios").cast("bigint").alias("n_socios"),
@@ -476,7 +476,7 @@ def doc_store_merge(r: Registry) -> DataFrame:
     docs.write_documents(docs.build_documents(early), path, buckets=8)
     update = docs.build_documents(late)
     for _ in range(2):  # merging the same rows again changes nothing
-        docs.merge_into(path, update, buckets=8)
+        docs.merge_into(path, update)
     return flattened(docs.read_documents(r.spark, path))
 
 
@@ -485,6 +485,11 @@ def doc_by_key(r: Registry) -> DataFrame:
     return flattened(search.by_company(r.documents, 11))
 
 
+@query
+def doc_by_key_stored(r: Registry) -> DataFrame:
+    return flattened(docs.documents_by_id(r.spark, r.stored_documents, 11))
+
+
 def _requests(r: Registry) -> DataFrame:
     text = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(
         F.concat(F.lit("  "), F.col("user_id").cast("string"), F.lit(" "))
@@ -504,19 +509,28 @@ def doc_requested(r: Registry) -> DataFrame:
     return flattened(search.requested_documents(_requests(r), "pedido", r.documents))
 
 
+def _ids(documents: docs.Documents) -> DataFrame:
+    return documents.headers.select("_id")
+
+
 @query
 def doc_by_uf_cnae(r: Registry) -> DataFrame:
-    return search.by_state_and_activity(r.documents, STATE.lower(), ACTIVITY).select("_id").distinct()
+    return _ids(search.by_state_and_activity(r.documents, STATE.lower(), ACTIVITY))
 
 
 @query
 def doc_by_uf(r: Registry) -> DataFrame:
-    return search.by_state_and_activity(r.documents, STATE).select("_id").distinct()
+    return _ids(search.by_state_and_activity(r.documents, STATE))
+
+
+@query
+def doc_by_uf_whole(r: Registry) -> DataFrame:
+    return flattened(search.by_state_and_activity(r.documents, STATE))
 
 
 @query
 def doc_by_uf_cnae_same_unit(r: Registry) -> DataFrame:
-    return search.by_state_and_activity(r.documents, STATE, ACTIVITY, same_unit=True).select("_id").distinct()
+    return _ids(search.by_state_and_activity(r.documents, STATE, ACTIVITY, same_unit=True))
 
 
 @query
@@ -531,14 +545,29 @@ def doc_stats(r: Registry) -> DataFrame:
 
 @query
 def doc_by_secondary_cnae(r: Registry) -> DataFrame:
-    return search.by_secondary_activity(r.documents, ACTIVITY).select("_id").distinct()
+    return _ids(search.by_secondary_activity(r.documents, ACTIVITY))
 
 
 @query
-def doc_by_index(r: Registry) -> DataFrame:
+def doc_by_secondary_cnae_whole(r: Registry) -> DataFrame:
+    return flattened(search.by_secondary_activity(r.documents, ACTIVITY))
+
+
+def _index(r: Registry, documents: docs.Documents) -> DataFrame:
     path = f"{scratch(r.spark)}/indice"
-    search.write_activity_index(r.documents, path)
-    return search.by_index(r.documents, r.spark.read.parquet(path), ACTIVITY, STATE).select("_id").distinct()
+    search.write_activity_index(documents, path)
+    return r.spark.read.parquet(path)
+
+
+@query
+def doc_by_index(r: Registry) -> DataFrame:
+    return _ids(search.by_index(r.documents, _index(r, r.documents), ACTIVITY, STATE))
+
+
+@query
+def doc_by_index_stored(r: Registry) -> DataFrame:
+    stored = docs.read_documents(r.spark, r.stored_documents)
+    return flattened(search.by_index(stored, _index(r, stored), ACTIVITY, STATE))
 
 
 @query
@@ -553,7 +582,7 @@ def doc_branches_by_uf(r: Registry) -> DataFrame:
 
 @query
 def company_sheet(r: Registry) -> DataFrame:
-    return sheet.company_sheets(r.documents, r.activities, r.towns, r.natures).drop("part", "posicao")
+    return sheet.company_sheets(r.documents, r.activities, r.towns, r.natures)
 
 
 @query

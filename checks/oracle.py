@@ -505,6 +505,17 @@ QUERIES = {
     "doc_merge": _documents(),
     "doc_store_merge": _documents(),
     "doc_by_key": _documents("h._id = 11"),
+    "doc_by_key_stored": _documents("h._id = 11"),
+    "doc_by_uf_whole": _documents(
+        "h._id IN (SELECT _id FROM unidades GROUP BY _id HAVING bool_or(uf = 'NATION_9') ORDER BY _id LIMIT 50)"
+    ),
+    "doc_by_secondary_cnae_whole": _documents(
+        "h._id IN (SELECT _id FROM unidades WHERE list_contains(secundarias, 25000))"
+    ),
+    "doc_by_index_stored": _documents(
+        """h._id IN (SELECT _id FROM unidades WHERE uf = 'NATION_9'
+                     AND (cnae_fiscal_principal = 25000 OR list_contains(secundarias, 25000)))"""
+    ),
     "doc_lookup": f"""
         SELECT event_id, pedido, q._id, CASE WHEN q._id IS NULL THEN 'invalido' WHEN h._id IS NULL THEN 'ausente'
                ELSE 'encontrado' END AS status, h.razao_social, h.unidades

@@ -5,6 +5,7 @@ Each function has a twin in ``checks.oracle``; both must stay in step.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.dates import to_ymd
 from cadastra.operators.skew import hot_keys
-from cadastra.plans.documents import build_documents
+from cadastra.plans.documents import Documents, build_documents, write_documents
 from cadastra.plans.fact import KEY, build_fact
 from cadastra.schemas import COMPANIES, ESTABLISHMENTS, PARTNERS, TAX_REGIME
+from cadastra.session import shared_dir
 
 
 def _shaped(df: DataFrame, schema, columns: dict[str, Column]) -> DataFrame:
@@ -199,9 +201,15 @@ class Registry:
         return self._build(names=True)
 
     @cached_property
-    def documents(self) -> DataFrame:
+    def documents(self) -> Documents:
         return build_documents(self.named_fact)
 
+    @cached_property
+    def stored_documents(self) -> str:
+        path = f"{shared_dir(self.spark)}/cadastra-{uuid.uuid4().hex}/documentos"
+        write_documents(self.documents, path, buckets=8)
+        return path
+
 
 _registries: dict[tuple, Registry] = {}
 

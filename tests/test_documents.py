@@ -10,7 +10,7 @@ from cadastra.operators.skew import hot_keys
 from cadastra.plans import documents as D
 from cadastra.plans import search, sheet
 from cadastra.schemas import FACT
-from samples import fact, rows_of, table
+from samples import fact, plan_of, rows_of, table
 
 
 def sample(seed: int = 3, n: int = 120) -> list[dict]:
@@ -52,10 +52,7 @@ def distinct(rows):
 
 
 def units_per_company(documents):
-    counts = Counter()
-    for d in documents.collect():
-        counts[d["_id"]] += len(d["estabelecimentos"])
-    return dict(counts)
+    return {r["_id"]: r["n"] for r in documents.units.groupBy("_id").agg(F.sum("copies").alias("n")).collect()}
 
 
 @pytest.fixture(scope="module")
@@ -65,127 +62,113 @@ def rows():
 
 @pytest.fixture(scope="module")
 def whole(spark, rows):
-    return D.build_documents(fact(spark, rows).repartition(3)).cache()
+    return D.build_documents(fact(spark, rows).repartition(3)).each(lambda table: table.cache())
 
 
-@pytest.fixture(scope="module")
-def parted(spark, rows):
-    return D.build_documents(fact(spark, rows).repartition(3), max_rows=8).cache()
-
-
-def exploded(documents):
-    return rows_of(search.units(documents).select("_id", F.to_json("unidade")))
+def records(documents):
+    return rows_of(D.nested(documents).select("_id", *D.HEADER, "unidades", F.to_json("socios"), F.to_json("estabelecimentos")))
 
 
-def test_one_document_per_company_and_one_unit_per_distinct_row(whole, rows):
+def test_one_header_per_company_and_one_unit_per_distinct_row(whole, rows):
     expected = Counter(r[0] for r in distinct(rows))
     assert units_per_company(whole) == dict(expected)
-    assert whole.count() == len(expected) and rows_of(whole.select("part").distinct()) == [(0,)]
+    assert whole.headers.count() == len(expected)
+    assert {r["_id"]: r["unidades"] for r in whole.headers.collect()} == dict(expected)
 
 
 def test_shape(whole):
-    assert whole.columns == D.DOCUMENT
-    doc = whole.where("_id = 1").first()
+    everything = D.nested(whole)
+    assert everything.columns == D.DOCUMENT
+    doc = everything.where("_id = 1").first()
     assert (doc.razao_social, doc.capital_social, doc.opcao_pelo_mei) == ("", 1.5, "S")
     assert [p.nome_socio_razao_social for p in doc.socios] == ["Ana"] and doc.socios[0].cnpj_cpf_socio == ""
     orders = [(u.cnpj_ordem, u.cnpj_dv or 0) for u in doc.estabelecimentos]
-    assert orders == sorted(orders)
+    assert orders == sorted(orders) and len(orders) == doc.unidades
     assert {u.nome_fantasia for u in doc.estabelecimentos} <= {"", "Loja Ana", "Padaria"}
-    lists = {tuple(u.cnae_fiscal_secundarias) for d in whole.collect() for u in d.estabelecimentos}
+    lists = {tuple(u.cnae_fiscal_secundarias) for d in everything.collect() for u in d.estabelecimentos}
     assert lists == {(), (1, 2), (4700000, 3, 4, 5, 6, 7)}
     assert all(u.identificador_matriz_filial in (1, 2) for u in doc.estabelecimentos)
 
 
-def test_a_crowded_company_is_kept_in_parts(whole, parted):
-    assert exploded(parted) == exploded(whole)
-    sizes = [(d["_id"], d["part"], len(d["estabelecimentos"])) for d in parted.collect()]
-    assert sum(i == 1 for i, _, _ in sizes) > 2 and all(n < 25 for _, _, n in sizes)
-    headers = parted.select("_id", "unidades", *D.HEADER).distinct()
-    assert {d["_id"]: d["unidades"] for d in headers.collect()} == units_per_company(whole)
-    assert headers.count() == whole.count()
+def test_documents_do_not_depend_on_copies_or_layout(spark, rows, whole):
+    again = D.build_documents(fact(spark, rows * 3).repartition(7))
+    assert records(again) == records(whole)
 
 
-def test_parts_do_not_depend_on_copies_or_layout(spark, rows, parted):
-    again = D.build_documents(fact(spark, rows * 3).repartition(7), max_rows=8)
-    key = ["_id", "part", F.to_json("estabelecimentos")]
-    assert rows_of(again.select(*key)) == rows_of(parted.select(*key))
-
-
-def test_many_crowded_companies_take_the_shuffled_way(spark, rows, whole, monkeypatch):
-    monkeypatch.setattr("cadastra.operators.crowding.BROADCAST_ROWS", 0)
-    documents = D.build_documents(fact(spark, rows), max_rows=3)
-    assert exploded(documents) == exploded(whole)
+def test_headers_may_come_from_the_companies(spark, rows, whole):
+    known = sorted({r["cnpj_basico"] for r in rows})
+    companies = spark.createDataFrame(
+        [(c, 2135, 1, 1, c * 1.5, f" NOME {c} ") for c in known + [999]],
+        "cnpj_basico long, natureza_juridica int, qualificacao_responsavel smallint, porte_empresa smallint, "
+        "capital_social double, razao_social string",
+    )
+    documents = D.build_documents(fact(spark, rows), companies)
+    assert rows_of(documents.headers.select("_id", "razao_social")) == sorted([(c, f"NOME {c}") for c in known], key=repr)
+    assert rows_of(documents.headers.drop("razao_social")) == rows_of(whole.headers.drop("razao_social"))
 
 
 def test_company_name_comes_with_the_fact(spark, rows):
     named = fact(spark, rows).withColumn("razao_social", F.lit(" null "))
-    assert rows_of(D.build_documents(named).select("razao_social").distinct()) == [("",)]
+    assert rows_of(D.build_documents(named).headers.select("razao_social").distinct()) == [("",)]
     named = fact(spark, rows).withColumn("razao_social", F.lit(" ANA ME "))
-    assert rows_of(D.build_documents(named).select("razao_social").distinct()) == [("ANA ME",)]
+    assert rows_of(D.build_documents(named).headers.select("razao_social").distinct()) == [("ANA ME",)]
 
 
-@pytest.mark.parametrize("max_rows", [1000, 8])
-def test_merge(spark, rows, max_rows):
+def test_merge(spark, rows):
     half = len(rows) // 2
-    old = D.build_documents(fact(spark, rows[:half]), max_rows)
-    new = D.build_documents(fact(spark, rows[half:]), max_rows)
-    merged = D.merge_documents(old, new, max_rows)
+    old, new = (D.build_documents(fact(spark, part)) for part in (rows[:half], rows[half:]))
+    merged = D.merge_documents(old, new)
     expected = defaultdict(Counter)
     for side in (old, new):
-        for d in side.collect():
-            own = Counter(map(str, d["estabelecimentos"]))
-            expected[d["_id"], side is old].update(own)
-    want = {}
-    for company in {c for c, _ in expected}:
-        want[company] = dict(expected[company, True] | expected[company, False])
+        own = defaultdict(Counter)
+        for unit in side.units.collect():
+            own[unit["_id"]][str(unit["unidade"])] += unit["copies"]
+        for company, counts in own.items():
+            expected[company] |= counts
     got = defaultdict(Counter)
-    for d in merged.collect():
-        got[d["_id"]].update(map(str, d["estabelecimentos"]))
-    assert {c: dict(v) for c, v in got.items()} == want
-    again = D.merge_documents(merged, new, max_rows)
-    assert exploded(again) == exploded(merged)
-    assert {d["_id"]: d["unidades"] for d in merged.collect()} == {c: sum(v.values()) for c, v in want.items()}
-    partners = search.by_company(merged, 1).select(F.explode("socios"))
-    assert partners.count() == partners.distinct().count() == 1
+    for unit in merged.units.collect():
+        got[unit["_id"]][str(unit["unidade"])] += unit["copies"]
+    assert got == expected
+    assert records(D.merge_documents(merged, new)) == records(merged)
+    assert {r["_id"]: r["unidades"] for r in merged.headers.collect()} == {c: v.total() for c, v in expected.items()}
+    assert search.by_company(merged, 1).partners.count() == 1
 
 
 def test_merge_keeps_the_old_header(spark):
     old = fact(spark, [{"cnpj_basico": 1, "cnpj_ordem": 1, "capital_social": 9.0}])
     new = fact(spark, [{"cnpj_basico": 1, "cnpj_ordem": 2, "capital_social": 1.0}, {"cnpj_basico": 2, "cnpj_ordem": 1}])
     merged = D.merge_documents(D.build_documents(old), D.build_documents(new))
-    assert rows_of(merged.select("_id", "capital_social", F.size("estabelecimentos"))) == [(1, 9.0, 2), (2, 0.0, 1)]
+    assert rows_of(merged.headers.select("_id", "capital_social", "unidades")) == [(1, 9.0, 2), (2, 0.0, 1)]
 
 
 def test_stored_documents(spark, tmp_path, rows, whole):
     path, half = str(tmp_path / "docs"), len(rows) // 2
     D.write_documents(D.build_documents(fact(spark, rows[:half])), path, buckets=4)
     one = fact(spark, [{"cnpj_basico": 77, "cnpj_ordem": 1}])
-    assert len(D.merge_into(path, D.build_documents(one), buckets=4)) == 1
-    assert D.document_by_id(spark, path, 77, buckets=4).count() == 1
-    assert D.document_by_id(spark, path, 78, buckets=4).count() == 0
-    before = exploded(D.read_documents(spark, path))
-    D.merge_into(path, D.build_documents(one), buckets=4)
-    assert exploded(D.read_documents(spark, path)) == before
-    D.write_documents(whole, path, buckets=4)
-    assert exploded(D.read_documents(spark, path)) == exploded(whole)
-
-
-def test_searches_give_the_same_answers_on_parts(whole, parted):
-    questions = [
-        lambda d: search.by_state_and_activity(d, "sp", 111301, limit=None).select("_id").distinct(),
-        lambda d: search.by_state_and_activity(d, "SP", limit=5).select("_id").distinct(),
-        lambda d: search.by_state_and_activity(d, "RJ", 111301, limit=3, same_unit=True).select("_id").distinct(),
-        lambda d: search.by_secondary_activity(d, 7).select("_id").distinct(),
-        search.count_by_state,
-        search.branches_by_state,
-        lambda d: search.branches_by_state(d, 1),
-        lambda d: search.name_search(d, "ana"),
-        search.collection_stats,
-        search.activity_index,
-    ]
-    for question in questions:
-        answer = rows_of(question(whole))
-        assert answer and answer == rows_of(question(parted))
+    assert len(D.merge_into(path, D.build_documents(one))) == 1
+    assert D.documents_by_id(spark, path, 77).headers.count() == 1
+    assert D.documents_by_id(spark, path, 78).headers.count() == 0
+    before = records(D.read_documents(spark, path))
+    D.merge_into(path, D.build_documents(one))
+    assert records(D.read_documents(spark, path)) == before
+    D.write_documents(whole, path, buckets=8)
+    assert D.stored_buckets(spark, path) == 8
+    assert records(D.read_documents(spark, path)) == records(whole)
+    found = D.documents_by_id(spark, path, 1)
+    assert records(found) == records(search.by_company(whole, 1))
+    assert "PartitionFilters: [isnotnull(bucket" in plan_of(found.units)
+    with pytest.raises(FileNotFoundError):
+        D.read_documents(spark, str(tmp_path / "absent"))
+
+
+def test_searches_return_whole_companies(whole):
+    for found in (
+        search.by_secondary_activity(whole, 7),
+        search.by_state_and_activity(whole, "SP", 111301, limit=3),
+        search.by_state_and_activity(whole, "RJ", limit=2),
+    ):
+        ids = [r["_id"] for r in found.headers.collect()]
+        assert ids and records(found) == records(whole.each(lambda t: t.where(F.col("_id").isin(ids))))
 
 
 def test_state_and_activity_may_match_different_units(spark):
@@ -196,25 +179,28 @@ def test_state_and_activity_may_match_different_units(spark):
         {"cnpj_basico": 3, "cnpj_ordem": 1, "uf": None, "cnae_fiscal_principal": None},
     ]
     docs = D.build_documents(fact(spark, units))
-    assert rows_of(search.by_state_and_activity(docs, "sp", 6).select("_id")) == [(1,), (2,)]
-    assert rows_of(search.by_state_and_activity(docs, "sp", 6, same_unit=True).select("_id")) == [(2,)]
-    assert rows_of(search.by_state_and_activity(docs, "sp", limit=1).select("_id")) == [(1,)]
-    assert search.by_state_and_activity(docs, "xx").count() == 0
+    assert rows_of(search.by_state_and_activity(docs, "sp", 6).headers.select("_id")) == [(1,), (2,)]
+    assert rows_of(search.by_state_and_activity(docs, "sp", 6, same_unit=True).headers.select("_id")) == [(2,)]
+    assert rows_of(search.by_state_and_activity(docs, "sp", limit=1).headers.select("_id")) == [(1,)]
+    assert search.by_state_and_activity(docs, "xx").headers.count() == 0
 
 
 def test_activity_index_table(spark, tmp_path, whole):
-    path = str(tmp_path / "index")
-    search.write_activity_index(whole, path)
-    index = spark.read.parquet(path)
-    found = search.by_index(whole, index, 111301, "rj").select("_id")
-    assert rows_of(found) == rows_of(
-        search.by_state_and_activity(whole, "RJ", 111301, limit=None, same_unit=True).select("_id")
-    )
-    assert search.by_index(whole, index, 7).count() == search.by_secondary_activity(whole, 7).count() > 0
+    path, store = str(tmp_path / "index"), str(tmp_path / "docs")
+    D.write_documents(whole, store, buckets=4)
+    for documents in (whole, D.read_documents(spark, store)):
+        search.write_activity_index(documents, path)
+        index = spark.read.parquet(path)
+        assert ("bucket" in index.columns) == (documents is not whole)
+        found = search.by_index(documents, index, 111301, "rj").headers.select("_id")
+        assert rows_of(found) == rows_of(
+            search.by_state_and_activity(whole, "RJ", 111301, limit=None, same_unit=True).headers.select("_id")
+        )
+        assert records(search.by_index(documents, index, 7)) == records(search.by_secondary_activity(whole, 7))
 
 
 @pytest.mark.parametrize("sliced", [False, True])
-def test_bulk_lookup(spark, whole, parted, sliced):
+def test_bulk_lookup(spark, whole, sliced):
     texts = [" 1 ", "1", "999", "abc", "", None] + ["1"] * 20
     asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, pedido string").repartition(4)
     hot = hot_keys(asked.selectExpr("try_cast(trim(pedido) as bigint) k"), "k", 5) if sliced else None
@@ -223,8 +209,16 @@ def test_bulk_lookup(spark, whole, parted, sliced):
     assert [status[i] for i in range(6)] == ["encontrado", "encontrado", "ausente", "invalido", "invalido", "invalido"]
     assert found.count() == len(texts)
     assert {r.n: (r.capital_social, r.unidades) for r in found.collect()}[1] == (1.5, units_per_company(whole)[1])
-    assert rows_of(search.look_up(asked, "pedido", parted, hot)) == rows_of(found)
-    assert exploded(search.requested_documents(asked, "pedido", parted)) == exploded(search.by_company(whole, 1))
+    assert records(search.requested_documents(asked, "pedido", whole)) == records(search.by_company(whole, 1))
+
+
+def test_sheets_name_all_partners_on_every_unit(spark):
+    unit = {"cnpj_basico": 5, "cnpj_ordem": 1, "identificador_socio": 2}
+    rows = [{**unit, "cnpj_ordem": n % 4, "nome_socio_razao_social": f"SOCIO {n % 3}"} for n in range(12)]
+    none = spark.createDataFrame([], "codigo long, descricao string")
+    sheets = sheet.company_sheets(D.build_documents(fact(spark, rows)), none, none, none).collect()
+    assert len(sheets) == 12 and {s.n_estabelecimentos for s in sheets} == {12}
+    assert {s.socios for s in sheets} == {"; ".join(f"SOCIO {n} (Pessoa Física)" for n in range(3))}
 
 
 def test_sheet(spark):
@@ -245,7 +239,7 @@ def test_sheet(spark):
     tables = {k: spark.createDataFrame(v, "codigo long, descricao string") for k, v in dims.items()}
     first, second = (r.asDict() for r in sheet.company_sheets(docs, **tables).orderBy(F.desc("_id")).collect())
     assert first == {
-        "_id": 1234567, "part": 0, "posicao": 0, "razao_social": "Sem nome (Razão Social não cadastrada)",
+        "_id": 1234567, "razao_social": "Sem nome (Razão Social não cadastrada)",
         "cnpj_basico": "01234567", "capital_social": "R$ 1.234,50", "natureza": "EMPRESÁRIO",
         "porte": "Micro Empresa", "simples": "S", "mei": "S", "socios": "ANA (Pessoa Física)",
         "n_estabelecimentos": 1, "tipo": "Matriz", "cnpj": "01.234.567/0001-09", "situacao": "Ativa",

@@ -9,7 +9,6 @@ import duckdb
 import pytest
 
 from cadastra.operators import skew
-from cadastra.plans import documents
 from checks import catalog, compare, tables
 
 SOURCE = "/root/testdata/sf0.001"
@@ -39,17 +38,14 @@ def folder(tmp_path_factory):
 def small_thresholds(monkeypatch):
     def hot_keys(df, key):
         return skew.hot_keys(df, key, rows_per_task=150)
-
-    def build_documents(fact):
-        return documents.build_documents(fact, max_rows=200)
-
     monkeypatch.setattr(tables, "hot_keys", hot_keys)
     monkeypatch.setattr(catalog, "hot_keys", hot_keys)
-    monkeypatch.setattr(tables, "build_documents", build_documents)
 
 
 NAMES = """fact_gold kpis top_cnaes cnae_by_situacao doc_lookup doc_by_uf_cnae doc_by_secondary_cnae
-doc_count_by_uf doc_branches_by_uf doc_activity_index doc_stats company_sheet name_search""".split()
+doc_count_by_uf doc_branches_by_uf doc_activity_index doc_stats company_sheet name_search documents_flat doc_merge
+doc_store_merge doc_by_key_stored doc_by_uf_whole doc_by_secondary_cnae_whole doc_by_index_stored semi_establishments
+inner_establishments_companies left_partners""".split()
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -59,6 +55,7 @@ def test_query_agrees_with_sql(spark, folder, small_thresholds, name):
     assert compare.difference(spark, compare.connect(folder), folder, name) is None
 
 
-def test_the_hot_company_is_stored_in_parts(spark, folder, small_thresholds):
-    parts = tables.registry(spark, folder).documents.where("_id = 11").select("part").distinct()
-    assert parts.count() > 2
+def test_no_row_of_the_documents_grows_with_the_hot_company(spark, folder, small_thresholds):
+    documents = tables.registry(spark, folder).documents
+    assert documents.headers.where("_id = 11").count() == 1
+    assert documents.units.where("_id = 11").count() > 500
