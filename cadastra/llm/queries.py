@@ -110,7 +110,7 @@ def graph_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(table(spark, folder, "documents"))
-    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    digits = F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 

@@ -5,9 +5,10 @@ Fingerprints are distinct before anything is compared. Two of them at ``DISTANCE
 fewer in one half, so the balls of radius one around their halves meet: each fingerprint is put into a table under the
 33 codes of each half's ball. Members of a table entry are compared in all 64 bits.
 
-An entry with more than ``SMALL_ENTRY`` members (a large group of near copies) is not compared pair by pair: its members take
-the balls of radius two in all 64 bits, 2,081 codes each, and every member is linked to the smallest with the same code. Two
-fingerprints share a code exactly if they differ in four bits or fewer, so no link is lost and none is added.
+Links that span the near members of an entry are kept, one less than members at most. An entry with more than
+``SMALL_ENTRY`` members (a large group of near copies) is not compared pair by pair: its members take the balls of radius two
+in all 64 bits, 2,081 codes each, and every member is linked to the smallest with the same code. Two fingerprints share
+a code exactly if they differ in four bits or fewer, so no link is lost and none is added.
 
 Defined results: a null or empty text has fingerprint zero, linked like any other; fewer words than a shingle has are one shingle; a
 component's id is its smallest doc_id, null if it has none; repeated rows are copies of each other; an empty table gives no
@@ -17,7 +18,8 @@ rows; clashing columns are not read, or are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
+from dataclasses import dataclass
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,54 +32,61 @@ from cadastra.llm.components import components
 
 WIDTH = 4
 DISTANCE = 4
-SMALL_ENTRY = 32
+SMALL_ENTRY = 256
 SEED = 42
 CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, width: int = WIDTH) -> int:
+@dataclass(frozen=True)
+class Feature:
+    """What one fingerprint is taken of: shingles of ``width`` words, each counted as often as it occurs or, with
+    ``distinct``, once; ``seed`` is that of the hash."""
+
+    width: int = WIDTH
+    distinct: bool = False
+    seed: int = SEED
+
+
+def majority(values: list[int], totals: np.ndarray) -> None:
+    """Add the bits of 64-bit values to the counts of bits set."""
+    bits = np.unpackbits(np.array(values, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    np.add(totals, bits.sum(axis=0, dtype=np.int64), out=totals)
+
+
+def fingerprint(text: str | None, feature: Feature = Feature()) -> int:
     """The fingerprint as a signed 64-bit number."""
     # bytes.lower and bytes.split know A-Z and the six ASCII blanks only, as wanted here
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return 0
     line = b" ".join(words)
-    ends = list(accumulate((len(w) + 1 for w in words)))
-    starts = [0, *ends[:-1]]
-    size = min(width, len(words))
-    digest = xxhash.xxh64_intdigest
-    spans = zip(starts, ends[size - 1 :])
-    totals, count = np.zeros(64, np.int64), len(words) - size + 1
-    chunk: list[int] = []
-
-    def add() -> None:
-        bits = np.unpackbits(np.array(chunk, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        np.add(totals, bits.sum(axis=0, dtype=np.int64), out=totals)
-        chunk.clear()
-
-    for start, end in spans:
-        chunk.append(digest(line[start : end - 1], SEED))
-        if len(chunk) == CHUNK:
-            add()
-    if chunk:
-        add()
+    ends = list(accumulate(len(w) + 1 for w in words))
+    size = min(feature.width, len(words))
+    shingles = (line[start : end - 1] for start, end in zip([0, *ends[:-1]], ends[size - 1 :]))
+    if feature.distinct:
+        shingles = iter(dict.fromkeys(shingles))
+    totals, count = np.zeros(64, np.int64), 0
+    while chunk := [xxhash.xxh64_intdigest(x, feature.seed) for x in islice(shingles, CHUNK)]:
+        majority(chunk, totals)
+        count += len(chunk)
     packed = np.packbits((2 * totals > count).astype(np.uint8), bitorder="little")
     return int(packed.view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, part, fp), one row per row of ``docs``; ``part`` is a hash of the text."""
+def fingerprints(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> DataFrame:
+    """(doc_id, part, fps), one row per row of ``docs``; ``part`` is a hash of the text, ``fps`` has a fingerprint per
+    feature."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("part"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t.as_py(), width) for t in batch.column(2)]
+            made = [[fingerprint(t.as_py(), feature) for feature in features] for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(made, pa.int64())], ["doc_id", "part", "fp"]
+                [batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.int64()))], ["doc_id", "part", "fps"]
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, part bigint, fp bigint")
+    return rows.mapInArrow(run, f"doc_id {id_type}, part bigint, fps array<bigint>")
 
 
 def flips(bits: int, radius: int) -> list[int]:
@@ -110,64 +119,91 @@ def full_codes(fp: Column) -> Column:
     return F.array_distinct(F.concat(F.array(fp), F.transform(singles, lambda m: fp.bitwiseXOR(m)), pairs))
 
 
+def spanning(fps: list[int], distance: int) -> list[tuple[int, int]]:
+    """Links that join the members of an entry just as all links at ``distance`` or fewer bits would."""
+    values = np.array(fps, np.int64).view(np.uint64)
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= distance
+    links, left = [], np.ones(len(fps), bool)
+    for start in range(len(fps)):
+        stack = [start] if left[start] else []
+        left[start] = False
+        while stack:
+            at = stack.pop()
+            fresh = np.flatnonzero(near[at] & left)
+            left[fresh] = False
+            stack += fresh.tolist()
+            links += [(fps[at], fps[other]) for other in fresh]
+    return links
+
+
 def links_of(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b): links that connect whatever the ``distance`` relation connects, from distinct fingerprints (fp)."""
+    """(kind, a, b): links that connect whatever the ``distance`` relation connects, from distinct (kind, fp); only
+    fingerprints of one kind are compared."""
     if distance != 4:
         raise ValueError("two tables with balls of radius one answer distance 4")
-    folder = scratch_folder(prints.sparkSession, "simhash-links")
-    codes = prints.select("fp", F.explode(half_codes(F.col("fp"))).alias("code"))
+    spark = prints.sparkSession
+    folder = scratch_folder(spark, "simhash-links")
+    # Spark takes an exploded table to be as small as what it is made from: deal it out, and never broadcast it
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    codes = prints.repartition(tasks, "kind", "fp").select("kind", "fp", F.explode(half_codes(F.col("fp"))).alias("code"))
     entries = stored(
-        codes.groupBy("code").agg(F.count("*").alias("members")).where("members > 1"), f"{folder}/entries"
+        codes.groupBy("kind", "code").agg(F.count("*").alias("members")).where("members > 1"), f"{folder}/entries"
     )
-    held = stored(codes.join(entries, "code"), f"{folder}/held")
-    small = (
-        held.where(F.col("members") <= SMALL_ENTRY)
-        .groupBy("code")
-        .agg(F.array_sort(F.collect_list("fp")).alias("fps"))
-        .select(F.col("fps").alias("all"), F.explode("fps").alias("a"))
-        .select(
-            "a",
-            F.explode(
-                F.filter("all", lambda b: (b > F.col("a")) & (F.bit_count(b.bitwiseXOR(F.col("a"))) <= distance))
-            ).alias("b"),
-        )
-        .distinct()
-    )
-    crowded = held.where(F.col("members") > SMALL_ENTRY).select("fp").distinct()
-    balls = crowded.select("fp", F.explode(full_codes(F.col("fp"))).alias("code"))
+    held = stored(codes.hint("merge").join(entries, ["kind", "code"]), f"{folder}/held")
+    lists = held.where(F.col("members") <= SMALL_ENTRY).groupBy("kind", "code").agg(F.collect_list("fp").alias("fps"))
+
+    def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(k.as_py(), a, b) for k, fps in zip(*batch.columns) for a, b in spanning(fps.as_py(), distance)]
+            kinds, firsts, seconds = zip(*made) if made else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kinds, pa.int32()), pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())], ["kind", "a", "b"]
+            )
+
+    small = lists.select(F.col("kind").cast("int"), "fps").mapInArrow(span, "kind int, a bigint, b bigint")
+    crowded = held.where(F.col("members") > SMALL_ENTRY).select("kind", "fp").distinct()
+    balls = crowded.select("kind", "fp", F.explode(full_codes(F.col("fp"))).alias("code"))
     centres = stored(
-        balls.groupBy("code").agg(F.min("fp").alias("least"), F.count("*").alias("members")).where("members > 1"),
+        balls.groupBy("kind", "code").agg(F.min("fp").alias("least"), F.count("*").alias("members")).where("members > 1"),
         f"{folder}/centres",
     )
-    starred = balls.join(centres, "code").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
-    return small.unionByName(starred.distinct())
+    starred = balls.hint("merge").join(centres, ["kind", "code"]).where("fp <> least")
+    return small.unionByName(starred.select("kind", F.col("least").alias("a"), F.col("fp").alias("b"))).distinct()
 
 
-def groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, part, fp, component_id), one row per row of ``docs``."""
+def groups(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> DataFrame:
+    """(doc_id, part, fps, root, component_id), one row per row of ``docs``; documents are linked if they are within the
+    distance in any feature's fingerprint."""
     folder = scratch_folder(docs.sparkSession, "simhash")
-    rows = stored(fingerprints(docs, width), f"{folder}/fingerprints")
-    prints = stored(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), f"{folder}/prints"
-    )
-    roots = components(links_of(prints.select("fp")))
-    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    # with one feature the fingerprint itself is the node; else a hash of all
+    node = F.col("fps")[0] if len(features) == 1 else F.xxhash64("fps")
+    rows = stored(fingerprints(docs, features).withColumn("node", node), f"{folder}/fingerprints")
+    nodes = stored(
+        rows.groupBy("node").agg(F.first("fps").alias("fps"), F.min("doc_id").alias("first_id")), f"{folder}/nodes"
     )
+    by_kind = nodes.select("node", F.posexplode("fps").alias("kind", "fp"))
+    prints = stored(by_kind.groupBy("kind", "fp").agg(F.min("node").alias("least")), f"{folder}/prints")
+    found = links_of(prints.select("kind", "fp"))
+    if len(features) > 1:
+        same = by_kind.join(prints, ["kind", "fp"]).where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+        first = prints.select("kind", F.col("fp").alias("a"), F.col("least").alias("from"))
+        second = prints.select("kind", F.col("fp").alias("b"), F.col("least").alias("to"))
+        across = found.join(first, ["kind", "a"]).join(second, ["kind", "b"])
+        found = across.select(F.col("from").alias("a"), F.col("to").alias("b")).unionByName(same)
+    rooted = nodes.join(components(found).withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
+    rooted = rooted.select("node", "first_id", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stored(rooted.join(smallest, "root").select("fp", "root", "component_id"), f"{folder}/named")
-    return rows.join(named, "fp").select("doc_id", "part", "fp", "root", "component_id")
+    named = stored(rooted.join(smallest, "root").select("node", "root", "component_id"), f"{folder}/named")
+    return rows.join(named, "node").select("doc_id", "part", "fps", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def one_of_each(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> DataFrame:
     """``docs`` with one document of every component: the one with the smallest doc_id (none at all comes last)."""
-    found = groups(docs, width)
+    found = groups(docs, features)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "part")).alias("first")
     kept = stored(
         found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.part").alias("_part")),
         scratch_folder(docs.sparkSession, "simhash-kept"),
     )
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_part"))
-    chosen = docs.join(kept, same)
-    repeated = chosen.dropDuplicates(["_id", "_part"])
-    return repeated.drop("_id", "_part")
+    return docs.join(kept, same).dropDuplicates(["_id", "_part"]).drop("_id", "_part")

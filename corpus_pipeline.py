@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from cadastra.llm import decontaminate, mixing, quality, sharding, simhash
 from cadastra.llm.common import scratch_folder
 
-#: Words in a shingle of the near-duplicate stage.
-SHINGLE_WORDS = 5
+#: Near copies that share four in five of their five-word shingles differ in eleven bits of a fingerprint of these on average,
+#: beyond any table's reach. Fingerprints of the distinct words differ in four or five, so three of them, of
+#: different hashes, find most of these pairs; the first feature finds those of high similarity.
+FEATURES = (
+    simhash.Feature(width=5),
+    simhash.Feature(width=1, distinct=True, seed=42),
+    simhash.Feature(width=1, distinct=True, seed=43),
+    simhash.Feature(width=1, distinct=True, seed=44),
+)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +28,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies."""
-    return simhash.one_of_each(docs, SHINGLE_WORDS)
+    return simhash.one_of_each(docs, FEATURES)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
