@@ -21,7 +21,8 @@ def write(df: DataFrame, path: str, overwrite: bool = False, max_records_per_fil
 
 
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The table, whether written as one or in batches."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

@@ -1,16 +1,17 @@
 """File-source stream from raw files to a typed table.
 
-Each input file is converted exactly once: the checkpoint remembers the files taken, and the Parquet
-sink commits a batch as a whole, so a crash leaves nothing half done.
+Each input file is converted exactly once: the checkpoint remembers the files taken, and a batch is written to a folder
+of its own, which a repeated batch replaces, so a crash leaves nothing half done. Files with line breaks inside quoted
+fields are recognised batch by batch, file by file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from cadastra.sources.bronze import DIALECT, as_text, files_with_line_breaks
+from cadastra.sources.bronze import located_lines, parse_lines, text_lines, whole_records
 from cadastra.sources.silver import cast_schema
 
 
@@ -20,27 +21,17 @@ def ingest(
     target: str,
     checkpoint: str,
     schema: StructType,
-    line_breaks: bool | None = None,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Start converting all files that are new since the last run; the query ends by itself.
-
-    Files with line breaks inside quoted fields must be read whole. ``line_breaks=None`` scans the source folder for
-    them first; pass ``True`` or ``False`` where this is known.
-    """
-    if line_breaks is None:
-        line_breaks = bool(files_with_line_breaks(spark, source))
-    raw = (
-        spark.readStream.schema(as_text(schema))
-        .options(**DIALECT)
-        .option("multiLine", line_breaks)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(source)
-    )
+    """Start converting all files that are new since the last run; the query ends by itself."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        raw = parse_lines(whole_records(located_lines(batch)), "line", schema)
+        cast_schema(raw, schema).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    lines = text_lines(spark.readStream.option("maxFilesPerTrigger", files_per_batch), source)
     return (
-        cast_schema(raw, schema)
-        .writeStream.format("parquet")
-        .option("path", target)
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

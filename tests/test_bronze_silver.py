@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import shutil
+
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cadastra.operators import quality
-from cadastra.plans import pipeline
+from cadastra.plans import documents, pipeline
 from cadastra.schemas import COMPANIES, DOMAIN, DOMAIN_TABLES, SILVER_TABLES, TAX_REGIME
-from cadastra.sources import bronze, dimensions, silver
+from cadastra.sources import bronze, dimensions, gold, silver
+from cadastra.sources.committed import is_committed
 from cadastra.sources.web import harvest_links
 from cadastra.streaming.ingest import ingest
 
@@ -42,30 +46,40 @@ def typed(df):
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
-@pytest.mark.parametrize("line_breaks", [None, True, False])
-def test_dialect(spark, tmp_path, end, line_breaks):
+def test_dialect(spark, tmp_path, end):
     put(tmp_path / "Empresas", "Empresas0", LINES, end)
     put(tmp_path / "Empresas", ".oculto", ["9;x;1;1;1;1;"], end)
-    raw = bronze.read_raw(spark, str(tmp_path / "Empresas"), COMPANIES, line_breaks)
+    raw = bronze.read_raw(spark, str(tmp_path / "Empresas"), COMPANIES)
     assert typed(raw) == sorted(EXPECTED, key=repr)
 
 
-def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+@pytest.mark.parametrize("block", [None, 64])
+def test_records_may_span_lines_and_blocks(spark, tmp_path, block):
     folder = tmp_path / "dados brutos"
     put(folder, "Empresas 0", LINES, "\n")
-    put(folder, "Empresas 1", [BROKEN], "\n")
-    whole = bronze.files_with_line_breaks(spark, str(folder))
-    assert [name.rsplit("/", 1)[1] for name in whole] == ["Empresas 1"]
-    raw = bronze.read_raw(spark, str(folder), COMPANIES)
-    expected = [*EXPECTED, (7, "LINHA\nPARTIDA", 1, 1, "1", 1)]
-    assert typed(raw) == sorted(expected, key=repr)
+    middle = ['8;per"dida;1;1;1;1;', '"9";"UM\n\n""DOIS"";\nTRES";"1";"1";"1";"1";"\n"', "10;NORMAL;1;1;1;1;"]
+    put(folder, "Empresas 1", [BROKEN, *LINES[:2], *middle, BROKEN.replace("7", "11")], "\n")
+    put(folder, "Empresas 2", ['"12";"NUNCA', "FECHADA;1"], "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    if block:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        got = typed(bronze.read_raw(spark, str(folder), COMPANIES))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    one = (1, 1, "1", 1)
+    extra = [(7, "LINHA\nPARTIDA", *one), (8, 'per"dida', *one), (9, 'UM\n\n"DOIS";\nTRES', *one), (10, "NORMAL", *one)]
+    extra += [(11, "LINHA\nPARTIDA", *one)]
+    assert [r for r in got if r[0] != 12] == sorted([*EXPECTED, *EXPECTED[:2], *extra], key=repr)
+    assert len(got) == len(EXPECTED) + 2 + len(extra) + 1
 
 
 def test_list_files_skips_hidden(spark, tmp_path):
     put(tmp_path, "b.csv", ["1;x"])
     put(tmp_path, "a.csv", ["1;x"])
     put(tmp_path, ".c.csv", ["1;x"])
-    assert [n.rsplit("/", 1)[1] for n in bronze.list_files(spark, str(tmp_path))] == ["a.csv", "b.csv"]
+    names = [r.path.rsplit("/", 1)[1] for r in bronze.list_files(spark, str(tmp_path)).collect()]
+    assert sorted(names) == ["a.csv", "b.csv"]
 
 
 def test_parse_lines_agrees_with_files(spark, tmp_path):
@@ -130,11 +144,47 @@ def test_load_jobs_are_idempotent(spark, tmp_path):
     path = str(tmp_path / "gold/fato")
     assert pipeline.build_gold(spark, silver_root, path, "20250101") is True
     assert pipeline.build_gold(spark, silver_root, path, "20250101") is False
-    pipeline.load_documents(spark, silver_root, str(tmp_path / "docs"))
-    doc = spark.read.parquet(str(tmp_path / "docs")).collect()
+    pipeline.load_documents(spark, silver_root, path, str(tmp_path / "docs"))
+    doc = documents.nested(documents.read_documents(spark, str(tmp_path / "docs"))).collect()
     assert [(d["_id"], d["razao_social"], d["capital_social"], len(d["socios"])) for d in doc] == [(1, "ANA", 10.5, 1)]
 
 
+def test_a_load_without_partner_files_goes_on(spark, tmp_path):
+    source, silver_root, path = bronze_root(tmp_path), str(tmp_path / "silver"), str(tmp_path / "gold/fato")
+    shutil.move(str(tmp_path / "bronze/Socios"), str(tmp_path / "elsewhere"))
+    pipeline.build_silver(spark, source, silver_root)
+    assert pipeline.build_gold(spark, silver_root, path, "20250101")
+    row = gold.read(spark, path).first()
+    assert row.cnpj_basico == 1 and row.nome_socio_razao_social is None
+    shutil.move(str(tmp_path / "bronze/Simples"), str(tmp_path / "elsewhere2"))
+    with pytest.raises(AnalysisException):
+        pipeline.build_silver(spark, source, str(tmp_path / "silver2"))
+
+
+def test_what_a_failed_job_left_is_no_table(spark, tmp_path):
+    path = str(tmp_path / "simples")
+    good = spark.createDataFrame([(1, "S", 0, 0, "S", 0, 0)], TAX_REGIME)
+    for leftover in (lambda: (tmp_path / "simples").mkdir(), lambda: None):
+        leftover()
+        assert not is_committed(spark, path)
+        with pytest.raises(FileNotFoundError):
+            pipeline.read_silver(spark, str(tmp_path))
+    broken = good.withColumn("opcao_pelo_mei", F.raise_error(F.lit("cut short")).cast("string"))
+    with pytest.raises(Exception, match="cut short"):
+        silver.write(broken, path)
+    assert silver.write(good, path) is True and silver.read(spark, path, TAX_REGIME).count() == 1
+    assert silver.write(good, path) is False
+
+
+def test_stream_joins_broken_lines(spark, tmp_path):
+    put(tmp_path / "in", "f0", LINES, "\n")
+    put(tmp_path / "in", "f1", [BROKEN], "\n")
+    where = [str(tmp_path / n) for n in ("in", "out", "check")]
+    ingest(spark, *where, COMPANIES).awaitTermination()
+    names = [r.razao_social for r in silver.read(spark, where[1], COMPANIES).collect()]
+    assert len(names) == len(LINES) + 1 and "LINHA\nPARTIDA" in names
+
+
 def test_stream_converts_each_file_once(spark, tmp_path):
     put(tmp_path / "in", "f0", ["1;S;0;0;S;20200101;0", "2;S;0;0;;0;0"])
     where = [str(tmp_path / n) for n in ("in", "out", "check")]
