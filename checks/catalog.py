@@ -17,10 +17,10 @@ from cadastra.operators.filters import apply_filters, codes_of
 from cadastra.operators.skew import hot_keys
 from cadastra.plans import documents as docs
 from cadastra.plans import fact as facts
-from cadastra.plans import metrics, search, sheet
-from cadastra.schemas import COMPANIES, SIZE_LABELS, STATUS_LABELS
+from cadastra.plans import metrics, pipeline, search, sheet
+from cadastra.schemas import COMPANIES, DOMAIN_TABLES, SIZE_LABELS, STATUS_LABELS
 from cadastra.session import shared_dir
-from cadastra.sources import bronze, gold, silver, web
+from cadastra.sources import bronze, dimensions, gold, silver, web
 from cadastra.streaming.ingest import ingest
 from checks.tables import Registry, registry
 
@@ -159,6 +159,94 @@ def stream_ingest(r: Registry) -> DataFrame:
     return silver.read(r.spark, f"{folder}/empresas", COMPANIES)
 
 
+def _broken_files(r: Registry) -> str:
+    """Company files in which the names of some companies hold a line break."""
+    folder = scratch(r.spark)
+    name = F.concat(F.lit("Customer#"), F.lit("\n"))
+    line = F.when(F.col("line").contains('1; ""x""'), F.replace("line", F.lit("Customer#"), name)).otherwise(F.col("line"))
+    raw_lines(r).select(line.alias("line")).write.text(f"{folder}/Empresas")
+    return folder
+
+
+@query
+def csv_line_breaks(r: Registry) -> DataFrame:
+    raw = bronze.read_raw(r.spark, f"{_broken_files(r)}/Empresas", COMPANIES)
+    return silver.cast_schema(raw, COMPANIES)
+
+
+@query
+def stream_line_breaks(r: Registry) -> DataFrame:
+    folder = _broken_files(r)
+    ingest(r.spark, f"{folder}/Empresas", f"{folder}/empresas", f"{folder}/checkpoint", COMPANIES).awaitTermination()
+    return silver.read(r.spark, f"{folder}/empresas", COMPANIES)
+
+
+def _raw_file(df: DataFrame, path: str) -> None:
+    """A table as the registry publishes it; characters the encoding lacks are spelled with those it has."""
+    text = df.select([F.replace(F.col(c).cast("string"), F.lit("–"), F.lit("-")).alias(c) for c in df.columns])
+    options = {"sep": ";", "quoteAll": True, "escape": '"', "encoding": "ISO-8859-1", "ignoreLeadingWhiteSpace": False}
+    text.write.options(**options).csv(path, ignoreTrailingWhiteSpace=False)
+
+
+def _silver_tables(r: Registry, partners: bool = True) -> str:
+    folder = scratch(r.spark)
+    _raw_file(r.companies, f"{folder}/bronze/Empresas")
+    _raw_file(r.establishments, f"{folder}/bronze/Estabelecimentos")
+    _raw_file(r.tax_regime, f"{folder}/bronze/Simples")
+    if partners:
+        _raw_file(r.partners, f"{folder}/bronze/Socios")
+    pipeline.build_silver(r.spark, f"{folder}/bronze", f"{folder}/silver")
+    return folder
+
+
+def _job_fact(r: Registry, partners: bool) -> DataFrame:
+    """The fact as the jobs load it from raw files; empty texts count as missing, as files do not tell them apart."""
+    folder = _silver_tables(r, partners)
+    pipeline.build_gold(r.spark, f"{folder}/silver", f"{folder}/fato", "20250101")
+    fact = gold.read(r.spark, f"{folder}/fato").drop("snapshot")
+    return fact.select([F.coalesce(c, F.lit("")).alias(c) if kind == "string" else c for c, kind in fact.dtypes])
+
+
+@query
+def job_fact(r: Registry) -> DataFrame:
+    return _job_fact(r, partners=True)
+
+
+@query
+def job_fact_without_partners(r: Registry) -> DataFrame:
+    return _job_fact(r, partners=False)
+
+
+@query
+def job_dimensions(r: Registry) -> DataFrame:
+    folder = scratch(r.spark)
+    for name in DOMAIN_TABLES:
+        _raw_file(r.whole_dimensions[name.lower()], f"{folder}/bronze/{name}")
+    pipeline.build_dimensions(r.spark, f"{folder}/bronze", f"{folder}/gold")
+    loaded = dimensions.load_all(r.spark, f"{folder}/gold")
+    return reduce(DataFrame.unionAll, [d.select(F.lit(n).alias("dominio"), *d.columns) for n, d in loaded.items()])
+
+
+@query
+def job_rewrites_unfinished(r: Registry) -> DataFrame:
+    """A table whose first job was cut short: its files are there, its mark is not."""
+    path = f"{scratch(r.spark)}/empresas"
+    no_mark = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    r.companies.limit(3).write.options(**no_mark).parquet(path)
+    silver.write(r.companies, path)
+    silver.write(r.companies.limit(0), path)  # complete by now, so it is kept
+    return silver.read(r.spark, path, COMPANIES).select("cnpj_basico", "natureza_juridica", "porte_empresa")
+
+
+@query
+def job_documents(r: Registry) -> DataFrame:
+    folder = _silver_tables(r)
+    pipeline.build_gold(r.spark, f"{folder}/silver", f"{folder}/fato", "20250101")
+    pipeline.load_documents(r.spark, f"{folder}/silver", f"{folder}/fato", f"{folder}/documentos")
+    stored = docs.read_documents(r.spark, f"{folder}/documentos")
+    return stored.headers.select("_id", "razao_social", "natureza_juridica", "capital_social", "porte_empresa", "unidades")
+
+
 @query
 def cast_loss_report(r: Registry) -> DataFrame:
     return quality.cast_loss_report(bronze.parse_lines(raw_lines(r), "line", COMPANIES), COMPANIES)
@@ -335,7 +423,7 @@ def cnae_leader(r: Registry) -> DataFrame:
 
 @query
 def cnae_picker(r: Registry) -> DataFrame:
-    return lookup.picker(r.activities)
+    return lookup.picker(r.whole_dimensions["cnaes"])
 
 
 # Filters, code resolution, formats, web
@@ -366,7 +454,7 @@ def resolve_codes(r: Registry) -> DataFrame:
 
 @query
 def dimensions_all(r: Registry) -> DataFrame:
-    named = [d.select(F.lit(n).alias("dominio"), "codigo", "descricao") for n, d in r.dimensions.items()]
+    named = [d.select(F.lit(n).alias("dominio"), "codigo", "descricao") for n, d in r.whole_dimensions.items()]
     return reduce(DataFrame.unionAll, named)
 
 

@@ -281,6 +281,32 @@ RAW_TYPED = """
     FROM customer"""
 
 
+# The same with a line break in the names that end in 1.
+BROKEN_TYPED = RAW_TYPED.replace(
+    "c_name ||",
+    "CASE WHEN ends_with(c_name, '1') THEN replace(c_name, 'Customer#', 'Customer#' || chr(10)) ELSE c_name END ||",
+)
+
+TEXTS = """nome_fantasia nome_cidade_exterior cnae_fiscal_secundaria tipo_logradouro logradouro numero complemento bairro uf
+telefone_1 telefone_2 fax correio_eletronico situacao_especial nome_socio_razao_social cnpj_cpf_socio""".split()
+
+
+def _loaded(source: str) -> str:
+    """The fact after a way through raw files: texts are trimmed, missing ones empty."""
+    texts = ", ".join(f"coalesce(trim({c}), '') AS {c}" for c in TEXTS)
+    return f"SELECT * EXCLUDE (razao_social) REPLACE ({texts}) FROM {source}"
+
+
+WHOLE_ACTIVITIES = TABLES["cnaes"].replace("FROM part WHERE p_size > 5", "FROM part")
+DIMENSIONS = f"""
+    SELECT 'naturezas' AS dominio, CAST(n_nationkey AS BIGINT) AS codigo, n_name AS descricao FROM nation
+    UNION ALL SELECT 'qualificacoes', CAST(r_regionkey + 100 AS BIGINT), r_name FROM region
+    UNION ALL SELECT 'motivos', CAST(n_nationkey + 50 AS BIGINT), n_name FROM nation
+    UNION ALL SELECT 'municipios', s_suppkey, s_name FROM supplier
+    UNION ALL SELECT 'paises', CAST(r_regionkey AS BIGINT), r_name FROM region
+    UNION ALL SELECT 'cnaes', codigo, descricao FROM ({WHOLE_ACTIVITIES})"""
+
+
 HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
 LINKS = " UNION ALL ".join(
     f"SELECT page_id, url, unnest(regexp_extract_all("
@@ -377,6 +403,21 @@ QUERIES = {
     "csv_typed_cast": RAW_TYPED,
     "csv_file_read": RAW_TYPED,
     "stream_ingest": RAW_TYPED,
+    "csv_line_breaks": BROKEN_TYPED,
+    "stream_line_breaks": BROKEN_TYPED,
+    "job_fact": _loaded("fato"),
+    "job_fact_without_partners": _loaded(
+        """(SELECT e.*, c.natureza_juridica, c.qualificacao_responsavel, c.porte_empresa, c.capital_social,
+                   CAST(NULL AS SMALLINT) AS identificador_socio, CAST(NULL AS VARCHAR) AS nome_socio_razao_social,
+                   CAST(NULL AS VARCHAR) AS cnpj_cpf_socio, CAST(NULL AS SMALLINT) AS qualificacao_socio,
+                   CAST(NULL AS BIGINT) AS data_entrada_sociedade, c.razao_social
+            FROM estabelecimentos e JOIN empresas_mei c USING (cnpj_basico))"""
+    ),
+    "job_dimensions": DIMENSIONS.replace("–", "-"),
+    "job_rewrites_unfinished": "SELECT cnpj_basico, natureza_juridica, porte_empresa FROM empresas",
+    "job_documents": """
+        SELECT h._id, h.razao_social, h.natureza_juridica, h.capital_social, h.porte_empresa, u.n AS unidades
+        FROM cabecalhos h JOIN (SELECT _id, count(*) AS n FROM unidades GROUP BY _id) u ON u._id = h._id""",
     "cast_loss_report": """
         SELECT 'cnpj_basico' AS coluna, count(*) AS preenchidos, CAST(0 AS BIGINT) AS perdidos FROM customer
         UNION ALL SELECT 'natureza_juridica', CAST(count_if(c_nationkey <> 5) AS BIGINT),
@@ -463,7 +504,7 @@ QUERIES = {
         SELECT cnae_fiscal_principal, {_ellipsis('descricao', 40, 40)} AS descricao, total, pct
         FROM (SELECT *, round(total / sum(total) OVER () * 100, 4) AS pct FROM ({DETAIL}))
         ORDER BY total DESC, cnae_fiscal_principal LIMIT 1""",
-    "cnae_picker": "SELECT codigo, codigo || ' - ' || descricao AS opcao FROM cnaes",
+    "cnae_picker": f"SELECT codigo, codigo || ' - ' || descricao AS opcao FROM ({WHOLE_ACTIVITIES})",
     # Filters and code resolution
     "filters_all": """
         SELECT uf, situacao_cadastral, porte_empresa, count(*) AS total FROM fato
@@ -475,13 +516,7 @@ QUERIES = {
         SELECT t.identificador_socio AS codigo, t.total, {_resolved('t.identificador_socio', 'd.r_name')} AS descricao
         FROM (SELECT identificador_socio, count(*) AS total FROM fato GROUP BY 1) t
         LEFT JOIN region d ON d.r_regionkey = t.identificador_socio""",
-    "dimensions_all": """
-        SELECT 'naturezas' AS dominio, codigo, descricao FROM naturezas
-        UNION ALL SELECT 'qualificacoes', CAST(n_nationkey AS BIGINT), n_name FROM nation
-        UNION ALL SELECT 'motivos', CAST(n_nationkey AS BIGINT), n_name FROM nation
-        UNION ALL SELECT 'municipios', codigo, descricao FROM municipios
-        UNION ALL SELECT 'paises', CAST(r_regionkey AS BIGINT), r_name FROM region
-        UNION ALL SELECT 'cnaes', codigo, descricao FROM cnaes""",
+    "dimensions_all": DIMENSIONS,
     "format_fields": f"""
         SELECT o_orderkey, {_pt('o_totalprice', 0)} AS inteiro, {_pt('o_totalprice', 2)} AS decimal,
                'R$ ' || {_pt('o_totalprice', 2)} AS moeda,

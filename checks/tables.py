@@ -132,40 +132,41 @@ class Registry:
         second = records(F.expr("(s_suppkey + 1) div 2"), (supp + 1) % 4, " II ")
         return records(supp, supp % 4, " ").unionAll(second)
 
-    # Dimensions, with codes missing on purpose.
+    # Dimensions, whole; then with codes missing on purpose, for the texts shown in their place.
+
+    @property
+    def whole_dimensions(self) -> dict[str, DataFrame]:
+        def coded(table: str, code: str, text: str) -> DataFrame:
+            return self.table(table).selectExpr(f"cast({code} as bigint) codigo", f"{text} descricao")
+
+        words = F.concat_ws(" ", F.initcap("p_name"), F.lit("– comércio de"), F.lower("p_type"), F.lower("p_brand"))
+        return {
+            "naturezas": coded("nation", "n_nationkey", "n_name"),
+            "qualificacoes": coded("region", "r_regionkey + 100", "r_name"),
+            "motivos": coded("nation", "n_nationkey + 50", "n_name"),
+            "municipios": coded("supplier", "s_suppkey", "s_name"),
+            "paises": coded("region", "r_regionkey", "r_name"),
+            "cnaes": self.table("part").select((F.col("p_partkey") * 500).alias("codigo"), words.alias("descricao")),
+        }
 
     @property
     def activities(self) -> DataFrame:
-        text = F.concat_ws(" ", F.initcap("p_name"), F.lit("– comércio de"), F.lower("p_type"), F.lower("p_brand"))
-        return self.table("part").where("p_size > 5").select(
-            (F.col("p_partkey") * 500).alias("codigo"), text.alias("descricao")
-        )
+        known = self.table("part").where("p_size > 5").select((F.col("p_partkey") * 500).alias("codigo"))
+        return self.whole_dimensions["cnaes"].join(known, "codigo", "left_semi")
 
     @property
     def towns(self) -> DataFrame:
-        return self.table("supplier").where("s_acctbal > 0").selectExpr("s_suppkey codigo", "s_name descricao")
+        known = self.table("supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("codigo"))
+        return self.whole_dimensions["municipios"].join(known, "codigo", "left_semi")
 
     @property
     def natures(self) -> DataFrame:
-        return self.table("nation").where("n_regionkey <> 2").selectExpr(
-            "cast(n_nationkey as bigint) codigo", "n_name descricao"
-        )
+        known = self.table("nation").where("n_regionkey <> 2").selectExpr("cast(n_nationkey as bigint) codigo")
+        return self.whole_dimensions["naturezas"].join(known, "codigo", "left_semi")
 
     @property
     def countries(self) -> DataFrame:
-        return self.table("region").selectExpr("cast(r_regionkey as bigint) codigo", "r_name descricao")
-
-    @property
-    def dimensions(self) -> dict[str, DataFrame]:
-        qualifications = self.table("nation").selectExpr("cast(n_nationkey as bigint) codigo", "n_name descricao")
-        return {
-            "naturezas": self.natures,
-            "qualificacoes": qualifications,
-            "motivos": qualifications,
-            "municipios": self.towns,
-            "paises": self.countries,
-            "cnaes": self.activities,
-        }
+        return self.whole_dimensions["paises"]
 
     # Hot keys are looked for once per folder; the pass over the test tables reads keys only.
 
