@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -46,6 +46,22 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     return report
 
 
+class Observed:
+    """Row counts of load stages, taken while a job runs; nothing is read again for them."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        self._seen[name] = Observation(name)
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("linhas"))
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """(etapa, linhas), once an action on the stages has ended."""
+        rows = [(name, seen.get["linhas"]) for name, seen in self._seen.items()]
+        return spark.createDataFrame(rows, "etapa string, linhas long")
+
+
 def schema_listing(df: DataFrame) -> DataFrame:
     """(posicao, coluna, tipo) of a table, without reading it."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]

@@ -10,6 +10,20 @@ def by_total(df: DataFrame, key: str, total: str = "total") -> DataFrame:
     return df.orderBy(F.desc(total), F.asc_nulls_first(key))
 
 
+def ascending(df: DataFrame, key: str, total: str = "total") -> DataFrame:
+    """Smallest first, as horizontal bars are drawn from below."""
+    return df.orderBy(F.asc(total), F.asc_nulls_first(key))
+
+
+#: Rows of a top list that may be broadcast by hint.
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame, n: int) -> DataFrame:
+    """Broadcast hint for a list of at most ``n`` rows if ``n`` is small; else the join is left to Spark."""
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
 def top_n(df: DataFrame, n: int, key: str, total: str = "total") -> DataFrame:
     """Planned as TakeOrderedAndProject: each task keeps ``n`` rows."""
     return by_total(df, key, total).limit(n)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.cleansing import money
+from cadastra.operators.quality import Observed
 from cadastra.operators.skew import salted_join, sliced_left_join
 from cadastra.schemas import COMPANY_COLUMNS, FACT, PARTNER_COLUMNS
 
@@ -66,6 +67,7 @@ def build_fact(
     hot_flags: dict | None = None,
     hot_companies: dict | None = None,
     names: bool = False,
+    observed: Observed | None = None,
 ) -> DataFrame:
     """Establishments of opted-in companies with company data and, where known, partner data.
 
@@ -76,12 +78,14 @@ def build_fact(
     partners, regime rows or company rows are too many for one task.
 
     A company with k partners yields each establishment k times. ``names`` adds ``razao_social`` as a
-    40th column, for the company documents.
+    40th column, for the company documents. ``observed`` counts companies and fact rows while the job runs.
     """
+    watch = observed.watch if observed else lambda name, df: df
     keys = opted_in_keys(tax_regime, repeated=bool(hot_flags))
     extra = ["razao_social"] if names else []
     # The keys have already reduced the companies when the partners join them.
-    owners = with_partners(opted_in_companies(companies, keys, extra, hot_companies), partners, hot_partners, hot_companies)
+    chosen = watch("empresas", opted_in_companies(companies, keys, extra, hot_companies))
+    owners = with_partners(chosen, partners, hot_partners, hot_companies)
     counts = [hot_partners or {}, hot_companies or {}]
     hot_owners = {k: max(c.get(k, 1) for c in counts) for c in counts for k in c}
-    return of_companies(establishments, owners, hot, hot_owners).select(*FACT.names, *extra)
+    return watch("fato", of_companies(establishments, owners, hot, hot_owners).select(*FACT.names, *extra))

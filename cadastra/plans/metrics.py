@@ -14,7 +14,7 @@ from cadastra.functions.dates import Period, activity_division, month_of, month_
 from cadastra.functions.formats import label, share
 from cadastra.operators.lookup import describe
 from cadastra.operators.median import exact_median
-from cadastra.operators.ranking import by_total, top_n, top_n_per_group
+from cadastra.operators.ranking import by_total, small, top_n, top_n_per_group
 from cadastra.operators.reshape import to_long, with_share
 from cadastra.schemas import (
     NO_DESCRIPTION,
@@ -219,11 +219,11 @@ def _of_top_activities(counts: DataFrame, n: int) -> DataFrame:
     Totals come from the counts themselves. For the fact to be read once, nothing may be pushed into one of the
     two uses of the counts: an inner join with the distinct leaders stays above the aggregation, where a
     semi-join would not, and the null-safe comparison implies no filter. The leaders, at most ``n`` rows
-    and never null, are broadcast.
+    and never null, are broadcast if ``n`` is small.
     """
     totals = counts.groupBy(ACTIVITY).agg(F.sum("total").alias("total"))
     leaders = top_n(totals, n, ACTIVITY).select(F.col(ACTIVITY).alias("_leader")).where(F.col("_leader").isNotNull())
-    return counts.join(F.broadcast(leaders), F.col(ACTIVITY).eqNullSafe(F.col("_leader"))).drop("_leader")
+    return counts.join(small(leaders, n), F.col(ACTIVITY).eqNullSafe(F.col("_leader"))).drop("_leader")
 
 
 def activity_by_status(fact: DataFrame, activities: DataFrame, n: int = 10, window: Period = WINDOW) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from cadastra.operators.quality import Observed
 from cadastra.operators.skew import hot_keys
 from cadastra.plans.documents import build_documents, write_documents
 from cadastra.plans.fact import KEY, build_fact, opted_in_companies, opted_in_keys
@@ -49,7 +50,7 @@ def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
     return tables
 
 
-def fact_from_silver(tables: dict[str, DataFrame], names: bool = False) -> DataFrame:
+def fact_from_silver(tables: dict[str, DataFrame], observed: Observed | None = None) -> DataFrame:
     establishments, partners = tables["estabelecimentos"], tables.get("socios")
     return build_fact(
         tables["simples"],
@@ -60,15 +61,21 @@ def fact_from_silver(tables: dict[str, DataFrame], names: bool = False) -> DataF
         hot_partners=None if partners is None else hot_keys(partners, KEY),
         hot_flags=hot_keys(tables["simples"], KEY),
         hot_companies=hot_keys(tables["empresas"], KEY),
-        names=names,
+        observed=observed,
     )
 
 
 def build_gold(
-    spark: SparkSession, silver_root: str, gold_path: str, snapshot: str, overwrite: bool = False
+    spark: SparkSession,
+    silver_root: str,
+    gold_path: str,
+    snapshot: str,
+    overwrite: bool = False,
+    observed: Observed | None = None,
 ) -> bool:
-    """Write one dated snapshot of the fact; False if it exists already."""
-    return gold.write_snapshot(fact_from_silver(read_silver(spark, silver_root)), gold_path, snapshot, overwrite)
+    """Write one dated snapshot of the fact; False if it exists already. ``observed`` takes the stage counts."""
+    fact = fact_from_silver(read_silver(spark, silver_root), observed)
+    return gold.write_snapshot(fact, gold_path, snapshot, overwrite)
 
 
 def load_documents(spark: SparkSession, silver_root: str, gold_path: str, path: str) -> None:

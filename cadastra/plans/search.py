@@ -6,13 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.cleansing import strip
-from cadastra.operators.ranking import by_total
+from cadastra.operators.ranking import by_total, small
 from cadastra.operators.skew import salted_join
 from cadastra.plans.documents import Documents
 
 FOUND, ABSENT, INVALID = "encontrado", "ausente", "invalido"
-#: Ids that may be broadcast; a larger answer is joined as Spark sees fit.
-BROADCAST_IDS = 100_000
 
 
 def by_company(documents: Documents, company: int) -> Documents:
@@ -66,9 +64,7 @@ def by_state_and_activity(
         # two filters that reach the files, rather than flags over all establishments
         wanted = having(in_state).join(having(in_activity), "_id", "left_semi")
     if limit is not None:
-        wanted = wanted.orderBy("_id").limit(limit)
-        if limit <= BROADCAST_IDS:
-            wanted = F.broadcast(wanted)
+        wanted = small(wanted.orderBy("_id").limit(limit), limit)
     return documents.of(wanted)
 
 

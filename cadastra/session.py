@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.numBits": "160000000",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "320000000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -38,16 +40,16 @@ def build_session(master: str | None = None, app: str = "cadastra", **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir`` or set on the context.
 
     Only a local-mode session may fall back to a temporary folder of this machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = context.getCheckpointDir() or tempfile.mkdtemp(prefix="cadastra-")
+        configured = tempfile.mkdtemp(prefix="cadastra-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured

@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions import formats
 from cadastra.functions.cleansing import ellipsize, integer_list
 from cadastra.functions.dates import Period, to_ymd
-from cadastra.operators import lookup, quality, reshape
+from cadastra.operators import lookup, quality, ranking, reshape
 from cadastra.operators.filters import apply_filters, codes_of
 from cadastra.operators.skew import hot_keys
 from cadastra.plans import documents as docs
@@ -217,6 +217,13 @@ def job_fact_without_partners(r: Registry) -> DataFrame:
     return _job_fact(r, partners=False)
 
 
+@query
+def job_stage_counts(r: Registry) -> DataFrame:
+    folder, observed = _silver_tables(r), quality.Observed()
+    pipeline.build_gold(r.spark, f"{folder}/silver", f"{folder}/fato", "20250101", observed=observed)
+    return observed.counts(r.spark)
+
+
 @query
 def job_dimensions(r: Registry) -> DataFrame:
     folder = scratch(r.spark)
@@ -421,6 +428,14 @@ def cnae_leader(r: Registry) -> DataFrame:
     return rounded(metrics.activity_leader(metrics.top_activities_detail(r.fact, r.activities, 20, WINDOW)), "pct")
 
 
+@query
+def top_cnaes_ascending(r: Registry) -> DataFrame:
+    leaders = metrics.top_activities(r.fact, r.activities, 10, WINDOW)
+    ordered = ranking.ascending(leaders, "cnae_fiscal_principal")
+    place = F.row_number().over(Window.orderBy("total", "cnae_fiscal_principal")) - 1  # of ten rows
+    return ordered.select(place.cast("bigint").alias("posicao"), "cnae_fiscal_principal", "total")
+
+
 @query
 def cnae_picker(r: Registry) -> DataFrame:
     return lookup.picker(r.whole_dimensions["cnaes"])

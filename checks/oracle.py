@@ -413,6 +413,8 @@ QUERIES = {
                    CAST(NULL AS BIGINT) AS data_entrada_sociedade, c.razao_social
             FROM estabelecimentos e JOIN empresas_mei c USING (cnpj_basico))"""
     ),
+    "job_stage_counts": """
+        SELECT 'empresas' AS etapa, count(*) AS linhas FROM empresas_mei UNION ALL SELECT 'fato', count(*) FROM fato""",
     "job_dimensions": DIMENSIONS.replace("–", "-"),
     "job_rewrites_unfinished": "SELECT cnpj_basico, natureza_juridica, porte_empresa FROM empresas",
     "job_documents": """
@@ -504,6 +506,9 @@ QUERIES = {
         SELECT cnae_fiscal_principal, {_ellipsis('descricao', 40, 40)} AS descricao, total, pct
         FROM (SELECT *, round(total / sum(total) OVER () * 100, 4) AS pct FROM ({DETAIL}))
         ORDER BY total DESC, cnae_fiscal_principal LIMIT 1""",
+    "top_cnaes_ascending": f"""
+        SELECT row_number() OVER (ORDER BY total, cnae_fiscal_principal) - 1 AS posicao, cnae_fiscal_principal, total
+        FROM {_top('por_cnae', 'cnae_fiscal_principal', 10)}""",
     "cnae_picker": f"SELECT codigo, codigo || ' - ' || descricao AS opcao FROM ({WHOLE_ACTIVITIES})",
     # Filters and code resolution
     "filters_all": """

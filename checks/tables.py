@@ -216,7 +216,8 @@ _registries: dict[tuple, Registry] = {}
 
 
 def registry(spark: SparkSession, folder: str) -> Registry:
-    key = (spark.sparkContext.applicationId, id(spark), folder)
-    if key not in _registries:
-        _registries[key] = Registry(spark, folder)
-    return _registries[key]
+    """One registry per session and folder; those of ended sessions are let go."""
+    session = (spark.sparkContext.applicationId, id(spark))
+    for key in [k for k in _registries if k[:2] != session]:
+        del _registries[key]
+    return _registries.setdefault((*session, folder), Registry(spark, folder))
