@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 MAX_LABELLED = 3_000
 NEIGHBOURS = 5
 DIMENSIONS = 32
+OVERSAMPLE = 16
+ITERATIONS = 8
 GRAM_BITS = 12
 GRAMS = 1 << GRAM_BITS
 BINS = 12
@@ -108,15 +110,22 @@ class Model:
 
     @classmethod
     def fitted(cls, terms: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
+        """The leading singular vectors by subspace iteration, so that beside ``terms`` (float32, changed in place) only
+        narrow matrices are held."""
         rows = len(terms)
         inverse = np.log((1 + rows) / (1 + np.count_nonzero(terms, axis=0))).astype(np.float32) + 1
         inverse[GRAMS:] = 1
-        weighted = terms * inverse
-        values, left = np.linalg.eigh((weighted @ weighted.T).astype(np.float64))
-        keep = np.argsort(values)[::-1][: min(dimensions, rows)]
+        terms *= inverse
+        wide = min(dimensions + OVERSAMPLE, *terms.shape)
+        basis = np.random.default_rng(0).standard_normal((rows, wide)).astype(np.float32)
+        for _ in range(ITERATIONS):
+            basis, _ = np.linalg.qr(terms @ (terms.T @ basis))
+        narrow = basis.T @ terms
+        values, turn = np.linalg.eigh((narrow @ narrow.T).astype(np.float64))
+        keep = np.argsort(values)[::-1][:dimensions]
         keep = keep[values[keep] > 1e-9]
-        projection = (weighted.T @ left[:, keep] / np.sqrt(values[keep])).astype(np.float32)
-        return cls(inverse, projection, unit(weighted @ projection), labels.astype(np.float64))
+        projection = (narrow.T @ turn[:, keep] / np.sqrt(values[keep])).astype(np.float32)
+        return cls(inverse, projection, unit(terms @ projection), labels.astype(np.float64))
 
     def score(self, terms: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
         if not len(self.labels):
@@ -159,9 +168,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled
     if not rows:
         empty = np.zeros((0, width), np.float32)
         return Model(np.ones(width, np.float32), empty.T, empty, np.zeros(0))
-    ordered = [rows[k] for k in sorted(rows)]
-    matrix = np.stack([np.frombuffer(t, np.float16) for t, _ in ordered]).astype(np.float32)
-    return Model.fitted(matrix, np.array([y for _, y in ordered]))
+    matrix, values = np.empty((len(rows), width), np.float32), np.empty(len(rows))
+    for place, doc_id in enumerate(sorted(rows)):
+        packed, values[place] = rows.pop(doc_id)
+        matrix[place] = np.frombuffer(packed, np.float16)
+    return Model.fitted(matrix, values)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
