@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import scratch_folder, text_of
+from cadastra.llm.common import scratch_folder, stored, text_of
 
 #: A private-use character marks matches; where a text has it, its neighbour stands in while offsets are taken.
 MARK, STAND_IN = "\ue000", "\ue001"
@@ -105,7 +105,8 @@ class SecretLedger:
         todo = todo.groupBy("blob", "holder").agg(F.collect_set(F.struct("kind", "version")).alias("todo"))
         todo = todo.select(F.col("blob").alias("todo_blob"), "holder", "todo")
         same = (F.col("blob") == F.col("todo_blob")) & F.col("doc_id").eqNullSafe(F.col("holder"))
-        unseen = addressed.join(todo, same).select("blob", "text", "todo")
+        # the narrow side is hashed, so texts are dealt once and never sorted
+        unseen = addressed.join(todo.hint("shuffle_hash"), same).select("blob", "text", "todo")
 
         def record(rule: Rule) -> Column:
             made = F.struct(
@@ -131,6 +132,8 @@ class SecretLedger:
         rows = self.records.where(current & (F.size("spans") > 0)).select("blob", "kind", F.inline("spans"))
         entry = F.struct("start", F.element_at(rank, F.col("kind")).alias("rank"), "kind", "end")
         by_blob = rows.groupBy("blob").agg(F.array_sort(F.collect_set(entry)).alias("findings"))
+        # stored, so that Spark knows its size and can split a blob with very many paths
+        by_blob = stored(by_blob, f"{self.folder}-findings-{uuid.uuid4().hex}")
         paths = versions.select("doc_id", F.sha2(text_of(), 256).alias("blob"))
         nothing = F.array().cast(by_blob.schema["findings"].dataType)
         return paths.join(by_blob, "blob", "left").select("doc_id", F.coalesce("findings", nothing).alias("findings"))
