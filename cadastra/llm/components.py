@@ -24,12 +24,12 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(),
         f"{folder}/links-0",
     )
-    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct()
     roots = stored(nodes.select("node", F.col("node").alias("root")), f"{folder}/roots-0")
     for turn in range(1, MAX_ROUNDS):
         if links.isEmpty():
             return roots
-        both = links.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
         def ranked(name: str, turn: int = turn):
             return F.struct(F.xxhash64(F.lit(turn), F.col(name)).alias("rank"), F.col(name).alias("node"))

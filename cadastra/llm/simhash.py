@@ -5,7 +5,7 @@ Fingerprints are distinct before anything is compared. Two of them at ``DISTANCE
 fewer in one half, so the balls of radius one around their halves meet: each fingerprint is put into a table under the
 33 codes of each half's ball. Members of a table entry are compared in all 64 bits.
 
-Links that span the near members of an entry are kept, one less than members at most. An entry with more than
+Each member is linked to the smallest one that near members of the entry connect it to, one link less than members at most. An entry with more than
 ``SMALL_ENTRY`` members (a large group of near copies) is not compared pair by pair: its members take the balls of radius two
 in all 64 bits, 2,081 codes each, and every member is linked to the smallest with the same code. Two fingerprints share
 a code exactly if they differ in four bits or fewer, so no link is lost and none is added.
@@ -120,7 +120,9 @@ def full_codes(fp: Column) -> Column:
 
 
 def spanning(fps: list[int], distance: int) -> list[tuple[int, int]]:
-    """Links that join the members of an entry just as all links at ``distance`` or fewer bits would."""
+    """Links that join the members of an entry just as all links at ``distance`` or fewer bits would: each member with the
+    smallest it is connected to, so that entries of one group of near copies name the same few fingerprints."""
+    fps = sorted(fps)
     values = np.array(fps, np.int64).view(np.uint64)
     near = np.bitwise_count(values[:, None] ^ values[None, :]) <= distance
     links, left = [], np.ones(len(fps), bool)
@@ -128,11 +130,10 @@ def spanning(fps: list[int], distance: int) -> list[tuple[int, int]]:
         stack = [start] if left[start] else []
         left[start] = False
         while stack:
-            at = stack.pop()
-            fresh = np.flatnonzero(near[at] & left)
+            fresh = np.flatnonzero(near[stack.pop()] & left)
             left[fresh] = False
             stack += fresh.tolist()
-            links += [(fps[at], fps[other]) for other in fresh]
+            links += [(fps[start], fps[other]) for other in fresh]
     return links
 
 

@@ -10,13 +10,8 @@ from cadastra.llm.common import scratch_folder
 
 #: Near copies that share four in five of their five-word shingles differ in eleven bits of a fingerprint of these on average,
 #: beyond any table's reach. Fingerprints of the distinct words differ in four or five, so three of them, of
-#: different hashes, find most of these pairs; the first feature finds those of high similarity.
-FEATURES = (
-    simhash.Feature(width=5),
-    simhash.Feature(width=1, distinct=True, seed=42),
-    simhash.Feature(width=1, distinct=True, seed=43),
-    simhash.Feature(width=1, distinct=True, seed=44),
-)
+#: different hashes, find most of these pairs.
+FEATURES = tuple(simhash.Feature(width=1, distinct=True, seed=seed) for seed in (42, 43, 44))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
