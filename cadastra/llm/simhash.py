@@ -8,7 +8,12 @@ fewer in one half, so the balls of radius one around their halves meet: each fin
 Each member is linked to the smallest one that near members of the entry connect it to, one link less than members at most. An entry with more than
 ``SMALL_ENTRY`` members (a large group of near copies) is not compared pair by pair: its members take the balls of radius two
 in all 64 bits, 2,081 codes each, and every member is linked to the smallest with the same code. Two fingerprints share
-a code exactly if they differ in four bits or fewer, so no link is lost and none is added.
+a code exactly if they differ in four bits or fewer. So just what is near is joined, though by links through other members.
+
+``one_of_each`` takes the groups of near fingerprints as candidates only: all pairs of distinct texts of a group are compared
+by the Jaccard similarity of their sets of five-word shingles, and components of pairs at ``SIMILAR`` (4/5) or more
+are what one document is kept of. The texts of a group are dealt into blocks, a row for every block they meet, so a group
+of n texts makes about n * n / ``BLOCK_TEXTS`` rows; no pair is left out.
 
 Defined results: a null or empty text has fingerprint zero, linked like any other; fewer words than a shingle has are one shingle; a
 component's id is its smallest doc_id, null if it has none; repeated rows are copies of each other; an empty table gives no
@@ -35,6 +40,10 @@ DISTANCE = 4
 SMALL_ENTRY = 256
 SEED = 42
 CHUNK = 1 << 16
+SHINGLE = 5
+SIMILAR = (4, 5)
+BLOCK_TEXTS = 256
+BLOCK_BYTES = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -198,13 +207,83 @@ def groups(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> Dat
     return rows.join(named, "node").select("doc_id", "part", "fps", "root", "component_id")
 
 
+def shingle_set(text: str | None) -> set[int]:
+    """64-bit hashes of the distinct shingles of five words; fewer words are one shingle, no words are none."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    line = b" ".join(words)
+    ends = list(accumulate(len(w) + 1 for w in words))
+    return {
+        xxhash.xxh64_intdigest(line[start : end - 1], SEED)
+        for start, end in zip([0, *ends[:-1]], ends[min(SHINGLE, len(words)) - 1 :] if words else [])
+    }
+
+
+def similar_links(parts: list[int], texts: list[str | None], sides: list[int]) -> list[tuple[int, int]]:
+    """Links that join the texts just as all pairs that are similar enough would. Members of one side are compared with
+    those of the other; if there is one side only, with each other."""
+    sets = [shingle_set(t) for t in texts]
+    across = len(set(sides)) > 1
+    above, below = SIMILAR
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), parts[i]))
+    links = []
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            if below * len(sets[a]) < above * len(sets[b]):
+                break
+            if (across and sides[a] == sides[b]) or find(a) == find(b):
+                continue
+            common = len(sets[a] & sets[b])
+            if below * common >= above * (len(sets[a]) + len(sets[b]) - common):
+                root[find(b)] = find(a)
+                links.append((parts[a], parts[b]))
+    return links
+
+
+def similar_pairs(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b): links by ``part`` that join what the texts of one candidate group (part, root) that are similar join."""
+    folder = scratch_folder(docs.sparkSession, "simhash-similar")
+    parts = found.select("part", "root").distinct()
+    several = parts.groupBy("root").agg(F.count("*").alias("texts")).where("texts > 1")
+    members = stored(parts.join(several, "root").select("part", "root"), f"{folder}/members")
+    texts = docs.select(F.xxhash64("text").alias("part"), "text").join(members, "part").dropDuplicates(["part"])
+    texts = stored(texts.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0))), f"{folder}/texts")
+    needed = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES), F.lit(1))
+    blocks = stored(texts.groupBy("root").agg(needed.cast("int").alias("blocks")), f"{folder}/blocks")
+    dealt = texts.join(blocks, "root").withColumn("own", F.pmod(F.xxhash64("part", F.lit(1)), "blocks").cast("int"))
+    met = dealt.select(
+        "root", "own", "part", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        made = similar_links(*(table[name].to_pylist() for name in ("part", "text", "own")))
+        first, second = zip(*made) if made else ((), ())
+        return pa.table({"a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
+
+    keyed = met.select("root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "part", "text")
+    return keyed.groupBy("root", "low", "high").applyInArrow(run, "a bigint, b bigint")
+
+
 def one_of_each(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> DataFrame:
-    """``docs`` with one document of every component: the one with the smallest doc_id (none at all comes last)."""
-    found = groups(docs, features)
+    """``docs`` with one document of every component of similar texts: the one with the smallest doc_id (none at all comes
+    last)."""
+    folder = scratch_folder(docs.sparkSession, "simhash-kept")
+    found = stored(groups(docs, features).select("doc_id", "part", "root"), f"{folder}/found")
+    linked = components(similar_pairs(docs, found)).select(F.col("node").alias("part"), F.col("root").alias("similar"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "part")).alias("first")
+    each = found.groupBy("part").agg(first).join(linked, "part", "left")
     kept = stored(
-        found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.part").alias("_part")),
-        scratch_folder(docs.sparkSession, "simhash-kept"),
+        each.groupBy(F.coalesce("similar", "part")).agg(F.min("first").alias("first")).select(
+            F.col("first.doc_id").alias("_id"), F.col("first.part").alias("_part")
+        ),
+        f"{folder}/kept",
     )
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_part"))
     return docs.join(kept, same).dropDuplicates(["_id", "_part"]).drop("_id", "_part")

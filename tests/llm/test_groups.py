@@ -120,6 +120,37 @@ def test_one_document_of_each_group_stays(spark):
         assert rows(kept, "doc_id") == [(2,), (5,), (None,)]
 
 
+def brute_kept(texts):
+    """Smallest id of each component of pairs with a similarity of four fifths or more."""
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                root = [root[b] if r == root[a] else r for r in root]
+    return {min(i for i, r in enumerate(root) if r == x) for x in set(root)}
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_only_texts_that_share_shingles_are_copies(spark, monkeypatch, block):
+    """Other orders of the same words have the same fingerprints of distinct words, but are other texts."""
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", block)
+    dice = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = [None, "", "one", "ONE", "one two"]
+    for _ in range(5):
+        words = dice.sample(base, 120)
+        texts += [" ".join(words), " ".join(words).upper(), " ".join(words[:60] + words[61:]), " ".join(words[:60] + words)]
+    features = tuple(simhash.Feature(1, True, seed) for seed in (42, 43, 44))
+    docs = documents(spark, texts)
+    assert len({r.component_id for r in simhash.groups(docs, features).where("doc_id > 4").collect()}) == 1
+    kept = simhash.one_of_each(docs, features)
+    assert {r.doc_id for r in kept.collect()} == brute_kept(texts)
+
+
 def test_groups_of_awkward_and_empty_tables(spark):
     docs = awkward(spark)
     assert simhash.groups(docs).count() == docs.count()
