@@ -1,11 +1,12 @@
 """Approximate nearest neighbours: one robust-pruned graph per shard, searched by beams.
 
 Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their id, so no shard grows with the data. Each
+shard holds vectors of one band of norms (``BAND``), so that a few very long vectors do not make all others look alike. A
 shard's graph is built in one task and stored as a table of neighbour lists. Queries go to every shard in blocks of
 ``QUERY_BLOCK``; a task searches one shard for one block, scores what the beam found in double precision, and the best of all
 shards are kept.
 
-Nearness is the inner product. Vectors get one more component so that all have the largest norm, which makes the
+Nearness is the inner product. Vectors get one more component so that all have their shard's largest norm, which makes the
 largest inner product the smallest distance. Equal vectors of a shard are one node of its graph; their ids stand in
 line by size.
 
@@ -25,6 +26,8 @@ from cadastra.llm.common import scratch_folder, stored
 from cadastra.llm.vamana import beam_search, build
 
 SHARD_ROWS = 4_096
+#: Largest ratio of norms in a shard.
+BAND = 16
 QUERY_BLOCK = 8_192
 NEIGHBOURS = 20
 BEAM = 128
@@ -41,20 +44,28 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return one.select(F.col("vec_id").cast("long").alias("vec_id"), "vector", F.size("vector").alias("dim"))
 
 
-def levelled(vectors: np.ndarray, norm: float) -> np.ndarray:
-    """Vectors scaled to norm one at most, with the component that makes it one."""
-    scaled = vectors / norm
+def norms(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean norms, also of rows whose squares are no finite or no positive doubles."""
+    most = np.abs(vectors).max(1)
+    return most * np.sqrt(((vectors / most[:, None]) ** 2).sum(1))
+
+
+def levelled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors scaled by their largest norm, with the component that makes each norm one, in double precision."""
+    most = np.abs(vectors).max()
+    scaled = vectors / most
+    scaled /= norms(scaled).max()
     rest = np.sqrt(np.maximum(1 - (scaled * scaled).sum(1), 0))
-    return np.column_stack([scaled, rest]).astype(np.float32)
+    return np.column_stack([scaled, rest])
 
 
-def graph_of(rows: pd.DataFrame, norm: float) -> pd.DataFrame:
+def graph_of(rows: pd.DataFrame) -> pd.DataFrame:
     """One row per distinct vector of a shard: its node number, ids, neighbour list, and whether search starts there."""
     rows = rows.sort_values("vec_id")
     vectors = np.stack(rows["vector"].to_numpy())
     distinct, node = np.unique(vectors, axis=0, return_inverse=True)
     members = rows["vec_id"].groupby(node.ravel()).apply(list)
-    graph, entry = build(levelled(distinct, norm))
+    graph, entry = build(levelled(distinct))
     return pd.DataFrame(
         {
             "dim": rows["dim"].iloc[0],
@@ -68,7 +79,7 @@ def graph_of(rows: pd.DataFrame, norm: float) -> pd.DataFrame:
     )
 
 
-def searched(shard: pd.DataFrame, queries: pd.DataFrame, norm: float, neighbours: int, beam: int) -> pd.DataFrame:
+def searched(shard: pd.DataFrame, queries: pd.DataFrame, neighbours: int, beam: int) -> pd.DataFrame:
     """The ``neighbours`` best of one shard for each query of one block."""
     names = ["query_id", "vec_id", "score"]
     if shard.empty or queries.empty:
@@ -80,12 +91,12 @@ def searched(shard: pd.DataFrame, queries: pd.DataFrame, norm: float, neighbours
     for row, near in enumerate(shard["near"]):
         graph[row, : len(near)] = near
     entry = int(np.flatnonzero(shard["entry"].to_numpy())[0])
-    points, ids = levelled(vectors, norm), shard["ids"].to_list()
+    points, ids = levelled(vectors).astype(np.float32), shard["ids"].to_list()
     out = []
     for start in range(0, len(queries), SEARCH_BATCH):
         part = queries.iloc[start : start + SEARCH_BATCH]
         asked = np.stack(part["vector"].to_numpy())
-        level = np.column_stack([asked / norm, np.zeros(len(asked))]).astype(np.float32)
+        level = np.column_stack([asked / np.abs(asked).max(1, keepdims=True), np.zeros(len(asked))]).astype(np.float32)
         found, _ = beam_search(level, points, graph, entry, max(beam, neighbours + 1))
         for query, vector, nodes in zip(part["vec_id"], asked, found):
             nodes = nodes[nodes >= 0]
@@ -98,24 +109,34 @@ def searched(shard: pd.DataFrame, queries: pd.DataFrame, norm: float, neighbours
     return pd.DataFrame(out, columns=names)
 
 
-def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, float, int]:
-    """The stored graphs, the largest norm and the number of shards, for rows from ``usable``."""
-    norm2 = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    rows, largest = vectors.agg(F.count("*"), F.max(norm2)).first()
-    shards = max(1, -(-rows // shard_rows))
-    norm = float(np.sqrt(largest)) if rows else 1.0
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
+    """The stored graphs and the number of shards, for rows from ``usable``. Bands are counted from the largest norm down."""
+    most = F.array_max(F.transform("vector", F.abs))
+    ratio = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+    # logarithms, as neither the largest norm nor a ratio of norms need be a finite double
+    size = F.log(most) + F.log(ratio)
+    sized = vectors.withColumn("size", size)
+    largest = sized.agg(F.max("size")).first()[0] or 0.0
+    banded = sized.withColumn("band", F.floor((F.lit(largest) - F.col("size")) / float(np.log(BAND))).cast("int"))
+    # a finite double leaves some 530 bands at most
+    counts = sorted((r["band"], r["count"]) for r in banded.groupBy("band").count().collect())
+    cut, shards = {}, 0
+    for band, rows in counts:
+        cut[band] = (shards, -(-rows // shard_rows))
+        shards += cut[band][1]
+    spark = vectors.sparkSession
+    table = spark.createDataFrame([(b, s, n) for b, (s, n) in cut.items()], "band int, first int, shards int")
+    place = F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int")
+    dealt = banded.join(F.broadcast(table), "band").select("vec_id", "vector", "dim", place.alias("shard"))
     graphs = dealt.groupBy("dim", "shard").applyInPandas(
-        lambda rows: graph_of(rows, norm),
-        "dim int, shard int, node int, ids array<long>, vector array<double>, near array<int>, entry boolean",
+        graph_of, "dim int, shard int, node int, ids array<long>, vector array<double>, near array<int>, entry boolean"
     )
-    return stored(graphs, scratch_folder(vectors.sparkSession, "graphs")), norm, shards
+    return stored(graphs, scratch_folder(spark, "graphs")), max(1, shards)
 
 
 def search(
     graphs: DataFrame,
     queries: DataFrame,
-    norm: float,
     shards: int,
     neighbours: int = NEIGHBOURS,
     beam: int = BEAM,
@@ -134,7 +155,7 @@ def search(
         held.groupBy(*keys)
         .cogroup(asked.groupBy(*keys))
         .applyInPandas(
-            lambda shard, part: searched(shard, part, norm, neighbours, beam), "query_id long, vec_id long, score double"
+            lambda shard, part: searched(shard, part, neighbours, beam), "query_id long, vec_id long, score double"
         )
     )
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
@@ -145,5 +166,5 @@ def search(
 def nearest(embeddings: DataFrame, is_query, neighbours: int = NEIGHBOURS, beam: int = BEAM, shard_rows: int = SHARD_ROWS):
     """Index every usable row; search for those for which ``is_query`` (a condition on vec_id) holds."""
     vectors = stored(usable(embeddings), scratch_folder(embeddings.sparkSession, "vectors"))
-    graphs, norm, shards = index(vectors, shard_rows)
-    return search(graphs, vectors.where(is_query), norm, shards, neighbours, beam)
+    graphs, shards = index(vectors, shard_rows)
+    return search(graphs, vectors.where(is_query), shards, neighbours, beam)

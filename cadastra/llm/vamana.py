@@ -1,6 +1,7 @@
 """A robust-pruned proximity graph over one shard of vectors, in NumPy.
 
 Similarity is the inner product of rows that all have the same norm, so larger means nearer in the Euclidean sense too.
+Graphs are built in double precision, as distances are twice the squared norm less a product that is near it.
 Points are inserted in batches: beam searches of the graph so far propose neighbours, pruning keeps a neighbour unless one
 already kept is nearer to it, by the factor ``ALPHA``, than the point itself is; then links back are added and
 lists that overflow are pruned in the same way.
@@ -24,7 +25,7 @@ def beam_search(
     """Ids and similarities of the ``beam`` nearest points found for each query, nearest first; -1 where fewer."""
     rows = len(queries)
     ids = np.full((rows, beam), -1, np.int64)
-    sims = np.full((rows, beam), -np.inf, np.float32)
+    sims = np.full((rows, beam), -np.inf, points.dtype)
     done = np.zeros((rows, beam), bool)
     seen = np.zeros((rows, len(points)), bool)
     ids[:, 0], sims[:, 0], seen[:, entry] = entry, queries @ points[entry], True
@@ -101,7 +102,7 @@ def build(points: np.ndarray, seed: int = 42) -> tuple[np.ndarray, int]:
         nearest = np.argsort(-mates, axis=1)[:, :DEGREE]
         own = np.where(np.take_along_axis(mates, nearest, 1) > -np.inf, batch[nearest], -1)
         ids = np.concatenate([ids, own], 1)
-        sims = np.concatenate([sims, np.take_along_axis(mates, nearest, 1)], 1).astype(np.float32)
+        sims = np.concatenate([sims, np.take_along_axis(mates, nearest, 1)], 1)
         by = np.argsort(-sims, axis=1, kind="stable")
         ids, sims = np.take_along_axis(ids, by, 1), np.take_along_axis(sims, by, 1)
         lists = pruned(ids, sims, points, norm2, DEGREE)

@@ -201,6 +201,20 @@ def test_recall_and_scores_over_several_shards(spark, spread):
     assert hits / (20 * len(expected)) >= 0.95
 
 
+@pytest.mark.parametrize("long", [1e4, 1e30])
+def test_one_long_vector_spoils_no_graph(spark, long):
+    dice = np.random.default_rng(8)
+    matrix = dice.normal(size=(1200, 32))
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix[7] *= long
+    found = ann.nearest(vectors(spark, matrix), F.col("vec_id") % 20 == 0, shard_rows=800).collect()
+    expected = brute_nearest(matrix, 20, 20)
+    got = defaultdict(set)
+    for row in found:
+        got[row.query_id].add(row.vec_id)
+    assert sum(len(got[q] & {i for _, i in best}) for q, best in expected.items()) / (20 * len(expected)) >= 0.95
+
+
 def test_unusable_vectors_and_small_tables(spark):
     data = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [0.5, 0.5])]
     data += [(5, [0.5, 0.5]), (None, [1.0, 1.0]), (6, [float("inf"), 0.0]), (7, []), (8, [1.0, 2.0, 3.0])]
