@@ -11,6 +11,9 @@ an empty catalogue finds nothing; columns with clashing names in the input are n
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +92,9 @@ LICENSES = (
     ("Zlib", ("", "zlib License"), ZLIB_BODY),
 )
 
+#: Longer whole texts, a JSON object (license, text) per line: variants that differ in title, numbering or appendix have each a line.
+TEXTS = Path(__file__).with_suffix(".jsonl")
+
 #: One-line notices by SPDX id.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -109,6 +115,8 @@ NOTICES = (
 def known_texts() -> list[tuple[str, str, str]]:
     """(kind, id, text): ``license`` for whole texts, ``notice`` for lines."""
     whole = [("license", name, f"{title}\n\n{body}".strip()) for name, titles, body in LICENSES for title in titles]
+    rows = map(json.loads, filter(None, TEXTS.read_text("utf-8").split("\n")))
+    whole += [("license", row["license"], row["text"]) for row in rows]
     return whole + [("notice", name, line) for name, line in NOTICES]
 
 

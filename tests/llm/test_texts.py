@@ -41,6 +41,16 @@ def test_a_whole_licence_is_found_under_other_case_punctuation_spelling_and_hold
     assert [r[1] for r in rows(found, "doc_id", "license")] == ["MIT", "MIT", "MIT", "MIT", None]
 
 
+def test_whole_texts_of_common_licenses_are_found(spark):
+    """Also with other line breaks, case and owner."""
+    wanted = {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "Unlicense"}
+    given = [(name, text) for kind, name, text in licenses.known_texts() if kind == "license" and name in wanted]
+    assert {name for name, _ in given} == wanted
+    docs = documents(spark, ["Copyright (c) 2020 Somebody\r\n" + text.replace("\n", "\r\n").upper() for _, text in given])
+    found = licenses.scan(docs, licenses.catalogue(spark)).orderBy("doc_id").collect()
+    assert [r.license for r in found] == [name for name, _ in given]
+
+
 def test_notice_lines_are_found_in_other_texts(spark):
     texts = ["Text.\nReleased under the MIT licence\nmore", "Released under the MIT License. Or not.", "© 2020 X", None, ""]
     found = licenses.scan(documents(spark, texts), licenses.catalogue(spark))
