@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm import (
+    alignment,
     ann,
     decontaminate,
+    hardneg,
     licenses,
     linededup,
     mixing,
@@ -30,6 +32,8 @@ URL_RULES = [
     ("block", "com", "/de/"),
 ]
 QUERY_EVERY = 20
+ANCHOR_EVERY = 50
+MOVED_EVERY = 7
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -114,6 +118,16 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % MOVED_EVERY == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, folder, "embeddings").withColumn("label", moved), F.col("vec_id") % ANCHOR_EVERY == 0)
+
+
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    documents, _ = alignment.align(table(spark, folder, "documents").select("doc_id", "text"), digest=True)
+    return documents.withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": license_scan,
@@ -126,6 +140,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_table_sharding": table_sharding,
         "op9_graph_search": graph_search,
         "op10_simhash_groups": simhash_groups,
+        "op12_hard_negatives": hard_negatives,
+        "op13_token_alignment": token_alignment,
     }
 
 
@@ -137,4 +153,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_benchmark_scan": sql.benchmark_scan(),
         "op6_source_mix": sql.source_mix(),
         "op7_secret_scan": sql.SECRET_SCAN,
+        "op12_hard_negatives": sql.HARD_NEGATIVES,
     }

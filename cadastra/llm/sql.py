@@ -192,3 +192,26 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN found f USING (doc_id)
 """
+
+
+HARD_NEGATIVES = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+    FROM rows a JOIN rows r ON len(a.v) = len(r.v) WHERE a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), windows AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+    FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+        AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 3
+"""
