@@ -12,6 +12,7 @@ from cadastra.llm import (
     ann,
     decontaminate,
     hardneg,
+    htmltext,
     licenses,
     linededup,
     mixing,
@@ -118,6 +119,10 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.extract(table(spark, folder, "pages"))
+
+
 def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % MOVED_EVERY == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardneg.mine(table(spark, folder, "embeddings").withColumn("label", moved), F.col("vec_id") % ANCHOR_EVERY == 0)
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_table_sharding": table_sharding,
         "op9_graph_search": graph_search,
         "op10_simhash_groups": simhash_groups,
+        "op11_main_text": main_text,
         "op12_hard_negatives": hard_negatives,
         "op13_token_alignment": token_alignment,
     }

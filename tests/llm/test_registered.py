@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 def test_all_are_registered():
     names = set(registered.queries())
     assert names <= set(driver.queries()) and "pipeline" in driver.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
