@@ -54,8 +54,7 @@ BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 #: A pair is ``a << B_BITS | b``.
 B_BITS = 16
 CHUNK_DOCS = 1 << 13
-CHUNK_BYTES = 8 << 20
-HELD_CHUNKS = 256
+CHUNK_BYTES = 4 << 20
 
 POSTINGS = (
     "chunk long, doc int, doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -338,67 +337,37 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     return pairs.join(most, "b_id").select("pair", "a_id", "b_id", "docs", "links", (F.col("links") == F.col("most")).alias("best"))
 
 
-def add_scores(held: dict[int, np.ndarray], batch: pa.RecordBatch) -> None:
-    """Add (count sum, best links) of the posting rows of a batch to the arrays of their chunks."""
-    chunk, plane, dense, bits, links, best = (batch.column(i) for i in range(6))
-    known, slot = np.unique(chunk.to_numpy(), return_inverse=True)
+def chunk_scores(table: pa.Table) -> pa.Table:
+    """(chunk, doc, count_sum, n_best) of the documents of one chunk, from all its posting rows with their pairs' counts."""
+    table = table.combine_chunks()
+    chunk, plane, dense, bits, links, best = (
+        table[name].chunk(0) for name in ("chunk", "plane", "dense", "bits", "links", "best")
+    )
     dense = dense.to_numpy(zero_copy_only=False)
     weight = np.left_shift(1, plane.to_numpy().astype(np.int64))
     values = np.stack([weight * links.to_numpy(), weight * best.to_numpy(zero_copy_only=False)])
     offsets = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset : bits.offset + len(bits) + 1]
     data = np.frombuffer(bits.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<u2")
     sizes = np.diff(offsets) // 2
-    sums = np.zeros((2, len(known), CHUNK_DOCS), np.int64)
+    sums = np.zeros((2, CHUNK_DOCS), np.int64)
     listed = np.repeat(~dense, sizes)
-    at = np.repeat(slot, sizes)[listed] * CHUNK_DOCS + data[listed]
     for kind in range(2):
-        np.add.at(sums[kind].reshape(-1), at, np.repeat(values[kind], sizes)[listed])
+        np.add.at(sums[kind], data[listed], np.repeat(values[kind], sizes)[listed])
     stops = np.cumsum(sizes)
     for row in np.flatnonzero(dense):
         members = np.unpackbits(data[stops[row] - sizes[row] : stops[row]].view(np.uint8), bitorder="little")[:CHUNK_DOCS]
-        sums[:, slot[row], : len(members)] += members * values[:, row][:, None]
-    for number, name in enumerate(known.tolist()):
-        if name in held:
-            held[name] += sums[:, number]
-        else:
-            held[name] = sums[:, number].copy()
-
-
-def few_chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces that each meet at most ``HELD_CHUNKS`` chunks."""
-    known, slot = np.unique(batch.column(0).to_numpy(), return_inverse=True)
-    if len(known) <= HELD_CHUNKS:
-        yield batch
-        return
-    for piece in range(0, len(known), HELD_CHUNKS):
-        yield batch.filter(pa.array((slot >= piece) & (slot < piece + HELD_CHUNKS)))
+        sums[:, : len(members)] += members * values[:, row][:, None]
+    docs = np.flatnonzero(sums[0])
+    columns = {"chunk": np.full(len(docs), chunk[0].as_py()), "doc": docs.astype(np.int32), "count_sum": sums[0, docs]}
+    return pa.table({**columns, "n_best": sums[1, docs]})
 
 
 def returned_scores(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(chunk, doc, count_sum, n_best): what the postings return to their documents."""
+    """(chunk, doc, count_sum, n_best): what the postings return to their documents. A chunk's postings are of bounded size,
+    as its texts are; so they meet in one group again, after they have met their pairs' counts."""
     asked = rows.where("pair IS NOT NULL").select("pair", "chunk", "plane", "dense", "bits")
-    scored = asked.join(pairs.select("pair", "links", "best"), "pair")
-
-    def emit(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for chunk, sums in held.items():
-            docs = np.flatnonzero(sums[0])
-            arrays = [np.full(len(docs), chunk), docs.astype(np.int32), sums[0, docs], sums[1, docs]]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), ["chunk", "doc", "count_sum", "n_best"])
-        held.clear()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for piece in few_chunks(batch):
-                add_scores(held, piece)
-                if len(held) > HELD_CHUNKS:
-                    yield from emit(held)
-        yield from emit(held)
-
-    partial = scored.select("chunk", "plane", "dense", "bits", "links", "best").mapInArrow(
-        run, "chunk long, doc int, count_sum long, n_best long"
-    )
-    return partial.groupBy("chunk", "doc").agg(F.sum("count_sum").alias("count_sum"), F.sum("n_best").alias("n_best"))
+    scored = asked.join(pairs.select("pair", "links", "best"), "pair").drop("pair")
+    return scored.groupBy("chunk").applyInArrow(chunk_scores, "chunk long, doc int, count_sum long, n_best long")
 
 
 def align(docs: DataFrame, folder: str = TOKENIZERS, digest: bool = False) -> tuple[DataFrame, DataFrame]:
