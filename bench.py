@@ -16,7 +16,7 @@ os.environ.setdefault("PYTHONWARNINGS", "ignore")
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cadastra.operators.filters import apply_filters  # noqa: E402
-from cadastra.plans import documents, metrics, search, sheet  # noqa: E402
+from cadastra.plans import documents, metrics, search, sheet, store  # noqa: E402
 from cadastra.plans.fact import opted_in_companies, opted_in_keys  # noqa: E402
 from cadastra.session import build_session, shared_dir  # noqa: E402
 from cadastra.sources import gold  # noqa: E402
@@ -49,9 +49,9 @@ def main() -> None:
     fact = gold.read(spark, f"{base}/fato")
     keys = opted_in_keys(registry.tax_regime)
     companies = opted_in_companies(registry.companies, keys, ["razao_social"])
-    timed("build_documents", lambda: documents.write_documents(documents.build_documents(fact, companies), f"{base}/docs", 64))
+    timed("build_documents", lambda: store.write_documents(documents.build_parts(fact, companies), f"{base}/docs", 64))
 
-    docs = documents.read_documents(spark, f"{base}/docs")
+    docs = store.read_documents(spark, f"{base}/docs")
     activities, towns = registry.activities, registry.towns
     for name, step in {
         "kpis": lambda: metrics.headline_indicators(fact, WINDOW),
@@ -66,7 +66,7 @@ def main() -> None:
         "cnae_by_situacao": lambda: metrics.activity_by_status(fact, activities, 10, WINDOW),
         "top_cnae_evolution": lambda: metrics.activity_evolution(fact, activities, 5, WINDOW),
         "filters": lambda: apply_filters(fact, states=[STATE], statuses=[2]).groupBy("uf").count(),
-        "doc_by_key": lambda: documents.nested(documents.documents_by_id(spark, f"{base}/docs", 11)),
+        "doc_by_key": lambda: documents.nested(store.documents_by_id(spark, f"{base}/docs", 11)),
         "doc_by_uf_cnae": lambda: documents.nested(search.by_state_and_activity(docs, STATE, ACTIVITY)),
         "doc_count_by_uf": lambda: search.count_by_state(docs),
         "company_sheet": lambda: sheet.company_sheets(docs, activities, towns, registry.natures),

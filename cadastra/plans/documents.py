@@ -14,13 +14,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.cleansing import clean_name, integer_list
 from cadastra.schemas import FACT
-from cadastra.session import shared_dir
-from cadastra.sources.committed import is_committed, read_note, write_note
 
 KEY = "cnpj_basico"
 # Field order of the nested records.
@@ -52,6 +50,14 @@ class Documents(NamedTuple):
         return self.each(lambda table: table.join(companies, on, "left_semi"))
 
 
+class Parts(NamedTuple):
+    """Documents whose headers, ``heads`` (_id, header), are not counted yet."""
+
+    heads: DataFrame
+    partners: DataFrame
+    units: DataFrame
+
+
 def header_of(row: Row, named: bool) -> Column:
     """Company header; both regime flags are constant because the fact holds opted-in companies only."""
     return F.struct(
@@ -93,8 +99,8 @@ def establishment_of(row: Row) -> Column:
     )
 
 
-def build_documents(fact: DataFrame, companies: DataFrame | None = None) -> Documents:
-    """Documents of the fact's companies.
+def build_parts(fact: DataFrame, companies: DataFrame | None = None) -> Parts:
+    """Documents of the fact's companies, for a store, which counts establishments once they are written.
 
     Exact copies of fact rows collapse, with a partial aggregation before the shuffle. The company name is used when the
     fact carries it, or taken with the rest of the header from ``companies`` (opted-in rows with name), which spares
@@ -110,8 +116,24 @@ def build_documents(fact: DataFrame, companies: DataFrame | None = None) -> Docu
         source = fact
     else:
         named, source = True, companies.join(fact.select(KEY), KEY, "left_semi")
-    headers = source.groupBy(key).agg(F.min(header_of(F.col, named)).alias("header"))
-    return Documents(counted(headers, units), partners, units)
+    return Parts(source.groupBy(key).agg(F.min(header_of(F.col, named)).alias("header")), partners, units)
+
+
+def build_documents(fact: DataFrame, companies: DataFrame | None = None) -> Documents:
+    """Documents of the fact's companies, see ``build_parts``."""
+    return whole(build_parts(fact, companies))
+
+
+def whole(parts: Parts) -> Documents:
+    return Documents(counted(parts.heads, parts.units), parts.partners, parts.units)
+
+
+def parts_of(documents: Documents | Parts) -> Parts:
+    """Parts as they are; of documents, the headers without their numbers."""
+    if isinstance(documents, Parts):
+        return documents
+    plain = documents.each(lambda table: table.drop("bucket"))
+    return Parts(plain.headers.select("_id", F.struct(*HEADER).alias("header")), plain.partners, plain.units)
 
 
 def counted(headers: DataFrame, units: DataFrame) -> DataFrame:
@@ -139,6 +161,11 @@ def nested(documents: Documents) -> DataFrame:
 
 
 def merge_documents(old: Documents, new: Documents) -> Documents:
+    """Union of two sets by company, see ``merged_parts``."""
+    return whole(merged_parts(old, new))
+
+
+def merged_parts(old: Documents, new: Documents) -> Parts:
     """Union of two sets by company.
 
     An existing header stays; partners are united; an establishment is kept as often as the set that
@@ -156,73 +183,4 @@ def merge_documents(old: Documents, new: Documents) -> Documents:
     partners = both("partners", "socio").select("_id", "socio").distinct()
     oldest = F.min(F.struct("age", "header"))["header"].alias("header")
     headers = both("headers", F.struct(*HEADER).alias("header")).groupBy("_id").agg(oldest)
-    return Documents(counted(headers, units), partners, units)
-
-
-# Storage: each table partitioned by a hash of the company, so that a merge rewrites only the buckets it touches, and
-# sorted by company inside its files, so that a lookup skips most row groups. The number of buckets is part of the store.
-
-BUCKETS = 1024
-NOTE = "store"
-
-
-def bucket_of(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("_id"), F.lit(buckets)).cast("int")
-
-
-def write_documents(documents: Documents, path: str, buckets: int = BUCKETS) -> None:
-    """Full reload."""
-    spark = documents.headers.sparkSession
-    _write(documents, path, buckets, "static")
-    write_note(spark, f"{path}/{NOTE}", {"buckets": buckets})
-
-
-def stored_buckets(spark: SparkSession, path: str) -> int:
-    return int(read_note(spark, f"{path}/{NOTE}")["buckets"])
-
-
-def read_documents(spark: SparkSession, path: str) -> Documents:
-    """The stored documents; the tables have a column ``bucket``, by which they can be pruned."""
-    if not is_committed(spark, f"{path}/{NOTE}"):
-        raise FileNotFoundError(f"{path} holds no complete set of documents")
-    return Documents(*[spark.read.parquet(f"{path}/{name}") for name in Documents._fields])
-
-
-def documents_by_id(spark: SparkSession, path: str, company: int) -> Documents:
-    """Point lookup that opens one bucket only."""
-    # a constant, so no job runs for it
-    bucket = spark.sql("SELECT CAST(:company AS BIGINT) AS _id", {"company": company})
-    number = bucket.select(bucket_of(stored_buckets(spark, path))).first()[0]
-    return read_documents(spark, path).each(
-        lambda table: table.where((F.col("bucket") == number) & (F.col("_id") == company))
-    )
-
-
-def merge_into(path: str, new: Documents) -> list[int]:
-    """Merge into the stored documents; returns the buckets that were rewritten (as many as the store has, at most)."""
-    spark = new.headers.sparkSession
-    shared_dir(spark)
-    buckets = stored_buckets(spark, path)
-    new = new.each(lambda table: table.drop("bucket").checkpoint())
-    touched = sorted(row[0] for row in new.headers.select(bucket_of(buckets)).distinct().collect())
-    if touched:
-        chosen = F.col("bucket").isin(touched)
-        held = read_documents(spark, path).each(lambda table: table.where(chosen).drop("bucket"))
-        merged = merge_documents(held, new).each(lambda table: table.checkpoint())
-        _write(merged, path, buckets, "dynamic")
-    return touched
-
-
-def _write(documents: Documents, path: str, buckets: int, mode: str) -> None:
-    for name, table in zip(Documents._fields, documents):
-        # rebalancing splits a bucket that is larger than others over several files
-        dealt = table.withColumn("bucket", bucket_of(buckets)).hint("rebalance", "bucket")
-        (
-            dealt.sortWithinPartitions("bucket", "_id")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .option("parquet.bloom.filter.enabled#_id", "true")
-            .partitionBy("bucket")
-            .parquet(f"{path}/{name}")
-        )
-
+    return Parts(headers, partners, units)

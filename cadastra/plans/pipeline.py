@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadastra.operators.quality import Observed
 from cadastra.operators.skew import hot_keys
-from cadastra.plans.documents import build_documents, write_documents
+from cadastra.plans.documents import build_parts
 from cadastra.plans.fact import KEY, build_fact, opted_in_companies, opted_in_keys
+from cadastra.plans.store import write_documents
 from cadastra.schemas import SILVER_TABLES
 from cadastra.sources import bronze, dimensions, gold, silver
 from cadastra.sources.committed import is_committed
@@ -84,4 +85,4 @@ def load_documents(spark: SparkSession, silver_root: str, gold_path: str, path:
     flags = hot_keys(tables["simples"], KEY)
     keys = opted_in_keys(tables["simples"], repeated=bool(flags))
     companies = opted_in_companies(tables["empresas"], keys, ["razao_social"], hot_keys(tables["empresas"], KEY))
-    write_documents(build_documents(gold.read(spark, gold_path).drop("snapshot"), companies), path)
+    write_documents(build_parts(gold.read(spark, gold_path).drop("snapshot"), companies), path)

@@ -33,6 +33,21 @@ def look_up(requests: DataFrame, id_text: str, documents: Documents, hot: dict |
     return found.withColumn("status", status).drop("_known")
 
 
+def look_up_stored(
+    requests: DataFrame, id_text: str, documents: Documents, buckets: int, hot: dict | None = None
+) -> DataFrame:
+    """``look_up`` in stored documents of so many buckets.
+
+    The ids asked for carry their bucket. Where they are few enough to be broadcast, they prune the buckets at run time,
+    so only those asked for are read.
+    """
+    asked = _asked_ids(requests, id_text).select("_id").where("_id IS NOT NULL").distinct()
+    placed = asked.withColumn("bucket", F.pmod(F.xxhash64("_id"), F.lit(buckets)).cast("int"))
+    # Spark prunes by a side only if it has a condition; a bucket that is none cannot be asked for
+    held = documents.headers.join(placed.where("bucket >= 0"), ["bucket", "_id"], "left_semi")
+    return look_up(requests, id_text, documents._replace(headers=held), hot)
+
+
 def requested_documents(requests: DataFrame, id_text: str, documents: Documents) -> Documents:
     """The whole documents that were asked for, each once however often it was."""
     return documents.of(_asked_ids(requests, id_text).select("_id").distinct())
@@ -107,6 +122,42 @@ def name_search(documents: Documents, text: str) -> DataFrame:
     ).drop("copy")
 
 
+# Postings of names: every piece of up to three characters of a company's names, in upper case, with its company. A piece of
+# fewer characters stands at the end of its name, so a prefix of pieces finds any text of one or two characters.
+
+PIECE = 3
+
+
+def _pieces(name: Column) -> Column:
+    places = F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name)))
+    return F.array_distinct(F.transform(places, lambda at: F.substring(name, at, F.lit(PIECE))))
+
+
+def name_postings(documents: Documents) -> DataFrame:
+    """(gram, _id), once per company and piece."""
+    company = documents.headers.select("_id", F.upper("razao_social").alias("name"))
+    trade = documents.units.select("_id", F.upper("unidade.nome_fantasia").alias("name"))
+    return company.unionAll(trade).select("_id", F.explode(_pieces(F.col("name"))).alias("gram")).distinct().select("gram", "_id")
+
+
+def name_search_indexed(documents: Documents, postings: DataFrame, text: str) -> DataFrame:
+    """``name_search`` of the companies whose names hold all pieces of the text; other companies stay unread.
+
+    An empty text is in every name, so all are scanned."""
+    if not text:
+        return name_search(documents, text)
+    # a constant, so no job runs for it; the same upper case as that of the names
+    wanted = postings.sparkSession.sql("SELECT upper(:text)", {"text": text}).first()[0]
+    keys = [c for c in ("bucket", "_id") if c in postings.columns and c in documents.units.columns]
+    if len(wanted) < PIECE:
+        found = postings.where(F.startswith("gram", F.lit(wanted))).select(*keys).distinct()
+    else:
+        pieces = sorted({wanted[at : at + PIECE] for at in range(len(wanted) - PIECE + 1)})
+        held = postings.where(F.col("gram").isin(pieces)).groupBy(*keys).agg(F.count("*").alias("pieces"))
+        found = held.where(F.col("pieces") == len(pieces)).select(*keys)
+    return name_search(documents.of(found, keys), text)
+
+
 def collection_stats(documents: Documents, name: str = "documentos", database: str = "cadastro") -> DataFrame:
     return documents.headers.agg(F.count("*").alias("total_documentos")).select(
         "total_documentos", F.lit(name).alias("nome"), F.lit(database).alias("banco")
@@ -130,6 +181,11 @@ def activity_index(documents: Documents) -> DataFrame:
     return rows.select("uf", "cnae", "principal", "_id", *place).distinct()
 
 
+def activity_postings(documents: Documents) -> DataFrame:
+    """The same rows for a store, which places them itself."""
+    return activity_index(documents.each(lambda table: table.drop("bucket")))
+
+
 def write_activity_index(documents: Documents, path: str) -> None:
     """Range layout by state, activity and company: a common activity is cut at company ids."""
     ordered = activity_index(documents).repartitionByRange("uf", "cnae", "_id").sortWithinPartitions("cnae", "_id")

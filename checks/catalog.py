@@ -17,11 +17,12 @@ from cadastra.operators.filters import apply_filters, codes_of
 from cadastra.operators.skew import hot_keys
 from cadastra.plans import documents as docs
 from cadastra.plans import fact as facts
-from cadastra.plans import metrics, pipeline, search, sheet
+from cadastra.plans import metrics, pipeline, search, sheet, store
 from cadastra.schemas import COMPANIES, DOMAIN_TABLES, SIZE_LABELS, STATUS_LABELS
 from cadastra.session import shared_dir
 from cadastra.sources import bronze, dimensions, gold, silver, web
 from cadastra.streaming.ingest import ingest
+from cadastra.streaming.upsert import upsert_documents
 from checks.tables import Registry, registry
 
 # The test tables hold orders of 1995 to 2001, so both bounds of this window bite.
@@ -250,7 +251,7 @@ def job_documents(r: Registry) -> DataFrame:
     folder = _silver_tables(r)
     pipeline.build_gold(r.spark, f"{folder}/silver", f"{folder}/fato", "20250101")
     pipeline.load_documents(r.spark, f"{folder}/silver", f"{folder}/fato", f"{folder}/documentos")
-    stored = docs.read_documents(r.spark, f"{folder}/documentos")
+    stored = store.read_documents(r.spark, f"{folder}/documentos")
     return stored.headers.select("_id", "razao_social", "natureza_juridica", "capital_social", "porte_empresa", "unidades")
 
 
@@ -576,11 +577,76 @@ def doc_merge(r: Registry) -> DataFrame:
 def doc_store_merge(r: Registry) -> DataFrame:
     path = f"{scratch(r.spark)}/documentos"
     early, late = _halves(r)
-    docs.write_documents(docs.build_documents(early), path, buckets=8)
+    store.write_documents(docs.build_documents(early), path, buckets=8)
     update = docs.build_documents(late)
     for _ in range(2):  # merging the same rows again changes nothing
-        docs.merge_into(path, update)
-    return flattened(docs.read_documents(r.spark, path))
+        store.merge_into(path, update)
+    return flattened(store.read_documents(r.spark, path))
+
+
+@query
+def doc_store_generations(r: Registry) -> DataFrame:
+    """Generation 0 as a read that began before the merge sees it, and generation 1."""
+    path = f"{scratch(r.spark)}/documentos"
+    early, late = _halves(r)
+    store.write_documents(docs.build_parts(early), path, buckets=8)
+    before = store.read_documents(r.spark, path).headers
+    store.merge_into(path, docs.build_documents(late))
+    after = store.read_documents(r.spark, path, generation=1).headers
+
+    def numbered(headers: DataFrame, number: int) -> DataFrame:
+        return headers.select(F.lit(number).alias("generation"), "_id", "unidades")
+
+    return numbered(before, 0).unionAll(numbered(after, 1))
+
+
+@query
+def doc_stream_upsert(r: Registry) -> DataFrame:
+    """Three batches, all of them delivered a second time."""
+    folder = scratch(r.spark)
+    # a file for each third of the companies
+    third = F.pmod(F.col("cnpj_basico"), F.lit(3))
+    r.named_fact.repartitionByRange(3, third).write.parquet(f"{folder}/fato")
+    store.write_documents(docs.build_parts(r.named_fact.limit(0)), f"{folder}/documentos", buckets=8)
+    for run in range(2):
+        upsert_documents(
+            r.spark, f"{folder}/fato", f"{folder}/documentos", f"{folder}/checkpoint-{run}", r.named_fact.schema, files_per_batch=1
+        ).awaitTermination()
+    return flattened(store.read_documents(r.spark, f"{folder}/documentos"))
+
+
+@query
+def doc_by_index_merged(r: Registry) -> DataFrame:
+    path = r.merged_store
+    return flattened(search.by_index(store.read_documents(r.spark, path), store.read_index(r.spark, path, "activity"), ACTIVITY, STATE))
+
+
+@query
+def doc_index_merged(r: Registry) -> DataFrame:
+    return store.read_index(r.spark, r.merged_store, "activity").drop("bucket")
+
+
+def _name_search_indexed(r: Registry, text: str) -> DataFrame:
+    path = r.merged_store
+    return search.name_search_indexed(store.read_documents(r.spark, path), store.read_index(r.spark, path, "names"), text)
+
+
+@query
+def name_search_indexed(r: Registry) -> DataFrame:
+    return _name_search_indexed(r, "r#00000004")
+
+
+@query
+def name_search_short(r: Registry) -> DataFrame:
+    return _name_search_indexed(r, "5-")
+
+
+@query
+def doc_lookup_stored(r: Registry) -> DataFrame:
+    stored = store.read_documents(r.spark, r.stored_documents)
+    buckets = store.stored_buckets(r.spark, r.stored_documents)
+    found = search.look_up_stored(_requests(r), "pedido", stored, buckets, hot_keys(r.table("events"), "user_id"))
+    return found.select("event_id", "pedido", "_id", "status", "razao_social", "unidades")
 
 
 @query
@@ -590,7 +656,7 @@ def doc_by_key(r: Registry) -> DataFrame:
 
 @query
 def doc_by_key_stored(r: Registry) -> DataFrame:
-    return flattened(docs.documents_by_id(r.spark, r.stored_documents, 11))
+    return flattened(store.documents_by_id(r.spark, r.stored_documents, 11))
 
 
 def _requests(r: Registry) -> DataFrame:
@@ -669,7 +735,7 @@ def doc_by_index(r: Registry) -> DataFrame:
 
 @query
 def doc_by_index_stored(r: Registry) -> DataFrame:
-    stored = docs.read_documents(r.spark, r.stored_documents)
+    stored = store.read_documents(r.spark, r.stored_documents)
     return flattened(search.by_index(stored, _index(r, stored), ACTIVITY, STATE))
 
 

@@ -379,6 +379,15 @@ DETAIL = _coded(
     f"cnae_fiscal_principal, total, ativos, round(media_capital, 4) AS media_capital, {PCT_ACTIVE}",
 )
 
+LOOKUP = f"""
+        SELECT event_id, pedido, q._id, CASE WHEN q._id IS NULL THEN 'invalido' WHEN h._id IS NULL THEN 'ausente'
+               ELSE 'encontrado' END AS status, h.razao_social, h.unidades
+        FROM (SELECT event_id, pedido, try_cast(trim(pedido) AS BIGINT) AS _id
+              FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN event_type
+                                          ELSE '  ' || user_id || ' ' END AS pedido FROM events)) q
+        LEFT JOIN (SELECT h._id, h.razao_social, count(*) AS unidades
+                   FROM cabecalhos h JOIN unidades u ON u._id = h._id GROUP BY 1, 2) h ON h._id = q._id"""
+
 QUERIES = {
     # Load stages
     "mei_keys": "SELECT cnpj_basico FROM mei",
@@ -544,6 +553,7 @@ QUERIES = {
     "documents_flat": _documents(),
     "doc_merge": _documents(),
     "doc_store_merge": _documents(),
+    "doc_stream_upsert": _documents(),
     "doc_by_key": _documents("h._id = 11"),
     "doc_by_key_stored": _documents("h._id = 11"),
     "doc_by_uf_whole": _documents(
@@ -556,14 +566,8 @@ QUERIES = {
         """h._id IN (SELECT _id FROM unidades WHERE uf = 'NATION_9'
                      AND (cnae_fiscal_principal = 25000 OR list_contains(secundarias, 25000)))"""
     ),
-    "doc_lookup": f"""
-        SELECT event_id, pedido, q._id, CASE WHEN q._id IS NULL THEN 'invalido' WHEN h._id IS NULL THEN 'ausente'
-               ELSE 'encontrado' END AS status, h.razao_social, h.unidades
-        FROM (SELECT event_id, pedido, try_cast(trim(pedido) AS BIGINT) AS _id
-              FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN event_type
-                                          ELSE '  ' || user_id || ' ' END AS pedido FROM events)) q
-        LEFT JOIN (SELECT h._id, h.razao_social, count(*) AS unidades
-                   FROM cabecalhos h JOIN unidades u ON u._id = h._id GROUP BY 1, 2) h ON h._id = q._id""",
+    "doc_lookup": LOOKUP,
+    "doc_lookup_stored": LOOKUP,
     "doc_requested": _documents("h._id IN (SELECT user_id FROM events WHERE event_type <> 'error')"),
     "doc_by_uf_cnae": """
         SELECT _id FROM unidades GROUP BY _id
@@ -583,6 +587,24 @@ QUERIES = {
     "doc_activity_index": """
         SELECT DISTINCT uf, cnae_fiscal_principal AS cnae, TRUE AS principal, _id FROM unidades
         UNION ALL SELECT DISTINCT uf, cnae, FALSE, _id FROM (SELECT uf, unnest(secundarias) AS cnae, _id FROM unidades)""",
+    "doc_by_index_merged": _documents(
+        """h._id IN (SELECT _id FROM unidades WHERE uf = 'NATION_9'
+                     AND (cnae_fiscal_principal = 25000 OR list_contains(secundarias, 25000)))"""
+    ),
+    "doc_store_generations": """
+        SELECT 0 AS generation, _id, count(*) AS unidades FROM unidades WHERE data_inicio_atividade < 19980000 GROUP BY _id
+        UNION ALL SELECT 1, _id, count(*) FROM unidades GROUP BY _id""",
+    "doc_index_merged": """
+        SELECT DISTINCT uf, cnae_fiscal_principal AS cnae, TRUE AS principal, _id FROM unidades
+        UNION ALL SELECT DISTINCT uf, cnae, FALSE, _id FROM (SELECT uf, unnest(secundarias) AS cnae, _id FROM unidades)""",
+    "name_search_indexed": """
+        SELECT u._id, razao_social, cnpj_ordem, cnpj_dv, nome_fantasia FROM unidades u
+        JOIN cabecalhos h ON h._id = u._id
+        WHERE contains(upper(razao_social), 'R#00000004') OR contains(upper(nome_fantasia), 'R#00000004')""",
+    "name_search_short": """
+        SELECT u._id, razao_social, cnpj_ordem, cnpj_dv, nome_fantasia FROM unidades u
+        JOIN cabecalhos h ON h._id = u._id
+        WHERE contains(upper(razao_social), '5-') OR contains(upper(nome_fantasia), '5-')""",
     "doc_branches_by_uf": "SELECT _id, uf, count(*) AS filiais FROM unidades GROUP BY 1, 2",
     "company_sheet": SHEET,
     "name_search": """

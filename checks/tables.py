@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.dates import to_ymd
 from cadastra.operators.skew import hot_keys
-from cadastra.plans.documents import Documents, build_documents, write_documents
+from cadastra.plans.documents import Documents, build_documents, build_parts
 from cadastra.plans.fact import KEY, build_fact
+from cadastra.plans.store import INDEXES, merge_into, write_documents
 from cadastra.schemas import COMPANIES, ESTABLISHMENTS, PARTNERS, TAX_REGIME
 from cadastra.session import shared_dir
 
@@ -211,6 +212,15 @@ class Registry:
         write_documents(self.documents, path, buckets=8)
         return path
 
+    @cached_property
+    def merged_store(self) -> str:
+        """A store with postings, loaded in two parts."""
+        path = f"{shared_dir(self.spark)}/cadastra-{uuid.uuid4().hex}/documentos"
+        early = F.col("data_inicio_atividade") < 19980000
+        write_documents(build_parts(self.named_fact.where(early)), path, buckets=8, indexes=INDEXES)
+        merge_into(path, build_documents(self.named_fact.where(~early)))
+        return path
+
 
 _registries: dict[tuple, Registry] = {}
 

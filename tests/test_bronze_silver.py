@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cadastra.operators import quality
-from cadastra.plans import documents, pipeline
+from cadastra.plans import documents, pipeline, store
 from cadastra.schemas import COMPANIES, DOMAIN, DOMAIN_TABLES, SILVER_TABLES, TAX_REGIME
 from cadastra.sources import bronze, dimensions, gold, silver
 from cadastra.sources.committed import is_committed
@@ -145,7 +145,7 @@ def test_load_jobs_are_idempotent(spark, tmp_path):
     assert pipeline.build_gold(spark, silver_root, path, "20250101") is True
     assert pipeline.build_gold(spark, silver_root, path, "20250101") is False
     pipeline.load_documents(spark, silver_root, path, str(tmp_path / "docs"))
-    doc = documents.nested(documents.read_documents(spark, str(tmp_path / "docs"))).collect()
+    doc = documents.nested(store.read_documents(spark, str(tmp_path / "docs"))).collect()
     assert [(d["_id"], d["razao_social"], d["capital_social"], len(d["socios"])) for d in doc] == [(1, "ANA", 10.5, 1)]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators.skew import hot_keys
 from cadastra.plans import documents as D
-from cadastra.plans import search, sheet
+from cadastra.plans import search, sheet, store
 from cadastra.schemas import FACT
 from samples import fact, plan_of, rows_of, table
 
@@ -143,22 +143,24 @@ def test_merge_keeps_the_old_header(spark):
 
 def test_stored_documents(spark, tmp_path, rows, whole):
     path, half = str(tmp_path / "docs"), len(rows) // 2
-    D.write_documents(D.build_documents(fact(spark, rows[:half])), path, buckets=4)
+    store.write_documents(D.build_documents(fact(spark, rows[:half])), path, buckets=4)
     one = fact(spark, [{"cnpj_basico": 77, "cnpj_ordem": 1}])
-    assert len(D.merge_into(path, D.build_documents(one))) == 1
-    assert D.documents_by_id(spark, path, 77).headers.count() == 1
-    assert D.documents_by_id(spark, path, 78).headers.count() == 0
-    before = records(D.read_documents(spark, path))
-    D.merge_into(path, D.build_documents(one))
-    assert records(D.read_documents(spark, path)) == before
-    D.write_documents(whole, path, buckets=8)
-    assert D.stored_buckets(spark, path) == 8
-    assert records(D.read_documents(spark, path)) == records(whole)
-    found = D.documents_by_id(spark, path, 1)
+    assert len(store.merge_into(path, D.build_documents(one))) == 1
+    assert store.documents_by_id(spark, path, 77).headers.count() == 1
+    assert store.documents_by_id(spark, path, 78).headers.count() == 0
+    before = records(store.read_documents(spark, path))
+    store.merge_into(path, D.build_documents(one))
+    assert records(store.read_documents(spark, path)) == before
+    store.write_documents(whole, path, buckets=8)
+    assert store.stored_buckets(spark, path) == 8
+    assert records(store.read_documents(spark, path)) == records(whole)
+    found = store.documents_by_id(spark, path, 1)
     assert records(found) == records(search.by_company(whole, 1))
-    assert "PartitionFilters: [isnotnull(bucket" in plan_of(found.units)
+    assert {f.split("/bucket=")[1].split("/")[0] for f in found.units.inputFiles()} == {
+        str(spark.sql("SELECT pmod(xxhash64(1L), 8)").first()[0])
+    }
     with pytest.raises(FileNotFoundError):
-        D.read_documents(spark, str(tmp_path / "absent"))
+        store.read_documents(spark, str(tmp_path / "absent"))
 
 
 def test_searches_return_whole_companies(whole):
@@ -186,9 +188,9 @@ def test_state_and_activity_may_match_different_units(spark):
 
 
 def test_activity_index_table(spark, tmp_path, whole):
-    path, store = str(tmp_path / "index"), str(tmp_path / "docs")
-    D.write_documents(whole, store, buckets=4)
-    for documents in (whole, D.read_documents(spark, store)):
+    path, stored = str(tmp_path / "index"), str(tmp_path / "docs")
+    store.write_documents(whole, stored, buckets=4)
+    for documents in (whole, store.read_documents(spark, stored)):
         search.write_activity_index(documents, path)
         index = spark.read.parquet(path)
         assert ("bucket" in index.columns) == (documents is not whole)
