@@ -366,7 +366,8 @@ def returned_scores(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """(chunk, doc, count_sum, n_best): what the postings return to their documents. A chunk's postings are of bounded size,
     as its texts are; so they meet in one group again, after they have met their pairs' counts."""
     asked = rows.where("pair IS NOT NULL").select("pair", "chunk", "plane", "dense", "bits")
-    scored = asked.join(pairs.select("pair", "links", "best"), "pair").drop("pair")
+    # one plan at every size: vocabularies of real corpora have more pairs than can be broadcast
+    scored = asked.join(pairs.select("pair", "links", "best").hint("merge"), "pair").drop("pair")
     return scored.groupBy("chunk").applyInArrow(chunk_scores, "chunk long, doc int, count_sum long, n_best long")
 
 
