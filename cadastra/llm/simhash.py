@@ -3,17 +3,19 @@
 A fingerprint has 64 bits; bit b is set if it is set in more than half of the XXH64 values of the text's word shingles.
 Fingerprints are distinct before anything is compared. Two of them at ``DISTANCE`` (4) or fewer bits differ in two bits or
 fewer in one half, so the balls of radius one around their halves meet: each fingerprint is put into a table under the
-33 codes of each half's ball. Members of a table entry are compared in all 64 bits.
+33 codes of each half's ball. The codes are shuffled once, sorted, and read as a stream of table entries; an entry's members are
+compared in all 64 bits.
 
 Each member is linked to the smallest one that near members of the entry connect it to, one link less than members at most. An entry with more than
 ``SMALL_ENTRY`` members (a large group of near copies) is not compared pair by pair: its members take the balls of radius two
 in all 64 bits, 2,081 codes each, and every member is linked to the smallest with the same code. Two fingerprints share
 a code exactly if they differ in four bits or fewer. So just what is near is joined, though by links through other members.
 
-``one_of_each`` takes the groups of near fingerprints as candidates only: all pairs of distinct texts of a group are compared
-by the Jaccard similarity of their sets of five-word shingles, and components of pairs at ``SIMILAR`` (4/5) or more
-are what one document is kept of. The texts of a group are dealt into blocks, a row for every block they meet, so a group
-of n texts makes about n * n / ``BLOCK_TEXTS`` rows; no pair is left out.
+``one_of_each`` takes groups of near fingerprints as candidates only. There members of an entry are linked up to ``CANDIDATE_DISTANCE`` (8)
+bits, which finds all pairs at five bits and most at eight, and all members of an entry of more than ``SMALL_ENTRY`` are one group. All
+pairs of distinct texts of a group are compared by the Jaccard similarity of their sets of five-word shingles, and components of
+pairs at ``SIMILAR`` (4/5) or more are what one document is kept of. A group's texts are dealt into blocks of up to ``BLOCK_TEXTS``, and a
+text gets a row for every block it meets; no pair is left out.
 
 Defined results: a null or empty text has fingerprint zero, linked like any other; fewer words than a shingle has are one shingle; a
 component's id is its smallest doc_id, null if it has none; repeated rows are copies of each other; an empty table gives no
@@ -37,13 +39,16 @@ from cadastra.llm.components import components
 
 WIDTH = 4
 DISTANCE = 4
+CANDIDATE_DISTANCE = 8
 SMALL_ENTRY = 256
 SEED = 42
 CHUNK = 1 << 16
 SHINGLE = 5
 SIMILAR = (4, 5)
-BLOCK_TEXTS = 256
+BLOCK_TEXTS = 2_048
 BLOCK_BYTES = 1 << 23
+#: An entry's key is ``kind << KIND_BITS | code``.
+KIND_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -146,32 +151,95 @@ def spanning(fps: list[int], distance: int) -> list[tuple[int, int]]:
     return links
 
 
+def entry_links(distance: int, compared: bool):
+    """Reads (key, fp) in order, as batches of Arrow columns, and gives (kind, a, b): links within each table entry.
+
+    Of an entry with more than ``SMALL_ENTRY`` members each is given with no partner if such entries are to be ``compared`` elsewhere,
+    and else linked to the smallest. Such entries pass through without being held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        crowd: tuple[int, int] | None = None
+
+        def crowded(key: int, first: int, members: np.ndarray) -> pa.RecordBatch:
+            if not compared:
+                members = members[members != first]
+            least = np.full(len(members), first)
+            partner = pa.nulls(len(members), pa.int64()) if compared else pa.array(members)
+            firsts = pa.array(members if compared else least)
+            kinds = pa.array(np.full(len(members), key >> KIND_BITS, np.int32))
+            return pa.RecordBatch.from_arrays([kinds, firsts, partner], ["kind", "a", "b"])
+
+        def made(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            kinds, firsts, seconds = map(np.concatenate, zip(*rows))
+            arrays = [pa.array(kinds.astype(np.int32)), pa.array(firsts), pa.array(seconds)]
+            return pa.RecordBatch.from_arrays(arrays, ["kind", "a", "b"])
+
+        for batch in _with_end(batches):
+            last = batch is None
+            if not last:
+                new_keys, new_fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                if crowd and len(new_keys):
+                    more = int(np.searchsorted(new_keys, crowd[0], side="right"))
+                    if more:
+                        yield crowded(*crowd, new_fps[:more])
+                        new_keys, new_fps = new_keys[more:], new_fps[more:]
+                    if len(new_keys):
+                        crowd = None
+                keys, fps = np.concatenate([keys, new_keys]), np.concatenate([fps, new_fps])
+            if not len(keys):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            sizes = np.diff(np.append(starts, len(keys)))
+            if not last:
+                # the last entry may go on in the next batch
+                held = starts[-1]
+                if sizes[-1] > SMALL_ENTRY:
+                    crowd = (int(keys[held]), int(fps[held]))
+                    yield crowded(*crowd, fps[held:])
+                    held = len(keys)
+                starts, sizes = starts[:-1], sizes[:-1]
+            two = starts[sizes == 2]
+            near = two[np.bitwise_count((fps[two] ^ fps[two + 1]).view(np.uint64)) <= distance]
+            rows = [(keys[near] >> KIND_BITS, fps[near], fps[near + 1])]
+            for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+                if size > SMALL_ENTRY:
+                    yield crowded(int(keys[start]), int(fps[start]), fps[start : start + size])
+                elif links := spanning(fps[start : start + size].tolist(), distance):
+                    firsts, seconds = np.array(links, np.int64).T
+                    rows.append((np.full(len(links), keys[start] >> KIND_BITS), firsts, seconds))
+            yield made(rows)
+            if not last:
+                keys, fps = keys[held:], fps[held:]
+
+    return run
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def links_of(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(kind, a, b): links that connect whatever the ``distance`` relation connects, from distinct (kind, fp); only
-    fingerprints of one kind are compared."""
-    if distance != 4:
-        raise ValueError("two tables with balls of radius one answer distance 4")
+    """(kind, a, b): links between the distinct (kind, fp) of ``prints``; only fingerprints of one kind are compared.
+
+    At distance 4 they connect just what this relation connects. At larger distances, for candidates, they connect at least
+    whatever five bits connect, and the members of an entry of more than ``SMALL_ENTRY``."""
+    if distance < 4:
+        raise ValueError("two tables with balls of radius one answer distance 4 or more")
     spark = prints.sparkSession
     folder = scratch_folder(spark, "simhash-links")
-    # Spark takes an exploded table to be as small as what it is made from: deal it out, and never broadcast it
+    # Spark takes an exploded table to be as small as what it is made from: deal it out
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     codes = prints.repartition(tasks, "kind", "fp").select("kind", "fp", F.explode(half_codes(F.col("fp"))).alias("code"))
-    entries = stored(
-        codes.groupBy("kind", "code").agg(F.count("*").alias("members")).where("members > 1"), f"{folder}/entries"
-    )
-    held = stored(codes.hint("merge").join(entries, ["kind", "code"]), f"{folder}/held")
-    lists = held.where(F.col("members") <= SMALL_ENTRY).groupBy("kind", "code").agg(F.collect_list("fp").alias("fps"))
-
-    def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [(k.as_py(), a, b) for k, fps in zip(*batch.columns) for a, b in spanning(fps.as_py(), distance)]
-            kinds, firsts, seconds = zip(*made) if made else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds, pa.int32()), pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())], ["kind", "a", "b"]
-            )
-
-    small = lists.select(F.col("kind").cast("int"), "fps").mapInArrow(span, "kind int, a bigint, b bigint")
-    crowded = held.where(F.col("members") > SMALL_ENTRY).select("kind", "fp").distinct()
+    key = F.shiftleft(F.col("kind").cast("long"), KIND_BITS).bitwiseOR(F.col("code")).alias("key")
+    entries = codes.select(key, "fp").repartition("key").sortWithinPartitions("key", "fp")
+    found = entries.mapInArrow(entry_links(distance, distance == DISTANCE), "kind int, a bigint, b bigint")
+    found = stored(found, f"{folder}/found")
+    small = found.where("b IS NOT NULL")
+    if distance != DISTANCE:
+        return small.distinct()
+    crowded = found.where("b IS NULL").select("kind", F.col("a").alias("fp")).distinct()
     balls = crowded.select("kind", "fp", F.explode(full_codes(F.col("fp"))).alias("code"))
     centres = stored(
         balls.groupBy("kind", "code").agg(F.min("fp").alias("least"), F.count("*").alias("members")).where("members > 1"),
@@ -181,7 +249,7 @@ def links_of(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return small.unionByName(starred.select("kind", F.col("least").alias("a"), F.col("fp").alias("b"))).distinct()
 
 
-def groups(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> DataFrame:
+def groups(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),), distance: int = DISTANCE) -> DataFrame:
     """(doc_id, part, fps, root, component_id), one row per row of ``docs``; documents are linked if they are within the
     distance in any feature's fingerprint."""
     folder = scratch_folder(docs.sparkSession, "simhash")
@@ -193,7 +261,7 @@ def groups(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> Dat
     )
     by_kind = nodes.select("node", F.posexplode("fps").alias("kind", "fp"))
     prints = stored(by_kind.groupBy("kind", "fp").agg(F.min("node").alias("least")), f"{folder}/prints")
-    found = links_of(prints.select("kind", "fp"))
+    found = links_of(prints.select("kind", "fp"), distance)
     if len(features) > 1:
         same = by_kind.join(prints, ["kind", "fp"]).where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
         first = prints.select("kind", F.col("fp").alias("a"), F.col("least").alias("from"))
@@ -202,7 +270,8 @@ def groups(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> Dat
         found = across.select(F.col("from").alias("a"), F.col("to").alias("b")).unionByName(same)
     rooted = nodes.join(components(found).withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
     rooted = rooted.select("node", "first_id", F.coalesce("root", "node").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # stored apart, so that the join with it is a broadcast if it is small, and else a hot root is split
+    smallest = stored(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), f"{folder}/smallest")
     named = stored(rooted.join(smallest, "root").select("node", "root", "component_id"), f"{folder}/named")
     return rows.join(named, "node").select("doc_id", "part", "fps", "root", "component_id")
 
@@ -251,9 +320,13 @@ def similar_pairs(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(a, b): links by ``part`` that join what the texts of one candidate group (part, root) that are similar join."""
     folder = scratch_folder(docs.sparkSession, "simhash-similar")
     parts = found.select("part", "root").distinct()
-    several = parts.groupBy("root").agg(F.count("*").alias("texts")).where("texts > 1")
-    members = stored(parts.join(several, "root").select("part", "root"), f"{folder}/members")
-    texts = docs.select(F.xxhash64("text").alias("part"), "text").join(members, "part").dropDuplicates(["part"])
+    several = stored(parts.groupBy("root").agg(F.count("*").alias("texts")).where("texts > 1"), f"{folder}/several")
+    # one row holds each text: the others stay where they are
+    holder = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id")).alias("holder")
+    holders = found.groupBy("part", "root").agg(holder).join(several, "root")
+    members = stored(holders.select("part", "root", F.col("holder.doc_id").alias("_holder")), f"{folder}/members")
+    same = (F.xxhash64(docs["text"]) == members["part"]) & docs["doc_id"].eqNullSafe(members["_holder"])
+    texts = docs.join(members, same).select("part", "root", docs["text"].alias("text")).dropDuplicates(["part"])
     texts = stored(texts.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0))), f"{folder}/texts")
     needed = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES), F.lit(1))
     blocks = stored(texts.groupBy("root").agg(needed.cast("int").alias("blocks")), f"{folder}/blocks")
@@ -271,11 +344,13 @@ def similar_pairs(docs: DataFrame, found: DataFrame) -> DataFrame:
     return keyed.groupBy("root", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
-def one_of_each(docs: DataFrame, features: tuple[Feature, ...] = (Feature(),)) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, features: tuple[Feature, ...] = (Feature(),), distance: int = CANDIDATE_DISTANCE
+) -> DataFrame:
     """``docs`` with one document of every component of similar texts: the one with the smallest doc_id (none at all comes
     last)."""
     folder = scratch_folder(docs.sparkSession, "simhash-kept")
-    found = stored(groups(docs, features).select("doc_id", "part", "root"), f"{folder}/found")
+    found = stored(groups(docs, features, distance).select("doc_id", "part", "root"), f"{folder}/found")
     linked = components(similar_pairs(docs, found)).select(F.col("node").alias("part"), F.col("root").alias("similar"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "part")).alias("first")
     each = found.groupBy("part").agg(first).join(linked, "part", "left")
