@@ -23,19 +23,26 @@ def build_dimensions(spark: SparkSession, bronze_root: str, gold_root: str, over
 OPTIONAL = "socios"
 
 
-def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, overwrite: bool = False) -> None:
+def build_silver(
+    spark: SparkSession, bronze_root: str, silver_root: str, overwrite: bool = False, quarantine: bool = False
+) -> None:
     """Batch conversion of all four tables; ``streaming.ingest`` is the incremental form.
 
-    Partner files may be missing; the load then goes on without a partner table.
+    Partner files may be missing; the load then goes on without a partner table. Records with too few or too many fields are
+    padded and cut, as the source does, or with ``quarantine`` kept apart with each table (``silver.quarantined``).
     """
     for folder, (table, schema) in SILVER_TABLES.items():
         try:
-            raw = bronze.read_raw(spark, f"{bronze_root}/{folder}", schema)
+            read = bronze.read_judged if quarantine else bronze.read_raw
+            raw = read(spark, f"{bronze_root}/{folder}", schema)
         except AnalysisException as error:
             if table == OPTIONAL and error.getCondition() == "PATH_NOT_FOUND":
                 continue
             raise
-        silver.write(silver.cast_schema(raw, schema), f"{silver_root}/{table}", overwrite)
+        if quarantine:
+            silver.write_judged(raw, f"{silver_root}/{table}", schema, overwrite)
+        else:
+            silver.write(silver.cast_schema(raw, schema), f"{silver_root}/{table}", overwrite)
 
 
 def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:

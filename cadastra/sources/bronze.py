@@ -38,7 +38,7 @@ STAYS_OPEN = rf'^{_INSIDE}(?:$|"[^;]*+;{_LEAVES_OPEN})'
 
 
 def whole_records(lines: DataFrame) -> DataFrame:
-    """(line): records put together from lines, where a quoted field may go on in the next line.
+    """(line, file, block): records put together from lines, where a quoted field may go on in the next line.
 
     ``lines`` comes from ``located_lines``. A line maps the state before it (a quoted field is open or not) to the state
     after it. In files without a line that opens one nothing is done. In the others, the maps are composed per block
@@ -51,7 +51,7 @@ def whole_records(lines: DataFrame) -> DataFrame:
     )
     # a second look at these few lines' files only
     affected = mapped.where("if_closed").select("file").distinct()
-    intact = mapped.join(affected, "file", "left_anti").select("line")
+    intact = mapped.join(affected, "file", "left_anti").select("line", "file", "block")
     doubtful = mapped.join(affected, "file", "left_semi")
 
     within = Window.partitionBy("file", "block").orderBy("place")
@@ -76,9 +76,10 @@ def whole_records(lines: DataFrame) -> DataFrame:
     numbered = placed.withColumn("own", own).where(broken).join(offsets, ["file", "block"])
     in_order = F.array_sort(F.collect_list(F.struct("block", "place", "line")))
     joined = numbered.groupBy("file", (F.col("own") + F.col("offset")).alias("record")).agg(
-        F.array_join(F.transform(in_order, lambda x: x["line"]), "\n").alias("line")
+        F.array_join(F.transform(in_order, lambda x: x["line"]), "\n").alias("line"), F.min("block").alias("block")
     )
-    return intact.unionByName(placed.where(~broken).select("line")).unionByName(joined.select("line"))
+    columns = ["line", "file", "block"]
+    return intact.unionByName(placed.where(~broken).select(*columns)).unionByName(joined.select(*columns))
 
 
 def _composed(rows: DataFrame, window: WindowSpec) -> DataFrame:
@@ -119,11 +120,41 @@ def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return parse_lines(whole_records(located_lines(text_lines(spark.read, path))), "line", schema)
 
 
+# A field in quotes, with what follows it up to the next separator.
+_QUOTED_FIELD = rf'(^|;)"{_INSIDE}"[^;]*+'
+OK = "ok"
+
+
+def fault_of(line: Column, fields: int) -> Column:
+    """Why a record does not fit a table of so many columns: ``empty``, ``unclosed``, ``short`` or ``long``; ``ok`` if it does."""
+    plain = F.regexp_replace(line, _QUOTED_FIELD, "$1")
+    found = F.length(plain) - F.length(F.replace(plain, F.lit(";"))) + 1
+    return (
+        F.when(F.trim(line) == "", "empty").when(line.rlike(OPENS), "unclosed").when(found < fields, "short")
+        .when(found > fields, "long").otherwise(OK)
+    )
+
+
+def read_judged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All fields as text, with ``reason``, and ``file``, ``block`` and ``line`` for the records that do not fit."""
+    records = whole_records(located_lines(text_lines(spark.read, path)))
+    judged = records.withColumn("reason", fault_of(F.col("line"), len(schema)))
+    parsed = judged.withColumn("r", F.from_csv("line", _all_text(schema), _line_options()))
+    bad = F.col("reason") != OK
+    return parsed.select("r.*", "reason", *[F.when(bad, F.col(c)).alias(c) for c in ("file", "block", "line")])
+
+
+def _line_options() -> dict[str, str]:
+    return {k: v for k, v in DIALECT.items() if k not in ("header", "encoding")}
+
+
+def _all_text(schema: StructType) -> str:
+    return ", ".join(f"{name} string" for name in schema.names)
+
+
 def parse_lines(df: DataFrame, line: str, schema: StructType) -> DataFrame:
     """The same dialect applied to a text column, for lines that are already in a table."""
-    options = {k: v for k, v in DIALECT.items() if k not in ("header", "encoding")}
-    ddl = ", ".join(f"{name} string" for name in schema.names)
-    return df.select(F.from_csv(line, ddl, options).alias("r")).select("r.*")
+    return df.select(F.from_csv(line, _all_text(schema), _line_options()).alias("r")).select("r.*")
 
 
 def file_category(name: Column) -> Column:

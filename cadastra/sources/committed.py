@@ -24,11 +24,12 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     return _exists(spark, f"{path.rstrip('/')}/{MARK}")
 
 
-def write_once(df: DataFrame, path: str, overwrite: bool = False, **options) -> bool:
+def write_once(df: DataFrame, path: str, overwrite: bool = False, parts: list[str] | None = None, **options) -> bool:
     """Write Parquet unless a committed table is there already; the leftovers of a failed job are replaced."""
     if not overwrite and is_committed(df.sparkSession, path):
         return False
-    df.write.mode("overwrite").options(**options).parquet(path)
+    options = {"partitionOverwriteMode": "static", **options}
+    df.write.mode("overwrite").options(**options).partitionBy(*parts or []).parquet(path)
     return True
 
 

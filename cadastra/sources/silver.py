@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cadastra.functions.cleansing import typed
+from cadastra.sources.bronze import OK
 from cadastra.sources.committed import write_once
 
 
@@ -21,8 +22,28 @@ def write(df: DataFrame, path: str, overwrite: bool = False, max_records_per_fil
 
 
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The table, whether written as one or in batches."""
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    """The table, whether written as one or in batches; without its quarantine, if it has one."""
+    table = spark.read.schema(schema).parquet(path)
+    if "reason" in table.columns:
+        table = table.where(F.col("reason") == OK)
+    return table.select(*schema.names)
+
+
+QUARANTINE = StructType([StructField("file", StringType()), StructField("block", LongType()), StructField("line", StringType())])
+
+
+def write_judged(judged: DataFrame, path: str, schema: StructType, overwrite: bool = False) -> bool:
+    """The table and its quarantine, from ``bronze.read_judged``: one pass, and one commit for both. Rows that do not fit lie in
+    partitions of their own, one per reason."""
+    place = [f.name for f in QUARANTINE.fields]
+    typed_rows = judged.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields], *place, "reason")
+    return write_once(typed_rows, path, overwrite, parts=["reason"])
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """(reason, file, block, line) of the records that did not fit; ``block`` is where the part of the file begins that holds it."""
+    table = spark.read.schema(QUARANTINE).parquet(path)
+    return table.where(F.col("reason") != OK).select("reason", *QUARANTINE.names)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

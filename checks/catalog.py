@@ -246,6 +246,50 @@ def job_rewrites_unfinished(r: Registry) -> DataFrame:
     return silver.read(r.spark, path, COMPANIES).select("cnpj_basico", "natureza_juridica", "porte_empresa")
 
 
+def _faulty_files(r: Registry) -> str:
+    """Company files in which one line in three has too few fields and one too many, with one field that is never closed."""
+    folder = scratch(r.spark)
+    nation = F.col("c_nationkey")
+    tail = F.when(nation % 3 == 0, ";").when(nation % 3 == 1, "").otherwise(";;more;fields")
+    name = F.concat(F.lit('"'), F.col("c_name"), F.lit('; ""x"""'))
+    fields = [F.col("c_custkey").cast("string"), name, nation.cast("string"), F.lit("49"), F.lit('"1,00"'), F.lit("05")]
+    lines = r.table("customer").select(F.concat(F.concat_ws(";", *fields), tail).alias("line"))
+    lines.write.text(f"{folder}/Empresas")
+    open_field = r.table("region").where("r_regionkey = 0").select(F.concat(F.lit('7;"'), F.col("r_name")).alias("line"))
+    open_field.write.mode("append").text(f"{folder}/Empresas")
+    silver.write_judged(bronze.read_judged(r.spark, f"{folder}/Empresas", COMPANIES), f"{folder}/empresas", COMPANIES)
+    return f"{folder}/empresas"
+
+
+@query
+def csv_quarantine(r: Registry) -> DataFrame:
+    """Every input line is in the table or in its quarantine."""
+    path = _faulty_files(r)
+    good = silver.read(r.spark, path, COMPANIES).agg(F.lit("ok").alias("reason"), F.count("*").alias("linhas"))
+    bad = silver.quarantined(r.spark, path).groupBy("reason").agg(F.count("*").alias("linhas"))
+    return good.unionAll(bad)
+
+
+@query
+def csv_quarantined_lines(r: Registry) -> DataFrame:
+    return silver.quarantined(r.spark, _faulty_files(r)).select("reason", "line")
+
+
+@query
+def csv_fitting_rows(r: Registry) -> DataFrame:
+    return silver.read(r.spark, _faulty_files(r), COMPANIES).select("cnpj_basico", "razao_social", "natureza_juridica", "porte_empresa")
+
+
+@query
+def snapshot_rewrites_unfinished(r: Registry) -> DataFrame:
+    """A snapshot whose job was cut short after some files were in place; it is written anew, and then kept."""
+    path = f"{scratch(r.spark)}/fato"
+    r.fact.where("uf IS NOT NULL").write.parquet(f"{path}/snapshot=20250101/load=cut")
+    gold.write_snapshot(r.fact, path, "20250101")
+    gold.write_snapshot(r.fact.limit(0), path, "20250101")
+    return gold.read(r.spark, path).groupBy("uf").agg(F.count("*").alias("linhas"))
+
+
 @query
 def job_documents(r: Registry) -> DataFrame:
     folder = _silver_tables(r)

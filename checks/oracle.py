@@ -414,6 +414,20 @@ QUERIES = {
     "stream_ingest": RAW_TYPED,
     "csv_line_breaks": BROKEN_TYPED,
     "stream_line_breaks": BROKEN_TYPED,
+    "csv_quarantine": """
+        SELECT CASE c_nationkey % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'short' ELSE 'long' END AS reason, count(*) AS linhas
+        FROM customer GROUP BY 1 UNION ALL SELECT 'unclosed', 1""",
+    "csv_quarantined_lines": """
+        SELECT CASE c_nationkey % 3 WHEN 1 THEN 'short' ELSE 'long' END AS reason,
+               c_custkey || ';"' || c_name || '; ' || repeat('"', 2) || 'x' || repeat('"', 3) || ';' || c_nationkey || ';49;"1,00";05'
+               || CASE c_nationkey % 3 WHEN 1 THEN '' ELSE ';;more;fields' END AS line
+        FROM customer WHERE c_nationkey % 3 <> 0
+        UNION ALL SELECT 'unclosed', '7;"' || r_name FROM region WHERE r_regionkey = 0""",
+    "csv_fitting_rows": """
+        SELECT c_custkey AS cnpj_basico, c_name || '; "x"' AS razao_social, c_nationkey AS natureza_juridica,
+               CAST(5 AS SMALLINT) AS porte_empresa
+        FROM customer WHERE c_nationkey % 3 = 0""",
+    "snapshot_rewrites_unfinished": "SELECT uf, count(*) AS linhas FROM fato GROUP BY uf",
     "job_fact": _loaded("fato"),
     "job_fact_without_partners": _loaded(
         """(SELECT e.*, c.natureza_juridica, c.qualificacao_responsavel, c.porte_empresa, c.capital_social,
