@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cadastra.operators.clustering import clustered
 from cadastra.schemas import FACT
 
 LOAD = "load"
 SNAPSHOTS = StructType([*FACT.fields, StructField("snapshot", StringType(), True), StructField(LOAD, StringType(), True)])
 LATEST, ALL = "latest", "all"
 MARKS = "_marks"
+CLUSTERED = ["data_inicio_atividade", "uf", "cnae_fiscal_principal"]
 
 
 def _marked(spark: SparkSession, path: str) -> dict[str, tuple[int, str]]:
@@ -47,21 +49,28 @@ def snapshots(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_snapshot(
-    fact: DataFrame, path: str, snapshot: str, overwrite: bool = False, max_records_per_file: int = 0
+    fact: DataFrame,
+    path: str,
+    snapshot: str,
+    overwrite: bool = False,
+    max_records_per_file: int = 0,
+    cluster: bool = False,
+    files: int | None = None,
 ) -> bool:
     """Add one snapshot. An existing one is kept (and False returned) unless ``overwrite`` is set.
 
     Rows are ordered by opening date inside each file, which makes the row-group statistics selective
-    for the activity window.
+    for the activity window. With ``cluster`` they are dealt by opening date, state and activity together (into
+    ``files``, if given), at the price of a shuffle, so filters on each of these leave most files unread.
     """
     spark = fact.sparkSession
     number, _ = _marked(spark, path).get(snapshot, (-1, ""))
     if number >= 0 and not overwrite:
         return False
     load = uuid.uuid4().hex
+    ordered = clustered(fact, CLUSTERED, FACT.names[0], files) if cluster else fact.sortWithinPartitions(CLUSTERED[0])
     (
-        fact.sortWithinPartitions("data_inicio_atividade")
-        .withColumns({"snapshot": F.lit(snapshot), LOAD: F.lit(load)})
+        ordered.withColumns({"snapshot": F.lit(snapshot), LOAD: F.lit(load)})
         .write.mode("append")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("snapshot", LOAD)

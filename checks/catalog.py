@@ -17,7 +17,7 @@ from cadastra.operators.filters import apply_filters, codes_of
 from cadastra.operators.skew import hot_keys
 from cadastra.plans import documents as docs
 from cadastra.plans import fact as facts
-from cadastra.plans import metrics, pipeline, search, sheet, store
+from cadastra.plans import metrics, pipeline, search, sheet, sketches, store
 from cadastra.schemas import COMPANIES, DOMAIN_TABLES, SIZE_LABELS, STATUS_LABELS
 from cadastra.session import shared_dir
 from cadastra.sources import bronze, dimensions, gold, silver, web
@@ -333,6 +333,25 @@ def kpis(r: Registry) -> DataFrame:
     return rounded(indicators, "media_capital", "mediana_capital", "taxa_atividade")
 
 
+@query
+def kpis_sketched(r: Registry) -> DataFrame:
+    """Exact counts from the stored sketches, and whether median and number of companies are within their bounds."""
+    path = f"{scratch(r.spark)}/resumo"
+    sketches.write_sketches(r.fact, path, "20250101")
+    stored = sketches.read_sketches(r.spark, path, "20250101")
+    found = sketches.indicators(stored, ["uf"], years=WINDOW)
+    exact = metrics.opened_in(r.fact, WINDOW).join(found.select("uf", "mediana_capital"), "uf").groupBy("uf").agg(
+        F.count_if(F.col("capital_social") < F.col("mediana_capital")).alias("below"),
+        F.count_if(F.col("capital_social") <= F.col("mediana_capital")).alias("upto"),
+        F.count("capital_social").alias("valued"),
+        F.count_distinct("cnpj_basico").alias("exact"),
+    )
+    low, high = 0.5 - sketches.RANK_ERROR, 0.5 + sketches.RANK_ERROR
+    near = (F.col("below") <= high * F.col("valued")) & (F.col("upto") >= low * F.col("valued"))
+    counted = F.abs(F.col("empresas") - F.col("exact")) <= F.greatest(sketches.COUNT_ERROR * F.col("exact"), F.lit(1))
+    return found.join(exact, "uf").select("uf", "total", "ativos", near.alias("mediana_ok"), counted.alias("empresas_ok"))
+
+
 @query
 def dist_situacao(r: Registry) -> DataFrame:
     return metrics.status_distribution(r.fact, WINDOW)
@@ -501,6 +520,14 @@ def filters_all(r: Registry) -> DataFrame:
     return chosen.groupBy("uf", "situacao_cadastral", "porte_empresa").agg(F.count("*").alias("total"))
 
 
+@query
+def filters_clustered(r: Registry) -> DataFrame:
+    path = f"{scratch(r.spark)}/fato"
+    gold.write_snapshot(r.fact, path, "20250101", cluster=True, files=16)
+    chosen = apply_filters(gold.read(r.spark, path), states=[STATE], years=Period(1997, 1999))
+    return chosen.groupBy("uf", "situacao_cadastral", "cnae_fiscal_principal").agg(F.count("*").alias("total"))
+
+
 @query
 def filters_activity(r: Registry) -> DataFrame:
     return apply_filters(r.fact, activity=ACTIVITY).groupBy("uf").agg(F.count("*").alias("total"))

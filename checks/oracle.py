@@ -461,6 +461,10 @@ QUERIES = {
                count(DISTINCT uf) + coalesce(max(CASE WHEN uf IS NULL THEN 1 ELSE 0 END), 0) AS total_ufs,
                round(count_if(situacao_cadastral = 2) / count(*) * 100, 4) AS taxa_atividade
         FROM janela""",
+    "kpis_sketched": """
+        SELECT uf, count(*) AS total, CAST(count_if(situacao_cadastral = 2) AS BIGINT) AS ativos, TRUE AS mediana_ok,
+               TRUE AS empresas_ok
+        FROM janela WHERE uf IS NOT NULL GROUP BY uf""",
     "dist_situacao": f"""SELECT situacao_cadastral, count(*) AS total, {STATUS} AS situacao_desc
                          FROM janela GROUP BY situacao_cadastral""",
     "dist_porte": f"SELECT porte_empresa, count(*) AS total, {SIZE} AS porte_desc FROM janela GROUP BY porte_empresa",
@@ -539,6 +543,10 @@ QUERIES = {
         WHERE uf IN ('NATION_3', 'NATION_9', 'NATION_11') AND situacao_cadastral IN (2, 8)
           AND porte_empresa IN (1, 5) AND data_inicio_atividade >= 19970000 AND data_inicio_atividade < 20000000
         GROUP BY 1, 2, 3""",
+    "filters_clustered": """
+        SELECT uf, situacao_cadastral, cnae_fiscal_principal, count(*) AS total FROM fato
+        WHERE uf = 'NATION_9' AND data_inicio_atividade >= 19970000 AND data_inicio_atividade < 20000000
+        GROUP BY 1, 2, 3""",
     "filters_activity": "SELECT uf, count(*) AS total FROM fato WHERE cnae_fiscal_principal = 25000 GROUP BY uf",
     "resolve_codes": f"""
         SELECT t.identificador_socio AS codigo, t.total, {_resolved('t.identificador_socio', 'd.r_name')} AS descricao
