@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cadastra.operators.quality import Observed
 from cadastra.operators.skew import hot_keys
 from cadastra.plans.documents import build_parts
 from cadastra.plans.fact import KEY, build_fact, opted_in_companies, opted_in_keys
 from cadastra.plans.store import write_documents
-from cadastra.schemas import SILVER_TABLES
+from cadastra.schemas import COMPANIES, SILVER_TABLES
 from cadastra.sources import bronze, dimensions, gold, silver
-from cadastra.sources.committed import is_committed
+from cadastra.sources.committed import is_committed, read_note, write_note
 
 
 def build_dimensions(spark: SparkSession, bronze_root: str, gold_root: str, overwrite: bool = False) -> None:
@@ -86,6 +87,50 @@ def build_gold(
     return gold.write_snapshot(fact, gold_path, snapshot, overwrite)
 
 
+# Bucketed form of the silver tables: each table's rows lie in buckets by company, but for those of hot companies, which lie
+# apart, in an overflow table. A company that is hot in any table is so in all.
+
+OVERFLOW = "excedente"
+
+
+def bucket_silver(spark: SparkSession, silver_root: str, path: str, prefix: str, buckets: int) -> dict[str, int]:
+    """Writes the bucketed form below ``path``, as catalog tables ``<prefix>_<table>``; returns the hot companies with the number of
+    slices each is cut into."""
+    tables = read_silver(spark, silver_root)
+    hot: dict[int, int] = {}
+    for df in tables.values():
+        for key, slices in hot_keys(df, KEY).items():
+            hot[key] = max(slices, hot.get(key, 1))
+    # at most one company per four million rows
+    chosen = spark.createDataFrame([(k,) for k in hot], f"{KEY} {COMPANIES[KEY].dataType.simpleString()}")
+    for name, df in tables.items():
+        silver.save_bucketed(df.join(F.broadcast(chosen), KEY, "left_anti"), f"{prefix}_{name}", KEY, buckets, f"{path}/{name}")
+        df.join(F.broadcast(chosen), KEY, "left_semi").write.mode("overwrite").parquet(f"{path}/{OVERFLOW}/{name}")
+    write_note(spark, f"{path}/nota", {"buckets": buckets, **{f"hot {k}": n for k, n in hot.items()}})
+    return hot
+
+
+def fact_from_buckets(spark: SparkSession, path: str, prefix: str) -> DataFrame:
+    """The fact of the bucketed tables, joined bucket by bucket, and that of the hot companies, joined in slices."""
+    note = read_note(spark, f"{path}/nota")
+    hot = {int(name.split()[1]): int(n) for name, n in note.items() if name.startswith("hot ")}
+    cold, heated = {}, {}
+    for table, schema in SILVER_TABLES.values():
+        if not is_committed(spark, f"{path}/{table}"):
+            continue
+        silver.open_bucketed(spark, f"{prefix}_{table}", f"{path}/{table}", schema, KEY, int(note["buckets"]))
+        cold[table] = spark.table(f"{prefix}_{table}")
+        heated[table] = silver.read(spark, f"{path}/{OVERFLOW}/{table}", schema)
+
+    def fact(tables: dict[str, DataFrame], slices: dict | None) -> DataFrame:
+        return build_fact(
+            tables["simples"], tables["empresas"], tables["estabelecimentos"], tables.get(OPTIONAL),
+            hot=slices, hot_partners=slices, hot_flags=slices, hot_companies=slices,
+        )
+
+    return fact(cold, None).unionByName(fact(heated, hot)) if hot else fact(cold, None)
+
+
 def load_documents(spark: SparkSession, silver_root: str, gold_path: str, path: str) -> None:
     """Full reload of the documents from the latest snapshot; headers, with the names, come from the companies."""
     tables = read_silver(spark, silver_root)

@@ -46,9 +46,18 @@ def quarantined(spark: SparkSession, path: str) -> DataFrame:
     return table.where(F.col("reason") != OK).select("reason", *QUARANTINE.names)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
     """Catalog table laid out by ``key``: joins of equally bucketed tables need no exchange.
 
-    Meant for tables without hot keys; rows of one key always share a bucket.
+    Meant for tables without hot keys; rows of one key always share a bucket. With ``path`` the files lie there, and a session
+    whose catalog does not know the table can name it anew (``open_bucketed``).
     """
-    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def open_bucketed(spark: SparkSession, table: str, path: str, schema: StructType, key: str, buckets: int) -> None:
+    """Names the files of a bucketed table in this session's catalog."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    layout = f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout} LOCATION '{path}'")

@@ -213,6 +213,30 @@ def job_fact(r: Registry) -> DataFrame:
     return _job_fact(r, partners=True)
 
 
+@query
+def job_fact_bucketed(r: Registry) -> DataFrame:
+    """The fact from bucketed silver tables."""
+    folder, prefix = _silver_tables(r), f"prata_{uuid.uuid4().hex}"
+    pipeline.bucket_silver(r.spark, f"{folder}/silver", f"{folder}/baldes", prefix, 8)
+    fact = pipeline.fact_from_buckets(r.spark, f"{folder}/baldes", prefix)
+    return fact.select([F.coalesce(c, F.lit("")).alias(c) if kind == "string" else c for c, kind in fact.dtypes])
+
+
+@query
+def source_files(r: Registry) -> DataFrame:
+    """Raw files as listed, by the table they belong to."""
+    folder = _silver_tables(r)
+    listed = bronze.list_files(r.spark, f"{folder}/bronze/*")
+    name = bronze.base_name(F.regexp_replace("path", "/[^/]*$", ""))
+    counted = listed.where("length > 0").groupBy(bronze.file_category(name).alias("tabela")).agg(F.count("*").alias("arquivos"))
+    return counted.select("tabela", (F.col("arquivos") > 0).alias("tem_arquivos"))
+
+
+@query
+def table_columns(r: Registry) -> DataFrame:
+    return quality.schema_listing(r.table("customer"))
+
+
 @query
 def job_fact_without_partners(r: Registry) -> DataFrame:
     return _job_fact(r, partners=False)

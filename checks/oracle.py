@@ -429,6 +429,15 @@ QUERIES = {
         FROM customer WHERE c_nationkey % 3 = 0""",
     "snapshot_rewrites_unfinished": "SELECT uf, count(*) AS linhas FROM fato GROUP BY uf",
     "job_fact": _loaded("fato"),
+    "job_fact_bucketed": _loaded("fato"),
+    "table_columns": """
+        SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS posicao, column_name AS coluna,
+               CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS tipo
+        FROM (DESCRIBE customer)""",
+    "source_files": """
+        SELECT tabela, count(*) > 0 AS tem_arquivos
+        FROM (SELECT unnest(['Empresas', 'Estabelecimentos', 'Simples', 'Socios']) AS tabela, n_nationkey FROM nation)
+        GROUP BY tabela""",
     "job_fact_without_partners": _loaded(
         """(SELECT e.*, c.natureza_juridica, c.qualificacao_responsavel, c.porte_empresa, c.capital_social,
                    CAST(NULL AS SMALLINT) AS identificador_socio, CAST(NULL AS VARCHAR) AS nome_socio_razao_social,

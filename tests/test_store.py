@@ -210,3 +210,41 @@ def test_sketches_against_exact_forms(spark, tmp_path):
     assert (none.total, none.mediana_capital) == (0, None)
     with pytest.raises(FileNotFoundError):
         sketches.read_sketches(spark, path, "2")
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path, monkeypatch):
+    from cadastra.operators import skew
+    from cadastra.plans import pipeline
+    from cadastra.schemas import ESTABLISHMENTS, PARTNERS, TAX_REGIME
+    from tests.samples import table as sample
+
+    root = str(tmp_path / "silver")
+    rows = {
+        "simples": (TAX_REGIME, [{"cnpj_basico": n, "opcao_pelo_mei": "S" if n % 2 else "N"} for n in range(40)]),
+        "empresas": (COMPANIES, [{"cnpj_basico": n, "capital_social": "1,0"} for n in range(40)]),
+        "estabelecimentos": (ESTABLISHMENTS, [{"cnpj_basico": n % 40 if n < 200 else 7, "cnpj_ordem": n} for n in range(400)]),
+        "socios": (PARTNERS, [{"cnpj_basico": n % 20, "qualificacao_socio": n} for n in range(60)]),
+    }
+    for name, (schema, values) in rows.items():
+        silver.write(sample(spark, schema, values), f"{root}/{name}")
+    monkeypatch.setattr(pipeline, "hot_keys", lambda df, key: skew.hot_keys(df, key, 100))
+    hot = pipeline.bucket_silver(spark, root, str(tmp_path / "buckets"), "t_bucketed", 4)
+    assert list(hot) == [7] and hot[7] > 1
+    fact_rows = pipeline.fact_from_buckets(spark, str(tmp_path / "buckets"), "t_bucketed")
+    expected = pipeline.fact_from_silver(pipeline.read_silver(spark, root))
+    assert rows_of(fact_rows) == rows_of(expected)
+    # the same files, named anew
+    again = pipeline.fact_from_buckets(spark, str(tmp_path / "buckets"), "t_again")
+    assert again.count() == fact_rows.count()
+    monkeypatch.setattr(pipeline, "hot_keys", lambda df, key: {})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
+    try:
+        pipeline.bucket_silver(spark, root, str(tmp_path / "cold"), "t_cold", 4)
+        cold = pipeline.fact_from_buckets(spark, str(tmp_path / "cold"), "t_cold")
+        plan = cold._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert rows_of(cold) == rows_of(expected)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+        spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
