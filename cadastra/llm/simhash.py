@@ -324,9 +324,10 @@ def similar_pairs(docs: DataFrame, found: DataFrame) -> DataFrame:
     # one row holds each text: the others stay where they are
     holder = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id")).alias("holder")
     holders = found.groupBy("part", "root").agg(holder).join(several, "root")
-    members = stored(holders.select("part", "root", F.col("holder.doc_id").alias("_holder")), f"{folder}/members")
-    same = (F.xxhash64(docs["text"]) == members["part"]) & docs["doc_id"].eqNullSafe(members["_holder"])
-    texts = docs.join(members, same).select("part", "root", docs["text"].alias("text")).dropDuplicates(["part"])
+    members = stored(holders.select("part", "root", F.col("holder.doc_id").alias("holder")), f"{folder}/members")
+    bare = docs.select("doc_id", "text")
+    same = (F.xxhash64("text") == F.col("part")) & F.col("doc_id").eqNullSafe(F.col("holder"))
+    texts = bare.join(members, same).select("part", "root", "text").dropDuplicates(["part"])
     texts = stored(texts.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0))), f"{folder}/texts")
     needed = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES), F.lit(1))
     blocks = stored(texts.groupBy("root").agg(needed.cast("int").alias("blocks")), f"{folder}/blocks")
