@@ -327,7 +327,8 @@ def similar_pairs(docs: DataFrame, found: DataFrame) -> DataFrame:
     members = stored(holders.select("part", "root", F.col("holder.doc_id").alias("holder")), f"{folder}/members")
     bare = docs.select("doc_id", "text")
     same = (F.xxhash64("text") == F.col("part")) & F.col("doc_id").eqNullSafe(F.col("holder"))
-    texts = bare.join(members, same).select("part", "root", "text").dropDuplicates(["part"])
+    # one plan at every size: at scale neither table of keys can be broadcast
+    texts = bare.join(members.hint("merge"), same).select("part", "root", "text").dropDuplicates(["part"])
     texts = stored(texts.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0))), f"{folder}/texts")
     needed = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES), F.lit(1))
     blocks = stored(texts.groupBy("root").agg(needed.cast("int").alias("blocks")), f"{folder}/blocks")
@@ -362,4 +363,4 @@ def one_of_each(
         f"{folder}/kept",
     )
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_part"))
-    return docs.join(kept, same).dropDuplicates(["_id", "_part"]).drop("_id", "_part")
+    return docs.join(kept.hint("merge"), same).dropDuplicates(["_id", "_part"]).drop("_id", "_part")
