@@ -2,7 +2,8 @@
 
 Every version of a document is addressed by the SHA-256 of its text. ``SecretLedger.scan`` looks only at blobs
 and rule versions that the ledger has no record of, appends what it finds, and ``findings_of`` joins the findings back to
-every path (document) that holds the blob.
+every path (document) that holds the blob. A batch counts once its name is among the ledger's marks, so a ledger opened
+again on the same folder goes on where the last scan ended, and a scan that was cut short leaves nothing.
 
 Defined results: a null text is empty; empty texts and empty tables have no findings; repeated versions are one
 blob and all its paths get its findings; columns of the input with clashing names are not read.
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import scratch_folder, stored, text_of
+from cadastra.sources.committed import is_committed
 
 #: A private-use character marks matches; where a text has it, its neighbour stands in while offsets are taken.
 MARK, STAND_IN = "\ue000", "\ue001"
@@ -83,7 +85,9 @@ class SecretLedger:
     def __init__(self, spark: SparkSession, folder: str | None = None, rules: tuple[Rule, ...] = RULES):
         self.spark, self.rules = spark, rules
         self.folder = folder or scratch_folder(spark, "secret-ledger")
-        self.batches: list[str] = []
+        self.marks = f"{self.folder}/marks"
+        known = spark.read.parquet(self.marks).collect() if is_committed(spark, self.marks) else []
+        self.batches = [f"{self.folder}/{row['batch']}" for row in known]
 
     @property
     def records(self) -> DataFrame:
@@ -118,9 +122,10 @@ class SecretLedger:
             return F.when(F.array_contains("todo", mine), made)
 
         found = unseen.select("blob", F.inline(F.array_compact(F.array(*map(record, self.rules)))))
-        path = f"{self.folder}/{uuid.uuid4().hex}"
-        found.dropDuplicates(["blob", "kind", "version"]).write.parquet(path)
-        self.batches.append(path)
+        batch = f"batch-{uuid.uuid4().hex}"
+        found.dropDuplicates(["blob", "kind", "version"]).write.parquet(f"{self.folder}/{batch}")
+        self.spark.range(1).select(F.lit(batch).alias("batch")).coalesce(1).write.mode("append").parquet(self.marks)
+        self.batches.append(f"{self.folder}/{batch}")
 
     def findings_of(self, versions: DataFrame) -> DataFrame:
         """(doc_id, findings): per row of ``versions`` all spans on record for its blob under the current rules,
