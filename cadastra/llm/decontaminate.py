@@ -184,8 +184,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, re
     of the windows cut out of the text (the rest of the text stays as it is)."""
     spark = docs.sparkSession
     hits = scan(docs, benchmark, width)[0].where(F.size("hits") > 0)
+    # whole documents go by their keys alone: narrow rows, whose known size lets the texts stay where they are while it is small
+    wanted = [] if remove == "documents" else ["hits"]
     found = stored(
-        hits.select(F.col("doc_id").alias("_hit_id"), F.col("part").alias("_hit_part"), "hits"),
+        hits.select(F.col("doc_id").alias("_hit_id"), F.col("part").alias("_hit_part"), *wanted),
         scratch_folder(spark, "benchmark-hits"),
     )
     same = docs["doc_id"].eqNullSafe(F.col("_hit_id")) & (F.sha2(text_of(docs["text"]), 256) == F.col("_hit_part"))
