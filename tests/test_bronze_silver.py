@@ -213,6 +213,19 @@ def test_link_harvest(spark):
     assert harvest_links(pages, "html").count() == 5
 
 
+def test_link_harvest_of_references_and_quoted_brackets(spark):
+    html = (
+        '<a title="a > b" href="1.zip">x</a><a data-href="no.zip" hrefs=no.zip href=\'2.zip?a=1&#38;b=&#x32;\'>y</a>'
+        '<a title="href=no.zip" href="&lt;3&gt;&quot;&apos;&amp;lt;.zip">z</a><a href="&#x1F4E6;&#233;.zip">u</a>'
+        '<a href="&#0;&#xD800;&#9999999;.zip">bad</a><a href="5&nope;&.zip">kept</a><abbr href="no.zip">n</abbr>'
+    )
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "")], "id int, html string")
+    found = [r.href for r in harvest_links(pages, "html").collect()]
+    assert sorted(found) == sorted(
+        ["1.zip", "2.zip?a=1&b=2", "<3>\"'&lt;.zip", "\U0001f4e6é.zip", "\ufffd" * 3 + ".zip", "5&nope;&.zip"]
+    )
+
+
 def test_all_declared_folders_have_a_schema():
     assert set(SILVER_TABLES) == {"Empresas", "Estabelecimentos", "Simples", "Socios"}
     assert DOMAIN.names == ["codigo", "descricao"]
