@@ -49,8 +49,9 @@ def whole_records(lines: DataFrame) -> DataFrame:
     mapped = lines.withColumns(
         {"if_closed": quoted & F.col("line").rlike(OPENS), "if_open": ~quoted | F.col("line").rlike(STAYS_OPEN)}
     )
-    # a second look at these few lines' files only
-    affected = mapped.where("if_closed").select("file").distinct()
+    # A second look at these few lines' files only. Names of files are few, as the driver lists them all. They are broadcast, so that no
+    # line is shuffled by its file, and so that Spark leaves out what follows if there are none.
+    affected = F.broadcast(mapped.where("if_closed").select("file").distinct())
     intact = mapped.join(affected, "file", "left_anti").select("line", "file", "block")
     doubtful = mapped.join(affected, "file", "left_semi")
 

@@ -13,6 +13,7 @@ from cadastra.sources import bronze, dimensions, gold, silver
 from cadastra.sources.committed import is_committed
 from cadastra.sources.web import harvest_links
 from cadastra.streaming.ingest import ingest
+from samples import plan_of, rows_of
 
 LINES = [
     '"00000001";"PADARIA SÃO JOÃO";"2135";"50";"1000,00";"01";""',
@@ -229,3 +230,17 @@ def test_link_harvest_of_references_and_quoted_brackets(spark):
 def test_all_declared_folders_have_a_schema():
     assert set(SILVER_TABLES) == {"Empresas", "Estabelecimentos", "Simples", "Socios"}
     assert DOMAIN.names == ["codigo", "descricao"]
+
+
+def test_lines_are_not_shuffled_by_file(spark, tmp_path):
+    spark.createDataFrame([('1;"a"',), ('2;"b;c"',)], "value string").coalesce(1).write.text(str(tmp_path / "whole"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = bronze.read_raw(spark, str(tmp_path / "whole"), DOMAIN)
+        # one join leaves out the files with broken lines, the others are among the lines of those files
+        first = plan_of(df).split("Union", 1)[1].split("BroadcastExchange", 1)[0]
+        assert "BroadcastHashJoin" in first and "SortMergeJoin" not in first
+        assert rows_of(df) == [("1", "a"), ("2", "b;c")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
