@@ -68,12 +68,14 @@ def build_fact(
     hot_companies: dict | None = None,
     names: bool = False,
     observed: Observed | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """Establishments of opted-in companies with company data and, where known, partner data.
 
     Keys, companies and partners share one partitioning by company, so they meet without further
     exchanges; the establishments, by far the largest table, are shuffled once. Joining partners to
-    companies first gives the same rows as joining them last. ``hot``,
+    companies first gives the same rows as joining them last. Where establishments are themselves ``derived`` from joins of
+    other tables, they meet the keys first: Spark then drops the rows of other companies below those joins. ``hot``,
     ``hot_partners``, ``hot_flags`` and ``hot_companies`` (see ``hot_keys``) list companies whose establishments,
     partners, regime rows or company rows are too many for one task.
 
@@ -88,4 +90,6 @@ def build_fact(
     owners = with_partners(chosen, partners, hot_partners, hot_companies)
     counts = [hot_partners or {}, hot_companies or {}]
     hot_owners = {k: max(c.get(k, 1) for c in counts) for c in counts for k in c}
+    if derived:
+        establishments = opted_in_establishments(establishments, keys, hot)
     return watch("fato", of_companies(establishments, owners, hot, hot_owners).select(*FACT.names, *extra))

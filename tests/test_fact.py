@@ -115,3 +115,16 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         for name in tables:
             spark.sql(f"DROP TABLE IF EXISTS b_{name}")
+
+
+def test_establishments_meet_the_keys_below_their_own_joins(spark):
+    t = silver_tables(spark, SIMPLES, COMPANIES, UNITS, PARTNERS)
+    towns = spark.createDataFrame([(i, f"T{i}") for i in range(3)], "municipio bigint, bairro string")
+    narrow = t["estabelecimentos"].drop("municipio", "bairro").withColumn("municipio", F.lit(1).cast("bigint"))
+    wide = narrow.withColumn("municipio", F.col("cnpj_ordem").cast("bigint")).join(towns, "municipio")
+    df = build_fact(t["simples"], t["empresas"], wide, t["socios"], derived=True)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line.strip(" :+-") for line in optimized.splitlines() if "Join" in line]
+    depth = {kind: [line.index("Join") for line in optimized.splitlines() if f"Join {kind}" in line] for kind in ("Inner", "LeftSemi")}
+    assert max(depth["LeftSemi"]) > max(depth["Inner"]), joins
+    assert rows_of(df.select(KEY, "bairro").distinct()) == [(1, "T1"), (1, "T2"), (5, "T1"), (5, "T2")]
