@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -14,8 +15,10 @@ from cadastra.operators import clustering
 from cadastra.plans import documents as D
 from cadastra.plans import search, sketches, store
 from cadastra.schemas import COMPANIES, FACT
+from cadastra.session import shared_dir
 from cadastra.sources import bronze, gold, silver
 from cadastra.streaming.upsert import upsert_documents
+from samples import plan_of
 from tests.test_documents import fact, records, rows_of
 
 
@@ -248,3 +251,23 @@ def test_bucketed_tables_join_without_an_exchange(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
         spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+
+
+def test_filters_are_as_large_as_their_keys(spark, tmp_path):
+    path = tmp_path / "docs"
+    store.write_documents(D.build_documents(fact(spark, [{"cnpj_basico": k, "cnpj_ordem": 1} for k in range(20)])), str(path), buckets=4)
+    files = list(path.glob("units/*/*/*.parquet"))
+    # a filter of a fixed size takes a megabyte
+    assert files and max(f.stat().st_size for f in files) < 200_000
+
+
+def test_a_merge_counts_nothing_it_does_not_store_and_leaves_nothing_behind(spark, tmp_path):
+    new = D.build_documents(fact(spark, [{"cnpj_basico": 1, "cnpj_ordem": o} for o in (1, 2, 2)]))
+    parts = D.parts_of(new)
+    assert "copies" not in plan_of(parts.heads) and "copies" in plan_of(new.headers)
+    path = str(tmp_path / "docs")
+    store.write_documents(D.build_parts(fact(spark, [{"cnpj_basico": 1, "cnpj_ordem": 1}])), path, buckets=2)
+    store.merge_into(path, new)
+    store.merge_into(path, parts)
+    assert rows_of(store.read_documents(spark, path).headers.select("_id", "unidades")) == [(1, 2)]
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob(f"cadastra-*/{store.INCOMING}"))
