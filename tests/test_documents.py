@@ -259,3 +259,23 @@ def test_sheet(spark):
 
 def test_samples_helper_follows_the_schema(spark):
     assert table(spark, FACT, [{}]).schema == FACT
+
+
+def test_establishments_without_secondary_activities_do_not_meet(spark):
+    from cadastra.plans.sheet import with_secondary_texts
+
+    rows = [(i, {"cnae_fiscal_secundarias": [7] if i % 50 == 0 else [], "cnpj_ordem": i}) for i in range(400)]
+    kind = "_id bigint, u struct<cnae_fiscal_secundarias: array<bigint>, cnpj_ordem: int>"
+    activities = spark.createDataFrame([(7, "Sete")], "codigo bigint, descricao string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = with_secondary_texts(spark.createDataFrame(rows, kind), activities).withColumn("task", F.spark_partition_id())
+        got = found.collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted((r["_id"], r["cnaes_secundarios"]) for r in got) == [(i, "Sete" if i % 50 == 0 else "") for i in range(400)]
+    tasks = [r["task"] for r in got if r["cnaes_secundarios"] == ""]
+    assert max(tasks.count(t) for t in set(tasks)) < 250
