@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 4_000_000
+# some 300 MB
+WIDE_ROWS_PER_TASK = 500_000
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> dict:
@@ -19,6 +21,16 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> dic
     return {row["key"]: -(-row["rows"] // rows_per_task) for row in counts.where(F.col("rows") > rows_per_task).collect()}
 
 
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int = WIDE_ROWS_PER_TASK) -> int | None:
+    """Tasks that so many wide rows need to be sorted in memory, or None where the session's shuffles have as many."""
+    needed = -(-rows // rows_per_task)
+    return needed if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def dealt(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    return df.repartition(tasks, *keys) if tasks else df
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -26,6 +38,7 @@ def salted_join(
     how: str,
     hot: dict | None = None,
     hot_right: dict | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Equi-join in which hot keys are cut into slices that different tasks join.
 
@@ -33,10 +46,11 @@ def salted_join(
     suits every join that keeps or drops left rows one by one (inner, left, left_semi, left_anti).
     ``hot_right`` slices the right side the same way and is only valid for inner joins.
     Slices follow the content of a row and its input partition, both of which a re-run task reproduces, so keys are
-    split even where the input is laid out by key.
+    split even where the input is laid out by key. ``tasks`` deals both sides to so many, where
+    the session's number is too small for the rows.
     """
     if not hot and not hot_right:
-        return left.join(right, key, how)
+        return dealt(left, tasks, key).join(dealt(right, tasks, key), key, how)
     if hot_right and how != "inner":
         raise ValueError("the right side can only be sliced in an inner join")
     hot, hot_right = hot or {}, hot_right or {}
@@ -57,8 +71,9 @@ def salted_join(
     sliced_right = (
         right.join(table, key, "left").withColumn("_j", own(right, "_right_cuts")).withColumn("_i", every("_cuts"))
     )
-    joined = sliced_left.drop("_cuts", "_right_cuts").join(
-        sliced_right.drop("_cuts", "_right_cuts"), [key, "_i", "_j"], how
+    slices = [key, "_i", "_j"]
+    joined = dealt(sliced_left.drop("_cuts", "_right_cuts"), tasks, *slices).join(
+        dealt(sliced_right.drop("_cuts", "_right_cuts"), tasks, *slices), slices, how
     )
     return joined.drop("_i", "_j")
 

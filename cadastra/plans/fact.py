@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.cleansing import money
+from cadastra.operators.keyset import maybe_among
 from cadastra.operators.quality import Observed
 from cadastra.operators.skew import salted_join, sliced_left_join
 from cadastra.schemas import COMPANY_COLUMNS, FACT, PARTNER_COLUMNS
@@ -38,7 +39,7 @@ def opted_in_partners(partners: DataFrame, keys: DataFrame, hot: dict | None = N
 
 
 def opted_in_establishments(establishments: DataFrame, keys: DataFrame, hot: dict | None = None) -> DataFrame:
-    return salted_join(establishments, keys, KEY, "left_semi", hot)
+    return salted_join(maybe_among(establishments, keys, KEY), keys, KEY, "left_semi", hot)
 
 
 def with_partners(
@@ -51,10 +52,14 @@ def with_partners(
 
 
 def of_companies(
-    establishments: DataFrame, owners: DataFrame, hot: dict | None = None, hot_owners: dict | None = None
+    establishments: DataFrame,
+    owners: DataFrame,
+    hot: dict | None = None,
+    hot_owners: dict | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Establishments with the data of their companies; those of other companies go."""
-    return salted_join(establishments, owners, KEY, "inner", hot, hot_owners)
+    return salted_join(establishments, owners, KEY, "inner", hot, hot_owners, tasks)
 
 
 def build_fact(
@@ -69,13 +74,16 @@ def build_fact(
     names: bool = False,
     observed: Observed | None = None,
     derived: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Establishments of opted-in companies with company data and, where known, partner data.
 
     Keys, companies and partners share one partitioning by company, so they meet without further
     exchanges; the establishments, by far the largest table, are shuffled once. Joining partners to
     companies first gives the same rows as joining them last. Where establishments are themselves ``derived`` from joins of
-    other tables, they meet the keys first: Spark then drops the rows of other companies below those joins. ``hot``,
+    other tables, they meet the flags of the keys first, which are broadcast: Spark then drops the rows of other companies
+    below those joins, however many keys there are; the join with the companies is exact. ``tasks`` is the number of tasks that
+    join the establishments, if the session's is too small for them (see ``tasks_for``). ``hot``,
     ``hot_partners``, ``hot_flags`` and ``hot_companies`` (see ``hot_keys``) list companies whose establishments,
     partners, regime rows or company rows are too many for one task.
 
@@ -91,5 +99,5 @@ def build_fact(
     counts = [hot_partners or {}, hot_companies or {}]
     hot_owners = {k: max(c.get(k, 1) for c in counts) for c in counts for k in c}
     if derived:
-        establishments = opted_in_establishments(establishments, keys, hot)
-    return watch("fato", of_companies(establishments, owners, hot, hot_owners).select(*FACT.names, *extra))
+        establishments = maybe_among(establishments, keys, KEY)
+    return watch("fato", of_companies(establishments, owners, hot, hot_owners, tasks).select(*FACT.names, *extra))

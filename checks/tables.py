@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions.dates import to_ymd
-from cadastra.operators.skew import hot_keys
+from cadastra.operators.skew import dealt, hot_keys, tasks_for
 from cadastra.plans.documents import Documents, build_documents, build_parts
 from cadastra.plans.fact import KEY, build_fact
 from cadastra.plans.store import INDEXES, merge_into, write_documents
@@ -41,6 +41,15 @@ class Registry:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def _lines(self) -> int:
+        return self.table("lineitem").count()
+
+    @property
+    def tasks(self) -> int | None:
+        """Tasks of joins of establishments, if they are too many for the session's; no data is read."""
+        return tasks_for(self.spark, self._lines)
+
     @property
     def tax_regime(self) -> DataFrame:
         segment = F.col("c_mktsegment")
@@ -68,7 +77,7 @@ class Registry:
     @property
     def establishments(self) -> DataFrame:
         rows = (
-            self.table("lineitem")
+            dealt(self.table("lineitem"), self.tasks, "l_orderkey")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -174,7 +183,7 @@ class Registry:
 
     @cached_property
     def hot(self) -> dict[str, dict]:
-        keys = self.table("lineitem").select("l_orderkey").join(
+        keys = dealt(self.table("lineitem").select("l_orderkey"), self.tasks, "l_orderkey").join(
             self.table("orders").select("o_orderkey", F.col("o_custkey").alias(KEY)),
             F.col("l_orderkey") == F.col("o_orderkey"),
         )
@@ -194,6 +203,7 @@ class Registry:
             hot["companies"],
             names=names,
             derived=True,
+            tasks=self.tasks,
         )
 
     @cached_property
@@ -207,7 +217,7 @@ class Registry:
     def kept(self, fact: DataFrame) -> DataFrame:
         """The fact stored once, in as many buckets by company as its joins have tasks, for queries that read it several times."""
         table = f"fato_{uuid.uuid4().hex}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = self.tasks or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         save_bucketed(fact, table, KEY, buckets, f"{shared_dir(self.spark)}/cadastra-{uuid.uuid4().hex}/fato")
         return self.spark.table(table)
 

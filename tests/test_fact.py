@@ -128,3 +128,28 @@ def test_establishments_meet_the_keys_below_their_own_joins(spark):
     depth = {kind: [line.index("Join") for line in optimized.splitlines() if f"Join {kind}" in line] for kind in ("Inner", "LeftSemi")}
     assert max(depth["LeftSemi"]) > max(depth["Inner"]), joins
     assert rows_of(df.select(KEY, "bairro").distinct()) == [(1, "T1"), (1, "T2"), (5, "T1"), (5, "T2")]
+
+
+def test_other_companies_go_before_the_shuffle_though_the_keys_are_too_many_to_broadcast(spark, tmp_path):
+    t = stored(spark, tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = t["estabelecimentos"].withColumn("bairro", F.concat(F.lit("B"), F.col("cnpj_ordem")))
+        df = build_fact(t["simples"], t["empresas"], wide, t["socios"], derived=True, tasks=9)
+        physical = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        shuffled = next(i for i, line in enumerate(physical) if "Exchange hashpartitioning" in line)
+        assert ", 9)" in physical[shuffled]
+        # the flags are met below the first exchange, that of the establishments
+        assert "BroadcastHashJoin" in physical[shuffled + 1] and "LeftSemi" in physical[shuffled + 1], physical[shuffled + 1]
+        got = rows_of(df.select(KEY, "cnpj_ordem", "bairro", "nome_socio_razao_social"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    expected = [(1, o, f"B{o}", None) for o in (1, 2)] + [(5, o, f"B{o}", n) for o in (1, 2) for n in ("A", "B")]
+    assert got == sorted(expected, key=repr)
+
+
+def test_tasks_change_the_layout_only(spark):
+    plain = rows_of(build(spark))
+    for hot, partners, derived in [(None, None, False), ({1: 2, 5: 4}, {5: 3}, False), ({1: 2, 5: 4}, {5: 3}, True)]:
+        assert rows_of(build(spark, hot=hot, hot_partners=partners, tasks=7, derived=derived)) == plain

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from cadastra.functions.dates import Period
 from cadastra.operators import lookup, reshape
 from cadastra.operators.filters import apply_filters, codes_of
+from cadastra.operators.keyset import maybe_among
 from cadastra.operators.median import exact_median
 from cadastra.operators.ranking import top_n, top_n_per_group
-from cadastra.operators.skew import hot_keys, salted_join, sliced_left_join
+from cadastra.operators.skew import hot_keys, salted_join, sliced_left_join, tasks_for
 from cadastra.schemas import STATUS_LABELS
 from samples import fact, plan_of, rows_of
 
@@ -56,6 +57,27 @@ def test_slices_split_a_key_that_lies_in_one_partition(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "string"])
+def test_flags_keep_every_key_that_is_there_and_few_others(spark, kind):
+    rows = spark.sql(f"SELECT cast(id AS {kind}) k, id v FROM range(20000) UNION ALL SELECT NULL, -1")
+    # repeated, missing and, for small numbers, unfitting keys
+    keys = spark.sql("SELECT id * 7 k FROM range(2000) UNION ALL SELECT 7 UNION ALL SELECT NULL UNION ALL SELECT 1 << 40")
+    kept = {r["v"] for r in maybe_among(rows, keys, "k").select("v").collect()}
+    there = set(range(0, 14000, 7))
+    assert there <= kept and len(kept - there) < 50
+    assert maybe_among(rows, keys.limit(0), "k").count() == 0
+
+
+def test_more_rows_than_the_session_has_tasks_for_get_more(spark, skewed):
+    assert [tasks_for(spark, n, 100) for n in (0, 400, 401, 1000)] == [None, None, 5, 10]
+    left, right = skewed
+    for how, hot in [("inner", {}), ("inner", {7: 3}), ("left", {}), ("left_semi", {7: 2})]:
+        joined = salted_join(left, right, "k", how, hot, tasks=9)
+        assert rows_of(joined) == rows_of(left.join(right, "k", how))
+        plan = plan_of(joined)
+        assert ("_i#" in plan) == bool(hot) and ", 9)" in plan and "REPARTITION_BY_NUM" in plan
+
+
 def test_right_side_slices(skewed):
     left, right = skewed
     plain = rows_of(left.join(right, "k"))

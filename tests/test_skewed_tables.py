@@ -59,3 +59,15 @@ def test_no_row_of_the_documents_grows_with_the_hot_company(spark, folder, small
     documents = tables.registry(spark, folder).documents
     assert documents.headers.where("_id = 11").count() == 1
     assert documents.units.where("_id = 11").count() > 500
+
+
+MANY = ["fact_gold", "snapshot_rewrites_unfinished", "snapshot_all", "doc_requested", "doc_merge"]
+
+
+@pytest.mark.parametrize("name", MANY)
+def test_tables_of_more_rows_than_the_session_has_tasks_for(spark, folder, small_thresholds, monkeypatch, name):
+    monkeypatch.setattr(tables, "_registries", {})
+    monkeypatch.setattr(tables, "tasks_for", lambda spark, rows: skew.tasks_for(spark, rows, 600))
+    registry = tables.registry(spark, folder)
+    assert registry.tasks == 10 and len(registry.hot["establishments"]) > 0
+    assert compare.difference(spark, compare.connect(folder), folder, name) is None
