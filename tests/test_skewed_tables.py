@@ -71,3 +71,10 @@ def test_tables_of_more_rows_than_the_session_has_tasks_for(spark, folder, small
     registry = tables.registry(spark, folder)
     assert registry.tasks == 10 and len(registry.hot["establishments"]) > 0
     assert compare.difference(spark, compare.connect(folder), folder, name) is None
+
+
+def test_a_kept_fact_has_as_many_files_as_its_joins_have_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "_registries", {})
+    monkeypatch.setattr(tables, "tasks_for", lambda spark, rows: skew.tasks_for(spark, rows, 600))
+    registry = tables.registry(spark, folder)
+    assert len(registry.kept(registry.fact).inputFiles()) == registry.tasks == 10
