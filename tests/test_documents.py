@@ -279,3 +279,19 @@ def test_establishments_without_secondary_activities_do_not_meet(spark):
     assert sorted((r["_id"], r["cnaes_secundarios"]) for r in got) == [(i, "Sete" if i % 50 == 0 else "") for i in range(400)]
     tasks = [r["task"] for r in got if r["cnaes_secundarios"] == ""]
     assert max(tasks.count(t) for t in set(tasks)) < 250
+
+
+def test_companies_that_are_not_asked_for_go_below_the_aggregations(spark):
+    rows = [{"cnpj_basico": n, "cnpj_ordem": n % 3} for n in range(1, 400)]
+    documents = D.build_documents(fact(spark, rows))
+    requests = spark.createDataFrame([(" 7 ",), ("7",), ("x",), (None,), ("395",), ("9999",)], "pedido string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = search.requested_documents(requests, "pedido", documents)
+        assert [sorted(r["_id"] for r in table.collect()) for table in found] == [[7, 395], [], [7, 395]]
+        plan = found.units._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        flags = next(i for i, line in enumerate(plan) if "Join LeftSemi" in line and "_flags" in line)
+        assert any("Aggregate" in line for line in plan[:flags])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
