@@ -79,7 +79,8 @@ class Registry:
         rows = (
             dealt(self.table("lineitem"), self.tasks, "l_orderkey")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            # too many to be broadcast, they name the number of tasks
+            .join(dealt(self.table("supplier"), self.tasks, "s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         )
         line, flag = F.col("l_linenumber"), F.col("l_returnflag")
