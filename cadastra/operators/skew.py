@@ -50,7 +50,8 @@ def salted_join(
     the session's number is too small for the rows.
     """
     if not hot and not hot_right:
-        return dealt(left, tasks, key).join(dealt(right, tasks, key), key, how)
+        # the left follows, unless it is laid out by the key already or the right is broadcast
+        return left.join(dealt(right, tasks, key), key, how)
     if hot_right and how != "inner":
         raise ValueError("the right side can only be sliced in an inner join")
     hot, hot_right = hot or {}, hot_right or {}

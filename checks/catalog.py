@@ -329,10 +329,12 @@ def cast_loss_report(r: Registry) -> DataFrame:
 
 
 def _stored_snapshots(r: Registry) -> str:
-    path, fact = f"{scratch(r.spark)}/fato", r.kept(r.fact)
-    early = fact.where(F.col("data_inicio_atividade") < 19980000)
+    """The fact is stored as one snapshot, as its joins deal it, and the other is taken from there: no copy of it is kept beside them,
+    whose reads would make tasks of more rows than are sorted in memory."""
+    path = f"{scratch(r.spark)}/fato"
+    gold.write_snapshot(r.fact, path, "20250101")
+    early = gold.read(r.spark, path, "20250101").drop("snapshot").where(F.col("data_inicio_atividade") < 19980000)
     gold.write_snapshot(early, path, "20240101")
-    gold.write_snapshot(fact, path, "20250101")
     gold.write_snapshot(early, path, "20250101")  # exists already, so it is kept
     return path
 

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions.dates import to_ymd
+from cadastra.operators.keyset import maybe_among
 from cadastra.operators.skew import dealt, hot_keys, tasks_for
 from cadastra.plans.documents import Documents, build_documents, build_parts
-from cadastra.plans.fact import KEY, build_fact
+from cadastra.plans.fact import KEY, build_fact, opted_in_keys
 from cadastra.plans.store import INDEXES, merge_into, write_documents
 from cadastra.schemas import COMPANIES, ESTABLISHMENTS, PARTNERS, TAX_REGIME
 from cadastra.session import shared_dir
@@ -76,13 +77,30 @@ class Registry:
 
     @property
     def establishments(self) -> DataFrame:
+        return self._establishments(self.table("lineitem"), self.table("orders"))
+
+    @property
+    def opted_in_establishments(self) -> DataFrame:
+        """Establishments without most of the other companies' rows. Orders meet the flags of the opted-in keys,
+        and lines those of the orders left, each before it is shuffled. Which rows are of such companies is for the fact to say."""
+        keys = opted_in_keys(self.tax_regime, repeated=bool(self.hot["flags"]))
+        orders = maybe_among(self.table("orders"), keys.select(F.col(KEY).alias("o_custkey")), "o_custkey")
+        lines = maybe_among(self.table("lineitem"), orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+        # companies with too many rows for one task are dealt in slices, by the fact's join
+        sliced = any(self.hot[table] for table in ("establishments", "partners", "companies"))
+        return self._establishments(lines, orders, by_company=not sliced)
+
+    def _establishments(self, lines: DataFrame, orders: DataFrame, by_company: bool = False) -> DataFrame:
+        """With ``by_company`` rows are dealt by company before the texts are derived, which make them twice as wide."""
         rows = (
-            dealt(self.table("lineitem"), self.tasks, "l_orderkey")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            dealt(lines, self.tasks, "l_orderkey")
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             # too many to be broadcast, they name the number of tasks
             .join(dealt(self.table("supplier"), self.tasks, "s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         )
+        if by_company:
+            rows = dealt(rows, self.tasks, "o_custkey")
+        rows = rows.join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         line, flag = F.col("l_linenumber"), F.col("l_returnflag")
         part, supp = _text(F.col("l_partkey") * 500), _text(F.col("l_suppkey") * 500)
         columns = {
@@ -196,14 +214,14 @@ class Registry:
         return build_fact(
             self.tax_regime,
             self.companies,
-            self.establishments,
+            self.opted_in_establishments if self.tasks else self.establishments,
             self.partners,
             hot["establishments"],
             hot["partners"],
             hot["flags"],
             hot["companies"],
             names=names,
-            derived=True,
+            derived=not self.tasks,
             tasks=self.tasks,
         )
 

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from cadastra.operators import skew
+from cadastra.sources import gold
 from checks import catalog, compare, tables
 
 SOURCE = "/root/testdata/sf0.001"
@@ -78,3 +79,39 @@ def test_a_kept_fact_has_as_many_files_as_its_joins_have_tasks(spark, folder, mo
     monkeypatch.setattr(tables, "tasks_for", lambda spark, rows: skew.tasks_for(spark, rows, 600))
     registry = tables.registry(spark, folder)
     assert len(registry.kept(registry.fact).inputFiles()) == registry.tasks == 10
+
+
+@pytest.fixture
+def many(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "_registries", {})
+    monkeypatch.setattr(tables, "tasks_for", lambda spark, rows: skew.tasks_for(spark, rows, 600))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield tables.registry(spark, folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["fact_gold", "snapshot_latest", "snapshot_all"])
+def test_rows_that_are_dealt_by_company_agree_with_sql(spark, folder, many, name):
+    assert many.tasks == 10 and not many.hot["establishments"]
+    assert compare.difference(spark, compare.connect(folder), folder, name) is None
+
+
+def test_other_companies_lines_go_before_they_are_shuffled_and_texts_are_derived_after(many):
+    plan = many.fact._jdf.queryExecution().executedPlan().toString().splitlines()
+
+    def below(exchange):
+        at = [i for i, line in enumerate(plan) if f"Exchange hashpartitioning({exchange}#" in line]
+        assert len(at) == 1, plan
+        return "".join(plan[at[0] + 1 : at[0] + 4])
+
+    assert "LeftSemi" in below("l_orderkey") and "LeftSemi" in below("o_orderkey")
+    assert "10), REPARTITION_BY_NUM" in next(line for line in plan if "Exchange hashpartitioning(o_custkey#" in line)
+    assert "@example.com" not in "".join(plan[next(i for i, x in enumerate(plan) if "Exchange hashpartitioning(o_custkey#" in x) :])
+
+
+def test_a_snapshot_is_stored_by_the_tasks_that_join_it_and_the_earlier_one_is_taken_from_it(spark, many, monkeypatch):
+    monkeypatch.setattr(tables.Registry, "kept", None)
+    files = gold.read(spark, catalog._stored_snapshots(many), gold.ALL).inputFiles()
+    assert len([f for f in files if "/snapshot=20250101/" in f]) == many.tasks == 10
+    assert len({f.rsplit("/", 1)[0] for f in files}) == 2
