@@ -46,8 +46,8 @@ def salted_join(
     suits every join that keeps or drops left rows one by one (inner, left, left_semi, left_anti).
     ``hot_right`` slices the right side the same way and is only valid for inner joins.
     Slices follow the content of a row and its input partition, both of which a re-run task reproduces, so keys are
-    split even where the input is laid out by key. ``tasks`` deals both sides to so many, where
-    the session's number is too small for the rows.
+    split even where the input is laid out by key. ``tasks`` deals the right side to so many, where the session's number is too
+    small for the rows; Spark deals the left likewise, but for one that lies so already or meets a broadcast. Slices are dealt on both sides.
     """
     if not hot and not hot_right:
         # the left follows, unless it is laid out by the key already or the right is broadcast
