@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from cadastra.schemas import UNSIGNED_MAX
 
@@ -45,6 +45,17 @@ def typed(text: Column, kind: DataType) -> Column:
     return strip(text) if isinstance(kind, StringType) else unsigned(text, kind)
 
 
+def typed_columns(schema: StructType) -> list[Column]:
+    """All columns of a table of texts, typed.
+
+    Texts are trimmed as one list: one expression per text makes the code of a wide table so long that the JVM never compiles it."""
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+    trimmed = F.transform(F.array(*[F.col(n) for n in texts]), strip)
+    return [
+        (trimmed[texts.index(f.name)] if f.name in texts else typed(F.col(f.name), f.dataType)).alias(f.name) for f in schema.fields
+    ]
+
+
 def money(text: Column) -> Column:
     """Decimal-comma amount; unreadable or missing amounts count as 0.0."""
     dotted = F.replace(text, F.lit(","), F.lit("."))

@@ -188,7 +188,7 @@ def merge_into(path: str, new: Documents | Parts, stream: str | None = None, bat
                 name: {b: t for b, t in tokens.items() if b not in gone} | written.get(name, {}) for name, tokens in live.items()
             }
     finally:
-        _remove(spark, incoming)
+        remove(spark, incoming)
     streams = found.streams | ({stream: batch} if stream is not None else {})
     _publish(spark, path, Manifest(found.number + 1, found.buckets, live, schemas, streams))
     return touched
@@ -199,7 +199,7 @@ def _kept(table: DataFrame, folder: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(folder)
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
@@ -249,5 +249,5 @@ def expire(spark: SparkSession, path: str, keep: int = 1) -> list[int]:
     unused = folders(gone) - folders(kept)
     # manifests first, so that no reader finds one whose folders are gone
     for folder in [*(f"{path}/{MANIFEST}/{number}" for number in gone), *sorted(unused)]:
-        _remove(spark, folder)
+        remove(spark, folder)
     return gone

@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cadastra.operators.clustering import clustered
 from cadastra.schemas import FACT
+from cadastra.sources.committed import CODEC
 
 LOAD = "load"
 SNAPSHOTS = StructType([*FACT.fields, StructField("snapshot", StringType(), True), StructField(LOAD, StringType(), True)])
@@ -72,7 +73,7 @@ def write_snapshot(
     (
         ordered.withColumns({"snapshot": F.lit(snapshot), LOAD: F.lit(load)})
         .write.mode("append")
-        .option("maxRecordsPerFile", max_records_per_file)
+        .options(maxRecordsPerFile=max_records_per_file, compression=CODEC)
         .partitionBy("snapshot", LOAD)
         .parquet(path)
     )

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cadastra.functions.cleansing import typed
+from cadastra.functions.cleansing import typed_columns
 from cadastra.sources.bronze import OK
-from cadastra.sources.committed import write_once
+from cadastra.sources.committed import CODEC, write_once
 
 
 def cast_schema(raw: DataFrame, schema: StructType) -> DataFrame:
     """Text columns to their declared types; unreadable or out-of-range numbers become null."""
-    return raw.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    return raw.select(*typed_columns(schema))
 
 
 def write(df: DataFrame, path: str, overwrite: bool = False, max_records_per_file: int = 0) -> bool:
@@ -36,7 +36,7 @@ def write_judged(judged: DataFrame, path: str, schema: StructType, overwrite: bo
     """The table and its quarantine, from ``bronze.read_judged``: one pass, and one commit for both. Rows that do not fit lie in
     partitions of their own, one per reason."""
     place = [f.name for f in QUARANTINE.fields]
-    typed_rows = judged.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields], *place, "reason")
+    typed_rows = judged.select(*typed_columns(schema), *place, "reason")
     return write_once(typed_rows, path, overwrite, parts=["reason"])
 
 
@@ -52,7 +52,7 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str |
     Meant for tables without hot keys; rows of one key always share a bucket. With ``path`` the files lie there, and a session
     whose catalog does not know the table can name it anew (``open_bucketed``).
     """
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer = df.write.mode("overwrite").format("parquet").option("compression", CODEC).bucketBy(buckets, key).sortBy(key)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 

@@ -182,14 +182,24 @@ def stream_line_breaks(r: Registry) -> DataFrame:
     return silver.read(r.spark, f"{folder}/empresas", COMPANIES)
 
 
+#: Records of one raw file at most: a compressed file is read by one task.
+RAW_RECORDS = 500_000
+
+
 def _raw_file(df: DataFrame, path: str) -> None:
-    """A table as the registry publishes it; characters the encoding lacks are spelled with those it has."""
-    text = df.select([F.replace(F.col(c).cast("string"), F.lit("–"), F.lit("-")).alias(c) for c in df.columns])
+    """A table as the registry publishes it, compressed, as plain text is many times as large as the table; characters the encoding
+    lacks are spelled with those it has."""
+    text = df.select([
+        F.replace(F.col(c), F.lit("–"), F.lit("-")).alias(c) if kind == "string" else F.col(c).cast("string").alias(c)
+        for c, kind in df.dtypes
+    ])
     options = {"sep": ";", "quoteAll": True, "escape": '"', "encoding": "ISO-8859-1", "ignoreLeadingWhiteSpace": False}
-    text.write.options(**options).csv(path, ignoreTrailingWhiteSpace=False)
+    files = {"compression": "gzip", "maxRecordsPerFile": RAW_RECORDS}
+    text.write.options(**options, **files).csv(path, ignoreTrailingWhiteSpace=False)
 
 
-def _silver_tables(r: Registry, partners: bool = True) -> str:
+def _silver_tables(r: Registry, partners: bool = True, keep_raw: bool = False) -> str:
+    """A folder with the typed tables, loaded from raw files made for it; these go once the tables are complete, unless kept."""
     folder = scratch(r.spark)
     _raw_file(r.companies, f"{folder}/bronze/Empresas")
     _raw_file(r.establishments, f"{folder}/bronze/Estabelecimentos")
@@ -197,6 +207,8 @@ def _silver_tables(r: Registry, partners: bool = True) -> str:
     if partners:
         _raw_file(r.partners, f"{folder}/bronze/Socios")
     pipeline.build_silver(r.spark, f"{folder}/bronze", f"{folder}/silver")
+    if not keep_raw:
+        store.remove(r.spark, f"{folder}/bronze")
     return folder
 
 
@@ -225,7 +237,7 @@ def job_fact_bucketed(r: Registry) -> DataFrame:
 @query
 def source_files(r: Registry) -> DataFrame:
     """Raw files as listed, by the table they belong to."""
-    folder = _silver_tables(r)
+    folder = _silver_tables(r, keep_raw=True)
     listed = bronze.list_files(r.spark, f"{folder}/bronze/*")
     name = bronze.base_name(F.regexp_replace("path", "/[^/]*$", ""))
     counted = listed.where("length > 0").groupBy(bronze.file_category(name).alias("tabela")).agg(F.count("*").alias("arquivos"))
