@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.operators.quality import Observed
-from cadastra.operators.skew import hot_keys
+from cadastra.operators.skew import WIDE_ROWS_PER_TASK, hot_keys, tasks_for
 from cadastra.plans.documents import build_parts
 from cadastra.plans.fact import KEY, build_fact, opted_in_companies, opted_in_keys
 from cadastra.plans.store import write_documents
 from cadastra.schemas import COMPANIES, SILVER_TABLES
 from cadastra.sources import bronze, dimensions, gold, silver
-from cadastra.sources.committed import is_committed, read_note, write_note
+from cadastra.sources.committed import CODEC, is_committed, read_note, write_note
 
 
 def build_dimensions(spark: SparkSession, bronze_root: str, gold_root: str, overwrite: bool = False) -> None:
@@ -61,6 +61,7 @@ def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
 
 def fact_from_silver(tables: dict[str, DataFrame], observed: Observed | None = None) -> DataFrame:
     establishments, partners = tables["estabelecimentos"], tables.get("socios")
+    rows = establishments.count()  # from the files' footers
     return build_fact(
         tables["simples"],
         tables["empresas"],
@@ -71,6 +72,8 @@ def fact_from_silver(tables: dict[str, DataFrame], observed: Observed | None = N
         hot_flags=hot_keys(tables["simples"], KEY),
         hot_companies=hot_keys(tables["empresas"], KEY),
         observed=observed,
+        derived=rows > WIDE_ROWS_PER_TASK,
+        tasks=tasks_for(establishments.sparkSession, rows),
     )
 
 
@@ -105,7 +108,7 @@ def bucket_silver(spark: SparkSession, silver_root: str, path: str, prefix: str,
     chosen = spark.createDataFrame([(k,) for k in hot], f"{KEY} {COMPANIES[KEY].dataType.simpleString()}")
     for name, df in tables.items():
         silver.save_bucketed(df.join(F.broadcast(chosen), KEY, "left_anti"), f"{prefix}_{name}", KEY, buckets, f"{path}/{name}")
-        df.join(F.broadcast(chosen), KEY, "left_semi").write.mode("overwrite").parquet(f"{path}/{OVERFLOW}/{name}")
+        df.join(F.broadcast(chosen), KEY, "left_semi").write.mode("overwrite").option("compression", CODEC).parquet(f"{path}/{OVERFLOW}/{name}")
     write_note(spark, f"{path}/nota", {"buckets": buckets, **{f"hot {k}": n for k, n in hot.items()}})
     return hot
 

@@ -70,6 +70,15 @@ def test_a_wide_table_is_typed_by_code_the_jvm_compiles(spark):
     assert max([found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())], default=0) < 8000
 
 
+def test_a_load_of_many_establishments_drops_others_before_the_shuffle_and_deals_to_more_tasks(spark, silver_root, few_rows_a_task):
+    df = pipeline.fact_from_silver(pipeline.read_silver(spark, silver_root))
+    physical = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffled = next(i for i, line in enumerate(physical) if "Exchange hashpartitioning" in line)
+    assert ", 8)" in physical[shuffled]
+    assert "BroadcastHashJoin" in physical[shuffled + 1] and "LeftSemi" in physical[shuffled + 1], physical[shuffled + 1]
+    assert df.count() == 8 * 5  # companies 1, 3, 5 and 7, the first with two partners
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
 @pytest.mark.parametrize("kept", [False, True])
 def test_raw_files_made_for_a_load_go_with_it_unless_kept(spark, kept):
