@@ -57,8 +57,12 @@ def of_companies(
     hot: dict | None = None,
     hot_owners: dict | None = None,
     tasks: int | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
-    """Establishments with the data of their companies; those of other companies go."""
+    """Establishments with the data of their companies; those of other companies go. ``hashed`` says that the owners one task
+    gets fit its memory, so that establishments, which are many and wide, need not be sorted."""
+    if hashed and not hot and not hot_owners:
+        owners = owners.hint("shuffle_hash")
     return salted_join(establishments, owners, KEY, "inner", hot, hot_owners, tasks)
 
 
@@ -75,6 +79,7 @@ def build_fact(
     observed: Observed | None = None,
     derived: bool = False,
     tasks: int | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Establishments of opted-in companies with company data and, where known, partner data.
 
@@ -83,7 +88,7 @@ def build_fact(
     companies first gives the same rows as joining them last. Where establishments are themselves ``derived`` from joins of
     other tables, they meet the flags of the keys first, which are broadcast: Spark then drops the rows of other companies
     below those joins, however many keys there are; the join with the companies is exact. ``tasks`` is the number of tasks that
-    join the establishments, if the session's is too small for them (see ``tasks_for``). ``hot``,
+    join the establishments, if the session's is too small for them (see ``tasks_for``); ``hashed`` see ``of_companies``. ``hot``,
     ``hot_partners``, ``hot_flags`` and ``hot_companies`` (see ``hot_keys``) list companies whose establishments,
     partners, regime rows or company rows are too many for one task.
 
@@ -100,4 +105,4 @@ def build_fact(
     hot_owners = {k: max(c.get(k, 1) for c in counts) for c in counts for k in c}
     if derived:
         establishments = maybe_among(establishments, keys, KEY)
-    return watch("fato", of_companies(establishments, owners, hot, hot_owners, tasks).select(*FACT.names, *extra))
+    return watch("fato", of_companies(establishments, owners, hot, hot_owners, tasks, hashed).select(*FACT.names, *extra))

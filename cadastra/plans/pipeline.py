@@ -125,10 +125,15 @@ def fact_from_buckets(spark: SparkSession, path: str, prefix: str) -> DataFrame:
         cold[table] = spark.table(f"{prefix}_{table}")
         heated[table] = silver.read(spark, f"{path}/{OVERFLOW}/{table}", schema)
 
+    # rows of companies and partners in a bucket, from the files' footers; a task holds so many of them
+    owners = sum(cold[name].count() for name in ("empresas", OPTIONAL) if name in cold)
+    hashed = owners <= int(note["buckets"]) * WIDE_ROWS_PER_TASK
+
     def fact(tables: dict[str, DataFrame], slices: dict | None) -> DataFrame:
         return build_fact(
             tables["simples"], tables["empresas"], tables["estabelecimentos"], tables.get(OPTIONAL),
             hot=slices, hot_partners=slices, hot_flags=slices, hot_companies=slices,
+            derived=tables["estabelecimentos"].count() > WIDE_ROWS_PER_TASK, hashed=hashed,
         )
 
     return fact(cold, None).unionByName(fact(heated, hot)) if hot else fact(cold, None)

@@ -79,6 +79,18 @@ def test_a_load_of_many_establishments_drops_others_before_the_shuffle_and_deals
     assert df.count() == 8 * 5  # companies 1, 3, 5 and 7, the first with two partners
 
 
+def test_bucketed_establishments_are_joined_without_a_sort(spark, silver_root, tmp_path, few_rows_a_task):
+    pipeline.bucket_silver(spark, silver_root, str(tmp_path / "b"), "size", 4)
+    try:
+        df = pipeline.fact_from_buckets(spark, str(tmp_path / "b"), "size")
+        plan = plan_of(df).split("\n\n")[0]
+        assert "ShuffledHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert rows_of(df) == rows_of(pipeline.fact_from_silver(pipeline.read_silver(spark, silver_root)))
+    finally:
+        for name, _ in SILVER_TABLES.values():
+            spark.sql(f"DROP TABLE IF EXISTS size_{name}")
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
 @pytest.mark.parametrize("kept", [False, True])
 def test_raw_files_made_for_a_load_go_with_it_unless_kept(spark, kept):
