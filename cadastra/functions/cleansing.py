@@ -72,7 +72,9 @@ def integer_list(text: Column) -> Column:
     tokens = F.filter(F.transform(F.split(text, ","), strip), lambda t: t != "")
     numbers = F.transform(tokens, lambda t: t.try_cast("bigint"))
     none = F.array().cast("array<bigint>")
-    return F.when(F.exists(numbers, lambda n: n.isNull()), none).otherwise(F.coalesce(numbers, none))
+    # a list of the one list, so that it is made once for its test and its use
+    whole = F.transform(F.array(numbers), lambda found: F.when(~F.exists(found, lambda n: n.isNull()), found))
+    return F.coalesce(whole[0], none)
 
 
 def ellipsize(text: Column, limit: int, keep: int | None = None) -> Column:

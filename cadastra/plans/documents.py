@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.cleansing import clean_name, integer_list
+from cadastra.operators.skew import dealt
 from cadastra.schemas import FACT
 
 KEY = "cnpj_basico"
+UNIT_KEY = [KEY, "cnpj_ordem", "cnpj_dv"]
 # Field order of the nested records.
 ADDRESS = ["tipo_logradouro", "logradouro", "numero", "complemento", "bairro", "cep", "uf", "municipio"]
 CONTACT = ["ddd_1", "telefone_1", "ddd_2", "telefone_2", "correio_eletronico"]
@@ -105,18 +107,21 @@ def establishment_of(row: Row) -> Column:
     )
 
 
-def build_parts(fact: DataFrame, companies: DataFrame | None = None) -> Parts:
+def build_parts(fact: DataFrame, companies: DataFrame | None = None, tasks: int | None = None) -> Parts:
     """Documents of the fact's companies, for a store, which counts establishments once they are written.
 
     Exact copies of fact rows collapse, with a partial aggregation before the shuffle. The company name is used when the
     fact carries it, or taken with the rest of the header from ``companies`` (opted-in rows with name), which spares
-    the fact that column. Of several header rows the smallest counts.
+    the fact that column. Of several header rows the smallest counts. ``tasks`` deals the rows to so many, if the session's are too few
+    for them (see ``tasks_for``).
     """
     named = "razao_social" in fact.columns
     content = [n for n in FACT.names if n != KEY] + (["razao_social"] if named else [])
     key = F.col(KEY).alias("_id")
     unit = establishment_of(F.col)
-    units = fact.select(KEY, *content).distinct().groupBy(key, unit.alias("unidade")).agg(F.count("*").alias("copies"))
+    # rows that are alike in all columns meet by those that number an establishment, so one exchange serves both aggregations
+    rows = dealt(fact.select(KEY, *content), tasks, *UNIT_KEY).distinct()
+    units = rows.groupBy(*UNIT_KEY, unit.alias("unidade")).agg(F.count("*").alias("copies")).select(key, "unidade", "copies")
     partners = fact.select(key, partner_of(F.col).alias("socio")).where("socio IS NOT NULL").distinct()
     if companies is None:
         source = fact
@@ -175,11 +180,12 @@ def merge_documents(old: Documents, new: Documents) -> Documents:
     return whole(merged_parts(old, new))
 
 
-def merged_parts(old: Documents | Parts, new: Documents | Parts) -> Parts:
+def merged_parts(old: Documents | Parts, new: Documents | Parts, tasks: int | None = None) -> Parts:
     """Union of two sets by company.
 
     An existing header stays; partners are united; an establishment is kept as often as the set that
-    has it most often, so merging the same documents again changes nothing. Work is dealt by company and record.
+    has it most often, so merging the same documents again changes nothing. Work is dealt by company and record, to so many
+    ``tasks``, if the session's are too few for the establishments (see ``tasks_for``).
     """
 
     sides = parts_of(old), parts_of(new)
@@ -190,7 +196,10 @@ def merged_parts(old: Documents | Parts, new: Documents | Parts) -> Parts:
 
     # one sum per side, so one exchange of the records
     held, added = (F.coalesce(F.sum(F.when(F.col("age") == age, F.col("copies"))), F.lit(0)) for age in (0, 1))
-    units = both("units", "unidade", "copies").groupBy("_id", "unidade").agg(F.greatest(held, added).alias("copies"))
+    number = [F.col("unidade")[name].alias(f"_{name}") for name in UNIT_KEY[1:]]
+    place = ["_id", *(f"_{name}" for name in UNIT_KEY[1:])]
+    units = dealt(both("units", "unidade", "copies", *number), tasks, *place).groupBy(*place, "unidade")
+    units = units.agg(F.greatest(held, added).alias("copies")).select("_id", "unidade", "copies")
     partners = both("partners", "socio").select("_id", "socio").distinct()
     oldest = F.min(F.struct("age", "header"))["header"].alias("header")
     headers = both("heads", "header").groupBy("_id").agg(oldest)

@@ -12,6 +12,7 @@ from cadastra.plans.documents import build_parts
 from cadastra.plans.fact import KEY, build_fact, opted_in_companies, opted_in_keys
 from cadastra.plans.store import write_documents
 from cadastra.schemas import COMPANIES, SILVER_TABLES
+from cadastra.session import release
 from cadastra.sources import bronze, dimensions, gold, silver
 from cadastra.sources.committed import CODEC, is_committed, read_note, write_note
 
@@ -44,6 +45,7 @@ def build_silver(
             silver.write_judged(raw, f"{silver_root}/{table}", schema, overwrite)
         else:
             silver.write(silver.cast_schema(raw, schema), f"{silver_root}/{table}", overwrite)
+        release(spark)
 
 
 def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
@@ -87,7 +89,9 @@ def build_gold(
 ) -> bool:
     """Write one dated snapshot of the fact; False if it exists already. ``observed`` takes the stage counts."""
     fact = fact_from_silver(read_silver(spark, silver_root), observed)
-    return gold.write_snapshot(fact, gold_path, snapshot, overwrite)
+    written = gold.write_snapshot(fact, gold_path, snapshot, overwrite)
+    release(spark)
+    return written
 
 
 # Bucketed form of the silver tables: each table's rows lie in buckets by company, but for those of hot companies, which lie
@@ -145,4 +149,7 @@ def load_documents(spark: SparkSession, silver_root: str, gold_path: str, path:
     flags = hot_keys(tables["simples"], KEY)
     keys = opted_in_keys(tables["simples"], repeated=bool(flags))
     companies = opted_in_companies(tables["empresas"], keys, ["razao_social"], hot_keys(tables["empresas"], KEY))
-    write_documents(build_parts(gold.read(spark, gold_path).drop("snapshot"), companies), path)
+    fact = gold.read(spark, gold_path).drop("snapshot")
+    # a snapshot lies in no order of companies, so its rows are dealt in any case
+    tasks = tasks_for(spark, fact.count()) or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_documents(build_parts(fact, companies, tasks), path)
