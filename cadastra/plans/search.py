@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadastra.functions.cleansing import strip
 from cadastra.operators.keyset import maybe_among
 from cadastra.operators.ranking import by_total, small
-from cadastra.operators.skew import salted_join
+from cadastra.operators.skew import dealt, hot_keys, salted_join, tasks_for
 from cadastra.plans.documents import Documents
 
 FOUND, ABSENT, INVALID = "encontrado", "ausente", "invalido"
@@ -134,16 +134,33 @@ PIECE = 3
 
 def _pieces(name: Column) -> Column:
     places = F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name)))
-    return F.array_distinct(F.transform(places, lambda at: F.substring(name, at, F.lit(PIECE))))
+    return F.transform(places, lambda at: F.substring(name, at, F.lit(PIECE)))
 
 
-def name_postings(documents: Documents) -> DataFrame:
-    """(gram, _id), once per company and piece."""
+def name_postings(documents: Documents, known: DataFrame | None = None) -> DataFrame:
+    """(gram, _id), once per company and piece; those of the documents and those ``known``."""
     company = documents.headers.select("_id", F.upper("razao_social").alias("name"))
-    # a name that many establishments of a company bear is cut once
     trade = documents.units.select("_id", F.upper("unidade.nome_fantasia").alias("name"))
-    names = company.unionAll(trade).distinct()
-    return names.select("_id", F.explode(_pieces(F.col("name"))).alias("gram")).distinct().select("gram", "_id")
+    names = company.unionAll(trade)
+    # Names of a company share most of their pieces, which are many times as many as the names: where its names meet in one task, the
+    # pieces do too, and are not shuffled. Not so if a company has too many for a task.
+    together = not hot_keys(trade, "_id")
+    if together:
+        names = _by_company(names, documents)
+    # a name that many establishments of a company bear is cut once
+    pieces = names.distinct().select("_id", F.explode(_pieces(F.col("name"))).alias("gram"))
+    if together and known is not None:
+        known = _by_company(known.select(*pieces.columns), documents)
+    return _with(pieces, known).distinct().select("gram", "_id")
+
+
+def _by_company(rows: DataFrame, documents: Documents) -> DataFrame:
+    tasks = tasks_for(rows.sparkSession, documents.units.count())
+    return rows.repartition(*[tasks] if tasks else [], "_id")
+
+
+def _with(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    return rows if known is None else rows.unionByName(known.select(*rows.columns))
 
 
 def name_search_indexed(documents: Documents, postings: DataFrame, text: str) -> DataFrame:
@@ -173,8 +190,9 @@ def collection_stats(documents: Documents, name: str = "documentos", database: s
 # Side table for activity searches, laid out by state and activity.
 
 
-def activity_index(documents: Documents) -> DataFrame:
-    """(uf, cnae, principal, _id), once per company, state and activity; with ``bucket`` for stored documents."""
+def activity_index(documents: Documents, known: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """(uf, cnae, principal, _id), once per company, state and activity; with ``bucket`` for stored documents. Rows that are ``known``
+    already are among them."""
     unit = F.col("unidade")
     main = F.struct(unit["cnae_fiscal_principal"].alias("cnae"), F.lit(True).alias("principal"))
     others = F.transform(
@@ -184,12 +202,14 @@ def activity_index(documents: Documents) -> DataFrame:
     rows = documents.units.select(
         unit["endereco"]["uf"].alias("uf"), "_id", *place, F.inline(F.concat(F.array(main), others))
     )
-    return rows.select("uf", "cnae", "principal", "_id", *place).distinct()
+    rows = _with(rows.select("uf", "cnae", "principal", "_id", *place), known)
+    return dealt(rows, tasks, "_id", "cnae").distinct()
 
 
-def activity_postings(documents: Documents) -> DataFrame:
+def activity_postings(documents: Documents, known: DataFrame | None = None) -> DataFrame:
     """The same rows for a store, which places them itself."""
-    return activity_index(documents.each(lambda table: table.drop("bucket")))
+    tasks = tasks_for(documents.units.sparkSession, documents.units.count())
+    return activity_index(documents.each(lambda table: table.drop("bucket")), known, tasks)
 
 
 def write_activity_index(documents: Documents, path: str) -> None:

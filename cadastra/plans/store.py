@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from cadastra.operators.skew import tasks_for
 from cadastra.plans.documents import Documents, Parts, counted, merged_parts, parts_of
 from cadastra.plans.search import activity_postings, name_postings
-from cadastra.session import shared_dir
+from cadastra.session import release, shared_dir
 
 BUCKETS = 1024
 MANIFEST = "manifest"
@@ -182,7 +183,12 @@ def merge_into(path: str, new: Documents | Parts, stream: str | None = None, bat
         live, schemas = found.live, found.schemas
         if touched:
             held = read_documents(spark, path, found.number, touched).each(lambda table: table.drop("bucket"))
-            written, schemas = _write(merged_parts(held, parts), path, found.buckets, found.indexes)
+            # what a merge keeps has its postings; only documents that come add some, with the names of companies that are new
+            posted = {name: read_table(spark, path, found, name, touched) for name in found.indexes}
+            names = parts.heads.join(held.headers.select("_id"), "_id", "left_anti").groupBy("_id").agg(F.min("header").alias("h"))
+            added = Documents(names.select("_id", "h.razao_social"), parts.partners, parts.units)
+            tasks = tasks_for(spark, held.units.count() + parts.units.count())  # from the files' footers
+            written, schemas = _write(merged_parts(held, parts, tasks), path, found.buckets, found.indexes, added, posted)
             gone = set(touched)
             live = {
                 name: {b: t for b, t in tokens.items() if b not in gone} | written.get(name, {}) for name, tokens in live.items()
@@ -204,8 +210,16 @@ def remove(spark: SparkSession, folder: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _write(parts: Parts, path: str, buckets: int, indexes: list[str]) -> tuple[dict[str, dict[int, str]], dict[str, StructType]]:
-    """One generation of all tables. Headers are counted, and postings made, from what has been stored."""
+def _write(
+    parts: Parts,
+    path: str,
+    buckets: int,
+    indexes: list[str],
+    added: Documents | None = None,
+    posted: dict[str, DataFrame] | None = None,
+) -> tuple[dict[str, dict[int, str]], dict[str, StructType]]:
+    """One generation of all tables. Headers are counted, and postings made, from what has been stored, or postings from
+    those ``posted`` by an earlier generation and from what was ``added`` since."""
     spark, token = parts.units.sparkSession, uuid.uuid4().hex
     live: dict[str, dict[int, str]] = {}
     schemas: dict[str, StructType] = {}
@@ -219,6 +233,7 @@ def _write(parts: Parts, path: str, buckets: int, indexes: list[str]) -> tuple[d
         filters = {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
         dealt.sortWithinPartitions("bucket", *order).write.options(**filters).partitionBy("bucket").parquet(folder)
         stored = spark.read.schema(StructType([*table.schema.fields]).add("bucket", IntegerType())).parquet(folder)
+        release(spark)
         live[name] = {int(b): token for b in {re.search(r"/bucket=(\d+)/", f)[1] for f in stored.inputFiles()}}
         return stored
 
@@ -227,7 +242,7 @@ def _write(parts: Parts, path: str, buckets: int, indexes: list[str]) -> tuple[d
     headers = put("headers", counted(parts.heads, units), ["_id"], "_id")
     for name in indexes:
         postings, order = INDEXES[name]
-        put(name, postings(Documents(headers, partners, units)), order, order[0])
+        put(name, postings(added or Documents(headers, partners, units), (posted or {}).get(name)), order, order[0])
     order = [*Documents._fields, *indexes]
     return {name: live[name] for name in order}, {name: schemas[name] for name in order}
 
